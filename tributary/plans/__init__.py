@@ -1,6 +1,7 @@
 """All registered queries; importing the modules fills the registry."""
 
 from tributary.plans import (  # noqa: F401
+    aggregations,
     scalars,
 )
 from tributary.plans.registry import REGISTRY

@@ -67,10 +67,8 @@ def pause_gate(df: DataFrame, commands: DataFrame, time: str, command_time: str,
     neither shuffle nor meet a join.
     """
     spans = pause_intervals(commands, command_time, command).agg(F.collect_list(F.struct("paused", "resumed")).alias("spans"))
-    inside = F.exists(
-        spans.scalar(), lambda s: (F.col(time) >= s["paused"]) & (s["resumed"].isNull() | (F.col(time) < s["resumed"]))
-    )
-    return df.where(~inside)
+    inside = F.exists("__spans", lambda s: (F.col(time) >= s["paused"]) & (s["resumed"].isNull() | (F.col(time) < s["resumed"])))
+    return df.withColumn("__spans", spans.scalar()).where(~inside).drop("__spans")
 
 
 def route_by_tenant(df: DataFrame, tenants: DataFrame, tenant: str, api_key: str) -> DataFrame:

@@ -187,3 +187,23 @@ def sustained_load(df: DataFrame, server: str, time: str, load: str, size: str =
     island = high.withColumn("__island", F.col("__no") - F.row_number().over(order))
     runs = island.withColumn("streak", F.row_number().over(Window.partitionBy(server, "__island").orderBy("__no")).cast("bigint"))
     return runs.where(F.col("streak") >= streak).select("start", "end", server, "avg_load", "streak")
+
+
+def adaptive_windows_by_batch(
+    df: DataFrame, batch: str, time: str, quantity: str, rules: Sequence[tuple[int, int]] = (), slowest: int = 900
+) -> DataFrame:
+    """:func:`adaptive_windows` for rows that carry their batch number.
+
+    Every batch gets the window length (seconds) its own size calls for.
+    """
+    rules = rules or [(bound, seconds(size)) for bound, size in VELOCITY]
+    sizes = df.groupBy(batch).agg(F.count(F.lit(1)).alias("velocity"))
+    pick = None
+    for bound, size in rules:
+        rule = F.col("velocity") > bound
+        pick = F.when(rule, F.lit(size)) if pick is None else pick.when(rule, F.lit(size))
+    sized = df.join(sizes.withColumn("window_seconds", pick.otherwise(F.lit(slowest))), batch)
+    opened = F.timestamp_seconds(F.floor(F.unix_seconds(time) / F.col("window_seconds")) * F.col("window_seconds"))
+    return sized.groupBy(batch, opened.alias("start"), "window_seconds", "velocity").agg(
+        F.sum(quantity).alias("total"), F.count(F.lit(1)).alias("count")
+    )

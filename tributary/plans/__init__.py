@@ -2,7 +2,9 @@
 
 from tributary.plans import (  # noqa: F401
     aggregations,
+    joined,
     scalars,
+    windowed,
 )
 from tributary.plans.registry import REGISTRY
 

@@ -27,20 +27,20 @@ def _(t):
 
 
 @query("number_aggregates", "D2 K5", """
-    SELECT 'sum' AS name, round(sum(value), 4) AS result FROM events UNION ALL SELECT 'avg', round(avg(value), 6) FROM events
+    SELECT 'sum' AS name, round(sum(value), 4) AS result FROM events UNION ALL SELECT 'avg', round(avg(value), 8) FROM events
     UNION ALL SELECT 'min', min(value) FROM events UNION ALL SELECT 'max', max(value) FROM events
-    UNION ALL SELECT 'stddev', round(stddev(value), 6) FROM events UNION ALL SELECT 'mean', round(avg(value), 6) FROM events""")
+    UNION ALL SELECT 'stddev', round(stddev(value), 8) FROM events UNION ALL SELECT 'mean', round(avg(value), 8) FROM events""")
 def _(t):
     # one pass over the table for all functions, then one row each
     fns = {"sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max, "stddev": F.stddev, "mean": F.mean}
     digits = {"sum": 4}
-    wide = t("events", "value").agg(*[F.round(fn("value"), digits.get(n, 6)).alias(n) for n, fn in fns.items()])
+    wide = t("events", "value").agg(*[F.round(fn("value"), digits.get(n, 8)).alias(n) for n, fn in fns.items()])
     return wide.unpivot([], list(fns), "name", "result")
 
 
-@query("aggregate_as_parameter", "K5 D2", "SELECT round(stddev(value), 6) AS agg_so_far FROM events")
+@query("aggregate_as_parameter", "K5 D2", "SELECT round(stddev(value), 8) AS agg_so_far FROM events")
 def _(t):
-    return A.aggregate_with(t("events", "value"), "value", lambda c: F.round(F.stddev(c), 6))
+    return A.aggregate_with(t("events", "value"), "value", lambda c: F.round(F.stddev(c), 8))
 
 
 @query("events_per_type", "D3", "SELECT event_type, count(*) AS count FROM events GROUP BY 1")
@@ -48,9 +48,9 @@ def _(t):
     return A.count_by(t("events", "event_type"), "event_type")
 
 
-@query("average_price", "D4", "SELECT round(avg(p_retailprice), 6) AS average FROM part")
+@query("average_price", "D4", "SELECT round(avg(p_retailprice), 8) AS average FROM part")
 def _(t):
-    return A.avg_of(t("part"), "p_retailprice").select(F.round("average", 6).alias("average"))
+    return A.avg_of(t("part"), "p_retailprice").select(F.round("average", 8).alias("average"))
 
 
 @query("customers_per_segment", "D5", "SELECT c_mktsegment, count(*) AS count FROM customer GROUP BY 1")
@@ -99,14 +99,14 @@ def _(t):
 
 
 @query("value_percentiles_per_day", "D11", f"""
-    SELECT {start(86400)} AS start, event_type, count(value) AS count, round(avg(value), 6) AS average, min(value) AS minimum,
+    SELECT {start(86400)} AS start, event_type, count(value) AS count, round(avg(value), 8) AS average, min(value) AS minimum,
            max(value) AS maximum, quantile_disc(value, 0.5) AS median, quantile_disc(value, 0.9) AS p90,
            quantile_disc(value, 0.95) AS p95, quantile_disc(value, 0.99) AS p99
     FROM events GROUP BY 1, 2 HAVING count(value) >= 5""")
 def _(t):
     day = F.window("ts", "1 day").start.alias("start")
     out = A.percentile_table(t("events", "ts", "event_type", "value"), "value", [day, "event_type"])
-    return out.withColumn("average", F.round("average", 6))
+    return out.withColumn("average", F.round("average", 8))
 
 
 @query("collected_values_per_window", "D12", f"""
@@ -118,21 +118,21 @@ def _(t):
 
 
 @query("storage_ratio", "D13 I4", """
-    SELECT event_type, round(sum(value) / sum(user_id), 6) AS ratio FROM events GROUP BY 1""")
+    SELECT event_type, round(sum(value) / sum(user_id), 8) AS ratio FROM events GROUP BY 1""")
 def _(t):
-    return A.ratio_of_sums(t("events", "event_type", "value", "user_id"), "event_type", "value", "user_id").withColumn("ratio", F.round("ratio", 6))
+    return A.ratio_of_sums(t("events", "event_type", "value", "user_id"), "event_type", "value", "user_id").withColumn("ratio", F.round("ratio", 8))
 
 
 def _level(name: str, seconds: int) -> str:
     return f"""SELECT '{name}' AS granularity, {start(seconds)} AS start, {start(seconds)} + INTERVAL {seconds} SECOND AS "end",
-        round(sum(value), 4) AS total, count(*) AS count, count(DISTINCT event_type) AS items, round(avg(value), 6) AS average
+        round(sum(value), 4) AS total, count(*) AS count, count(DISTINCT event_type) AS items, round(avg(value), 8) AS average
         FROM events GROUP BY ALL"""
 
 
 @query("three_granularities", "D14 G1", " UNION ALL ".join([_level("minute", 60), _level("hour", 3600), _level("day", 86400)]))
 def _(t):
     out = A.multi_granularity(t("events", "ts", "event_type", "value"), "ts", "event_type", "value")
-    return out.withColumns({"total": F.round("total", 4), "average": F.round("average", 6)})
+    return out.withColumns({"total": F.round("total", 4), "average": F.round("average", 8)})
 
 
 def delayed(t):
@@ -146,10 +146,10 @@ DELAYED = """(SELECT *, event_id % 13 * 1500 + CASE WHEN event_type = 'error' TH
 
 
 @query("latency_statistics", "D15", f"""
-    SELECT event_type, count(*) AS count, round(avg(latency_ms), 6) AS average, max(latency_ms) AS maximum,
+    SELECT event_type, count(*) AS count, round(avg(latency_ms), 8) AS average, max(latency_ms) AS maximum,
            quantile_disc(latency_ms, 0.95) AS percentile FROM {DELAYED} GROUP BY 1""")
 def _(t):
-    return A.value_stats(delayed(t), "latency_ms", ["event_type"]).withColumn("average", F.round("average", 6))
+    return A.value_stats(delayed(t), "latency_ms", ["event_type"]).withColumn("average", F.round("average", 8))
 
 
 @query("characters_per_language", "D16", "SELECT lang, CAST(sum(length(text)) AS BIGINT) AS chars FROM documents GROUP BY 1")
@@ -194,11 +194,11 @@ def _(t):
 
 
 @query("rows_above_group_average", "C13", """
-    SELECT event_id, event_type, round(a, 6) AS type_average FROM
+    SELECT event_id, event_type, round(a, 8) AS type_average FROM
     (SELECT event_id, event_type, value, avg(value) OVER (PARTITION BY event_type) AS a FROM events) WHERE value > 2 * a""")
 def _(t):
     out = join_back(t("events", "event_id", "event_type", "value"), ["event_type"], a=F.avg("value"))
-    return out.where(F.col("value") > 2 * F.col("a")).select("event_id", "event_type", F.round("a", 6).alias("type_average"))
+    return out.where(F.col("value") > 2 * F.col("a")).select("event_id", "event_type", F.round("a", 8).alias("type_average"))
 
 
 @query("values_over_threshold", "B8", "SELECT event_id, value FROM events WHERE value > (SELECT avg(r_regionkey) * 50 FROM region)")

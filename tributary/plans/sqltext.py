@@ -18,7 +18,7 @@ def slid(table: str, size: int, slide: int, ts: str = "ts") -> str:
     s = slide * 1_000_000
     return (
         f"(SELECT *, make_timestamp((epoch_us({ts}) // {s} - k) * {s}) AS ws,"
-        f" make_timestamp((epoch_us({ts}) // {s} - k) * {s} + {size} * 1000000) AS we"
+        f" make_timestamp((epoch_us({ts}) // {s} - k) * {s} + {size * 1_000_000}) AS we"
         f" FROM {table}, range({size // slide}) r(k))"
     )
 

@@ -41,7 +41,7 @@ def interval_join(
     keys = F.col(left_key) == F.col(right_key)
     if left.isStreaming or right.isStreaming:
         within = F.col(right_time).between(
-            F.col(left_time) + F.make_dt_interval(secs=F.lit(lo)), F.col(left_time) + F.make_dt_interval(secs=F.lit(hi))
+            F.col(left_time) + F.expr(f"INTERVAL '{lo}' SECOND"), F.col(left_time) + F.expr(f"INTERVAL '{hi}' SECOND")
         )
         return left.join(right, keys & within, {"inner": "inner", "left": "leftOuter"}[how])
     width = max(1, hi - lo) * 1_000_000

@@ -2,8 +2,10 @@
 
 from tributary.plans import (  # noqa: F401
     aggregations,
+    histories,
     joined,
     scalars,
+    streams,
     windowed,
 )
 from tributary.plans.registry import REGISTRY

@@ -25,6 +25,14 @@ def read_csv_stream(spark: SparkSession, path: str, schema: Schema, date_format:
     return _stream(spark, max_files).schema(schema).option("dateFormat", date_format).csv(path)
 
 
+# JSON text keeps microseconds; Spark's default would cut them to milliseconds.
+JSON_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
+def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    df.write.mode(mode).option("timestampFormat", JSON_TIME).json(path)
+
+
 def read_json_stream(spark: SparkSession, path: str, schema: Schema, max_files: int | None = None) -> DataFrame:
     return _stream(spark, max_files).schema(schema).json(path)
 

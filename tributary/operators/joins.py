@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tributary.functions.intervals import floor_div
 from tributary.operators.ordered import ROWS_PER_TASK, collect_in_chunks
 
 
@@ -45,9 +46,9 @@ def interval_join(
         )
         return left.join(right, keys & within, {"inner": "inner", "left": "leftOuter"}[how])
     width = max(1, hi - lo) * 1_000_000
-    bucket = F.floor(lt / width)
+    bucket = floor_div(lt, width)
     # every left time whose interval covers this right time lies in [rt - hi, rt - lo]
-    reach = F.sequence(F.floor((rt - hi * 1_000_000) / width), F.floor((rt - lo * 1_000_000) / width))
+    reach = F.sequence(floor_div(rt - hi * 1_000_000, width), floor_div(rt - lo * 1_000_000, width))
     spread = right.withColumn("__rb", F.explode(reach))
     within = (rt - lt).between(lo * 1_000_000, hi * 1_000_000)
     joined = left.withColumn("__lb", bucket).join(spread, keys & (F.col("__lb") == F.col("__rb")) & within, how)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
+from tributary.functions.intervals import floor_div
 from tributary.session import estimated_bytes
 
 ROWS_PER_TASK = 1_000_000
@@ -52,7 +53,7 @@ def bucket_width(
 
 
 def _bucket(time: str, width: int | None) -> Column:
-    return F.lit(0).cast("bigint") if width is None else F.floor(F.unix_micros(time) / width).cast("bigint")
+    return F.lit(0).cast("bigint") if width is None else floor_div(F.unix_micros(time), width)
 
 
 def with_running(
@@ -125,7 +126,7 @@ def over_last_rows(
     if lookback >= rows_per_task:
         raise ValueError("rows_per_task must exceed the lookback")
     place = F.col(position) - 1
-    home = F.floor(place / rows_per_task).cast("bigint")
+    home = floor_div(place, rows_per_task)
     runs = F.when(
         place % rows_per_task >= rows_per_task - lookback, F.array(home, home + 1)
     ).otherwise(F.array(home))
@@ -151,7 +152,7 @@ def over_last_interval(
         spec = Window.partitionBy(*keys).orderBy("__us").rangeBetween(-reach, 0)
         return stamped.withColumns({name: make(spec) for name, make in columns.items()}).drop("__us")
     width = max(width, reach)
-    home = F.floor(F.col("__us") / width).cast("bigint")
+    home = floor_div(F.col("__us"), width)
     runs = F.when(
         F.pmod(F.col("__us"), F.lit(width)) >= width - reach, F.array(home, home + 1)
     ).otherwise(F.array(home))
@@ -178,6 +179,6 @@ def collect_in_chunks(
     """
     width = bucket_width(df, keys, time, rows_per_task)
     placed = with_running(df, keys, time, order, {"__pos": ("sum", F.lit(1).cast("bigint"))}, width)
-    chunked = placed.withColumn("chunk", F.floor((F.col("__pos") - 1) / chunk_size).cast("bigint"))
+    chunked = placed.withColumn("chunk", floor_div(F.col("__pos") - 1, chunk_size))
     pairs = F.sort_array(F.collect_list(F.struct("__pos", F.col(value).alias("v"))))
     return chunked.groupBy(*keys, "chunk").agg(F.transform(pairs, lambda p: p["v"]).alias(name))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.functions.intervals import seconds
+from tributary.functions.intervals import floor_div, seconds
 
 # name -> (function, column); functions: count, sum, min, max, avg
 Aggs = dict[str, tuple[str, str | Column]]
@@ -45,7 +45,7 @@ def sliding(df: DataFrame, time: str, size: str, slide: str, aggs: Aggs, keys: S
             partial.append(_PLAIN[kind](column).alias(f"__{name}"))
             merge = F.sum if kind in ("count", "sum") else _PLAIN[kind]
             final.append(merge(f"__{name}").alias(name))
-    pane = F.floor(F.unix_seconds(time) / step) * step
+    pane = floor_div(F.unix_seconds(time), step) * step
     panes = df.groupBy(*keys, pane.alias("__pane")).agg(*partial)
     starts = F.sequence(F.col("__pane") - (width - step), F.col("__pane"), F.lit(step).cast("bigint"))
     merged = panes.withColumn("__start", F.explode(starts)).groupBy(*keys, "__start").agg(*final)
@@ -165,7 +165,7 @@ def sensor_outliers(df: DataFrame, sensor: str, time: str, value: str, size: str
     the few slot rows are joined back to the values.
     """
     step, width = seconds(slot), seconds(size)
-    slotted = df.withColumn("__slot", F.floor(F.unix_seconds(time) / step) * step)
+    slotted = df.withColumn("__slot", floor_div(F.unix_seconds(time), step) * step)
     x = F.col(value)
     sums = slotted.groupBy(sensor, "__slot").agg(F.count(x).alias("__n"), F.sum(x).alias("__s"), F.sum(x * x).alias("__q"))
     span = Window.partitionBy(sensor).orderBy("__slot").rangeBetween(-(width - step), 0)
@@ -182,7 +182,7 @@ def sustained_load(df: DataFrame, server: str, time: str, load: str, size: str =
     """
     step = seconds(slide)
     means = sliding(df, time, size, slide, {"avg_load": ("avg", load)}, [server])
-    high = means.where(F.col("avg_load") > limit).withColumn("__no", F.floor(F.unix_seconds("start") / step))
+    high = means.where(F.col("avg_load") > limit).withColumn("__no", floor_div(F.unix_seconds("start"), step))
     order = Window.partitionBy(server).orderBy("__no")
     island = high.withColumn("__island", F.col("__no") - F.row_number().over(order))
     runs = island.withColumn("streak", F.row_number().over(Window.partitionBy(server, "__island").orderBy("__no")).cast("bigint"))

@@ -6,6 +6,7 @@ from tributary.plans import (  # noqa: F401
     joined,
     scalars,
     streams,
+    texts,
     windowed,
 )
 from tributary.plans.registry import REGISTRY

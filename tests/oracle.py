@@ -86,7 +86,7 @@ def main(argv: list[str]) -> int:
 
     spark = (
         SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
-        .config("spark.ui.enabled", "false").config("spark.driver.memory", "8g").getOrCreate()
+        .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "8g").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     con, queries, sqls = connect(), entry.queries(), entry.oracle_sql()

@@ -126,7 +126,12 @@ def similar_texts(df: DataFrame, key: str, words: str, group: Sequence[str] = ()
     left = probes.select(*group, "__token", F.col("first").alias("a"), F.col("__size").alias("__na"))
     right = probes.select(*group, "__token", F.col("first").alias("b"), F.col("__size").alias("__nb"))
     fits = F.least("__na", "__nb") > F.greatest("__na", "__nb") * threshold
-    candidates = left.join(right, [*group, "__token"]).where((F.col("a") < F.col("b")) & fits).select(*group, "a", "b").distinct()
+    met = left.join(right, [*group, "__token"]).where((F.col("a") < F.col("b")) & fits)
+    # words shared outside the rare parts are fewer than the larger unprobed rest
+    rest = F.ceil(F.greatest("__na", "__nb") * threshold) - 1
+    needed = (F.col("__na") + F.col("__nb")) * (threshold / (1 + threshold))
+    counted = met.groupBy(*group, "a", "b", "__na", "__nb").agg(F.count(F.lit(1)).alias("__c"))
+    candidates = counted.where(F.col("__c") + rest >= needed - 1e-6).select(*group, "a", "b")
 
     sets = firsts.select(*group, "first", "__words")
     both = candidates.join(sets.withColumnsRenamed({"first": "a", "__words": "__wa"}), [*group, "a"]).join(

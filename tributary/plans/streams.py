@@ -449,3 +449,57 @@ def _(t):
         return state.trending_decay(hashtags(posts, "text", "tag"), "tag", "us", unit_seconds=3600)
 
     return rounded(replay(t.spark, build, "update", ["tag"]), 6, "score").drop("at")
+
+
+@query("stream_refreshed_names", "C11 C10 K2", f"""
+    SELECT event_id, coalesce(CASE WHEN batch_id % 2 = 0 THEN s_name ELSE n_name END, 'N/A') AS name FROM {SLICE_NO}
+    LEFT JOIN supplier ON user_id = s_suppkey LEFT JOIN nation ON user_id = n_nationkey""")
+def _(t):
+    from tributary.sources.tables import read_table
+    from tributary.streaming.control import refreshing_lookup
+
+    s, out = staged(t), work_dir(t.spark, "refreshed")
+
+    def load(spark, n):  # the reference table is swapped between micro-batches
+        if n % 2 == 0:
+            return read_table(spark, t.sf_dir, "supplier", "s_suppkey", "s_name").toDF("id", "name")
+        return read_table(spark, t.sf_dir, "nation", "n_nationkey", "n_name").select(F.col("n_nationkey").cast("bigint").alias("id"), F.col("n_name").alias("name"))
+
+    build = lambda spark: s.stream(spark).select("event_id", "user_id")
+    for_each_batch(t.spark, build, refreshing_lookup(load, "user_id", "id", "name", sinks.exactly_once(out)))
+    return t.spark.read.schema("event_id bigint, name string, batch_id bigint").parquet(out).select("event_id", "name")
+
+
+@query("stream_dynamic_threshold", "B8", f"SELECT event_id, value FROM {SLICE_NO} WHERE value > batch_id * 20")
+def _(t):
+    from tributary.streaming.control import dynamic_threshold
+
+    s, out = staged(t), work_dir(t.spark, "threshold")
+    load = lambda spark, n: spark.createDataFrame([(str(n * 20),)], "threshold string")
+    for_each_batch(t.spark, lambda spark: s.stream(spark).select("event_id", "value"), dynamic_threshold(load, "value", sinks.exactly_once(out)))
+    return t.spark.read.schema("event_id bigint, value double, batch_id bigint").parquet(out).select("event_id", "value")
+
+
+@query("stream_progress", "H28", f"SELECT batch_id, count(*) AS input_rows FROM {SLICE_NO} GROUP BY 1")
+def _(t):
+    from tributary.streaming.monitor import progress_table
+
+    s, seen = staged(t), []
+    replay(t.spark, lambda spark: A.count_by(s.stream(spark), "event_type"), "complete", on_finish=seen.append)
+    return progress_table(t.spark, *seen).where("input_rows > 0").select("batch_id", "input_rows")
+
+
+@query("stream_messages", "A24 A30 B12", """
+    SELECT 'events' AS topic, 'PROCESSED: ' || event_type || ',' || value AS processed FROM events""")
+def _(t):
+    from tributary.functions.parsing import message_values
+    from tributary.plans.scalars import messages
+    from tributary.sources.messages import read_message_files
+
+    stored = work_dir(t.spark, "messages")
+    messages(t).write.parquet(stored)
+
+    def build(spark):
+        return message_values(read_message_files(spark, stored)).select("topic", F.concat(F.lit("PROCESSED: "), "actualValue").alias("processed"))
+
+    return replay(t.spark, build)

@@ -269,6 +269,17 @@ def paced(write_row: Callable[[Row], None], permits_per_second: float = 10, now=
     return write
 
 
+def rate_limited_upsert(write_row: Callable[[Row], None], key: str, order: str, permits_per_second: float = 10) -> BatchFn:
+    """Upsert the newest row per key, every partition at the permitted rate."""
+
+    def write(batch: DataFrame, n: int) -> None:
+        rest = [c for c in batch.columns if c != key]
+        newest = batch.groupBy(key).agg(F.max_by(F.struct(*rest), order).alias("__v")).select(key, "__v.*")
+        newest.foreachPartition(paced(write_row, permits_per_second))
+
+    return write
+
+
 def chunked_ack(df: DataFrame, n: int = 100) -> DataFrame:
     """Hand each partition on in chunks of ``n`` rows; one ``(part, chunk, size)`` row per chunk."""
 

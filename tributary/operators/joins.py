@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions.intervals import floor_div
-from tributary.operators.ordered import ROWS_PER_TASK, collect_in_chunks
+from tributary.operators.ordered import ROWS_PER_TASK, SMALL_INPUT_BYTES, collect_in_chunks
+from tributary.session import estimated_bytes, settled
 
 
 def join_on(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "inner") -> DataFrame:
@@ -86,9 +87,12 @@ def cogroup_lists(
 def join_back(df: DataFrame, keys: Sequence[str], **aggregates: Column) -> DataFrame:
     """Each row with aggregates of its own group.
 
-    The aggregate is small, so a hot group's rows need not meet in one task.
+    The aggregates are computed first and joined back, so a hot group's rows
+    never meet in one task, and are not shuffled when the groups are few.
     """
     per_group = df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggregates.items()])
+    if not df.isStreaming and estimated_bytes(df) > SMALL_INPUT_BYTES:
+        per_group = settled(per_group)
     return df.join(per_group, list(keys))
 
 

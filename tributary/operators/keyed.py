@@ -89,12 +89,12 @@ def adaptive_threshold(
         learned = F.avg(value).over(span) + 2 * F.stddev_pop(value).over(span)
         return F.when(F.count(value).over(span) >= needed, learned).otherwise(F.lit(start))
 
+    width = bucket_width(df, keys, time, rows_per_task)
     out = over_last_rows(
         df, keys, time, order, keep,
-        {"threshold": lambda w: threshold(w, 1 - keep, 0), "__before": lambda w: threshold(w, -keep, -1)}, rows_per_task,
+        {"threshold": lambda w: threshold(w, 1 - keep, 0), "__before": lambda w: threshold(w, -keep, -1)}, rows_per_task, width=width,
     )
     moved = (F.abs(F.col("threshold") - F.col("__before")) > 5).cast("bigint")
-    width = bucket_width(df, keys, time, rows_per_task)
     counted = with_running(out, keys, time, order, {"adjustments": ("sum", moved)}, width)
     alert = F.when(F.col(value) > F.col("threshold"), _severity(F.col(value), F.col("threshold")))
     return counted.withColumn("severity", alert).drop("__before")
@@ -110,8 +110,9 @@ def baseline_scores(
     drift of the last ``recent`` readings lowers the threshold.
     """
     x = F.col(value).cast("double")
-    last = over_last_rows(df, [key], time, order, recent - 1, {"__recent": lambda w: F.avg(x).over(w.rowsBetween(1 - recent, 0))}, rows_per_task)
     width = bucket_width(df, [key], time, rows_per_task)
+    means = {"__recent": lambda w: F.avg(x).over(w.rowsBetween(1 - recent, 0))}
+    last = over_last_rows(df, [key], time, order, recent - 1, means, rows_per_task, width=width)
     run = with_running(last, [key], time, order, {"__s": ("sum", x), "__q": ("sum", x * x)}, width).where(F.col("position") >= needed)
     mean = F.col("__s") / F.col("position")
     sd = F.sqrt(F.greatest(F.col("__q") / F.col("position") - mean * mean, F.lit(0.0)))
@@ -205,6 +206,7 @@ def session_quality(df: DataFrame, key: str, time: str, order: Sequence[str], va
     def mean(first: int, last: int):
         return lambda w: F.avg(x).over(w.rowsBetween(first, last))
 
+    width = bucket_width(df, [key], time, rows_per_task)
     out = over_last_rows(
         df, [key], time, order, hist - 1,
         {
@@ -212,9 +214,8 @@ def session_quality(df: DataFrame, key: str, time: str, order: Sequence[str], va
             "__recent": mean(-4, 0), "__earlier": mean(-9, -5), "average": mean(1 - hist, 0),
             "__sd": lambda w: F.stddev_pop(x).over(w.rowsBetween(1 - hist, 0)),
         },
-        rows_per_task,
+        rows_per_task, width=width,
     )
-    width = bucket_width(df, [key], time, rows_per_task)
     pos = F.col("position")
     broken = with_running(
         out, [key], time, order,

@@ -21,6 +21,7 @@ from tributary.session import estimated_bytes
 ROWS_PER_TASK = 1_000_000
 SMALL_INPUT_BYTES = 64 * 1024 * 1024
 FIRST = Window.unboundedPreceding
+MEASURE = "measure"  # ask bucket_width; pass its answer on to measure only once
 
 _COMBINE: dict[str, Callable[[Column, Column], Column]] = {
     "sum": lambda carried, local: F.coalesce(carried + local, carried, local),
@@ -75,30 +76,23 @@ def with_running(
         frame = Window.partitionBy(*keys).orderBy(*order).rowsBetween(FIRST, last)
         return df.withColumns({name: _AGG[kind](expr).over(frame) for name, (kind, expr) in totals.items()})
 
-    inner = ["__b"]
-    df = df.withColumn("__b", _bucket(time, width))
-    frame = Window.partitionBy(*keys, *inner).orderBy(*order).rowsBetween(FIRST, last)
+    # the keys travel as one struct: it is never null itself, so a plain
+    # equi-join also matches null keys and needs no shuffle beyond the window's
+    group = [F.struct(*keys).alias("__g")] if keys else []
+    by = ["__g", "__b"] if keys else ["__b"]
+    df = df.select("*", *group, _bucket(time, width).alias("__b"))
+    frame = Window.partitionBy(*by).orderBy(*order).rowsBetween(FIRST, last)
     local = df.withColumns({name: _AGG[kind](expr).over(frame) for name, (kind, expr) in totals.items()})
 
-    sums = df.groupBy(*keys, *inner).agg(
-        *[_AGG[kind](expr).alias(f"__c_{name}") for name, (kind, expr) in totals.items()]
-    )
-    earlier = Window.partitionBy(*keys).orderBy("__b").rowsBetween(FIRST, -1)
+    sums = df.groupBy(*by).agg(*[_AGG[kind](expr).alias(f"__c_{name}") for name, (kind, expr) in totals.items()])
+    earlier = Window.partitionBy(*by[:-1]).orderBy("__b").rowsBetween(FIRST, -1)
     carry = sums.select(
-        *[F.col(k).alias(f"__k_{i}") for i, k in enumerate(keys)],
-        F.col("__b").alias("__cb"),
-        *[_AGG[kind](F.col(f"__c_{name}")).over(earlier).alias(f"__c_{name}") for name, (kind, _) in totals.items()],
+        *by, *[_AGG[kind](F.col(f"__c_{name}")).over(earlier).alias(f"__c_{name}") for name, (kind, _) in totals.items()]
     )
-    condition = F.col("__b") == F.col("__cb")
-    for i, k in enumerate(keys):
-        condition = condition & F.col(k).eqNullSafe(F.col(f"__k_{i}"))
-    joined = local.join(carry, condition, "left")
-    combined = joined.withColumns(
+    combined = local.join(carry, by).withColumns(
         {name: _COMBINE[kind](F.col(f"__c_{name}"), F.col(name)) for name, (kind, _) in totals.items()}
     )
-    return combined.drop(
-        "__b", "__cb", *[f"__k_{i}" for i in range(len(keys))], *[f"__c_{name}" for name in totals]
-    )
+    return combined.drop(*by, *[f"__c_{name}" for name in totals])
 
 
 def over_last_rows(
@@ -110,6 +104,7 @@ def over_last_rows(
     columns: dict[str, Callable[[WindowSpec], Column]],
     rows_per_task: int = ROWS_PER_TASK,
     position: str = "position",
+    width: int | str | None = MEASURE,
 ) -> DataFrame:
     """Window columns whose frames reach back at most ``lookback`` rows.
 
@@ -118,7 +113,8 @@ def over_last_rows(
     ``lookback`` rows before it, so no frame is ever short.  ``position`` is
     the row's 1-based place inside its key.
     """
-    width = bucket_width(df, keys, time, rows_per_task)
+    if width == MEASURE:
+        width = bucket_width(df, keys, time, rows_per_task)
     numbered = with_running(df, keys, time, order, {position: ("sum", F.lit(1).cast("bigint"))}, width)
     if width is None:
         spec = Window.partitionBy(*keys).orderBy(*order)
@@ -171,13 +167,15 @@ def collect_in_chunks(
     name: str = "items",
     chunk_size: int = 10_000,
     rows_per_task: int = ROWS_PER_TASK,
+    width: int | str | None = MEASURE,
 ) -> DataFrame:
     """Ordered lists per key, cut in chunks so that no cell grows without bound.
 
     Output: keys, ``chunk`` (0, 1, ...) and the list.  A key with up to
     ``chunk_size`` rows has exactly one chunk.
     """
-    width = bucket_width(df, keys, time, rows_per_task)
+    if width == MEASURE:
+        width = bucket_width(df, keys, time, rows_per_task)
     placed = with_running(df, keys, time, order, {"__pos": ("sum", F.lit(1).cast("bigint"))}, width)
     chunked = placed.withColumn("chunk", floor_div(F.col("__pos") - 1, chunk_size))
     pairs = F.sort_array(F.collect_list(F.struct("__pos", F.col(value).alias("v"))))

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.functions.intervals import floor_div, seconds
+from tributary.operators.ordered import SMALL_INPUT_BYTES
+from tributary.session import estimated_bytes, settled
 
 # name -> (function, column); functions: count, sum, min, max, avg
 Aggs = dict[str, tuple[str, str | Column]]
@@ -171,6 +173,8 @@ def sensor_outliers(df: DataFrame, sensor: str, time: str, value: str, size: str
     span = Window.partitionBy(sensor).orderBy("__slot").rangeBetween(-(width - step), 0)
     n, s, q = (F.sum(c).over(span) for c in ("__n", "__s", "__q"))
     stats = sums.select(sensor, "__slot", n.alias("samples"), (s / n).alias("mean"), F.sqrt(F.greatest(q / n - (s / n) * (s / n), F.lit(0.0))).alias("std"))
+    if estimated_bytes(df) > SMALL_INPUT_BYTES:
+        stats = settled(stats)
     far = (F.col("samples") > 1) & (F.abs(x - F.col("mean")) > sigmas * F.col("std"))
     return slotted.join(stats, [sensor, "__slot"]).where(far).drop("__slot")
 
@@ -198,6 +202,8 @@ def adaptive_windows_by_batch(
     """
     rules = rules or [(bound, seconds(size)) for bound, size in VELOCITY]
     sizes = df.groupBy(batch).agg(F.count(F.lit(1)).alias("velocity"))
+    if estimated_bytes(df) > SMALL_INPUT_BYTES:
+        sizes = settled(sizes)
     pick = None
     for bound, size in rules:
         rule = F.col("velocity") > bound

@@ -71,6 +71,17 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """Compute a result once and read it back from the shared folder.
+
+    Its size is then known, so Catalyst broadcasts it exactly when it is small
+    and the other side of a join is not shuffled in vain.
+    """
+    path = work_dir(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def state_partitions(spark: SparkSession) -> int:
     """Shuffle (and so state) partitions for a streaming query.
 

@@ -60,3 +60,20 @@ def test_expensive_words_boundary(spark):
     df = spark.createDataFrame([(0, "abcdefghi"), (1, "abcdefghij")], "sec int, word string").withColumn("ts", F.timestamp_seconds("sec"))
     out = X.expensive_words(df, "ts", "word").collect()
     assert len(out) == 3 and {r["dollars"] for r in out} == {2}
+
+
+def test_pause_gate_both_ways(spark):
+    from tributary.operators.filters import _gate_by_merge, pause_gate
+
+    rng = random.Random(4)
+    rows = spark.createDataFrame([(i, rng.randint(0, 1000)) for i in range(300)], "id long, sec int").select("id", F.timestamp_seconds("sec").alias("ts"))
+    said = [(rng.randint(0, 1000), rng.choice(["pause", "RESUME", "Pause", "noise"])) for _ in range(30)]
+    said = list({s: (s, c) for s, c in said}.values())
+    commands = spark.createDataFrame(said, "sec int, c string").select(F.timestamp_seconds("sec").alias("at"), "c")
+    expected = set()
+    for r in rows.collect():
+        before = [c.lower() for s, c in sorted(said) if s <= r["ts"].timestamp() and c != "noise"]
+        if not before or before[-1] == "resume":
+            expected.add(r["id"])
+    assert {r["id"] for r in pause_gate(rows, commands, "ts", "at", "c").collect()} == expected
+    assert {r["id"] for r in _gate_by_merge(rows, commands, "ts", "at", "c", 20).collect()} == expected

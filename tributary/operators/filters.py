@@ -9,8 +9,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tributary.operators.ordered import ROWS_PER_TASK, bucket_width, with_running
+from tributary.session import estimated_bytes
+
 # Above this many keywords one automaton per task beats a regular expression.
 REGEX_KEYWORDS = 64
+MAX_COMMAND_BYTES = 1024 * 1024
 
 
 def threshold_filter(df: DataFrame, column: str, threshold: DataFrame, default: float = 0.0) -> DataFrame:
@@ -63,14 +67,29 @@ def pause_intervals(commands: DataFrame, time: str, command: str) -> DataFrame:
 def pause_gate(df: DataFrame, commands: DataFrame, time: str, command_time: str, command: str) -> DataFrame:
     """Drop rows that arrive while paused.
 
-    The intervals are folded into one array and tested per row, so the rows
-    neither shuffle nor meet a join.
+    A short command table is folded into one array of intervals and tested per
+    row, so the rows neither shuffle nor meet a join.  A long one is merged
+    with the rows in time order, carrying the last command forward.
     """
+    if estimated_bytes(commands) > MAX_COMMAND_BYTES:
+        return _gate_by_merge(df, commands, time, command_time, command)
     spans = pause_intervals(commands, command_time, command).agg(F.collect_list(F.struct("paused", "resumed")).alias("spans"))
     inside = F.exists("__spans", lambda s: (F.col(time) >= s["paused"]) & (s["resumed"].isNull() | (F.col(time) < s["resumed"])))
     return df.withColumn("__spans", spans.scalar()).where(~inside).drop("__spans")
 
 
+def _gate_by_merge(df: DataFrame, commands: DataFrame, time: str, command_time: str, command: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    known = commands.where(F.lower(command).isin("pause", "resume"))
+    orders = known.select(
+        F.col(command_time).alias(time), F.struct(F.col(command_time).alias("at"), (F.lower(command) == "resume").alias("open")).alias("__said")
+    )
+    merged = df.withColumn("__row", F.lit(True)).unionByName(orders.withColumn("__row", F.lit(False)), allowMissingColumns=True)
+    width = bucket_width(merged.select(time), [], time, rows_per_task)
+    # at equal times the command comes first
+    told = with_running(merged, [], time, [time, "__row"], {"__last": ("max", F.col("__said"))}, width)
+    return told.where(F.col("__row") & F.coalesce(F.col("__last.open"), F.lit(True))).select(*df.columns)
+
+
 def route_by_tenant(df: DataFrame, tenants: DataFrame, tenant: str, api_key: str) -> DataFrame:
     """Add ``topic``: the tenant's own, ``unknown`` without producer, ``unauthorized`` on a bad key.
 

@@ -115,18 +115,17 @@ def _(t):
 
 
 @query("events_outside_pauses", "A39", """
-    WITH p AS (SELECT ts AS at_, CASE WHEN event_type = 'error' THEN 'pause' ELSE 'resume' END AS command FROM events
-          WHERE event_type IN ('error', 'signup') AND user_id = 7),
+    WITH p AS (SELECT TIMESTAMP '2024-01-01' + n_nationkey * INTERVAL 1 DAY AS at_, CASE WHEN n_regionkey % 2 = 0 THEN 'pause' ELSE 'resume' END AS command FROM nation),
     q AS (SELECT at_, command, lag(command, 1, 'resume') OVER (ORDER BY at_) AS prior FROM p),
     r AS (SELECT at_, command, lead(at_) OVER (ORDER BY at_) AS resumed FROM q WHERE command <> prior)
     SELECT event_id FROM events WHERE NOT EXISTS (SELECT 1 FROM r WHERE command = 'pause' AND ts >= at_ AND (resumed IS NULL OR ts < resumed))""")
 def _(t):
-    e = t("events", "event_id", "ts", "user_id", "event_type")
-    # one user's errors and signups play the operator's pause and resume commands
-    commands = e.where("user_id = 7 and event_type in ('error', 'signup')").select(
-        F.col("ts").alias("at"), F.when(F.col("event_type") == "error", "pause").otherwise("resume").alias("command")
+    # the nations play the operator's commands, one a day
+    commands = t("nation", "n_nationkey", "n_regionkey").select(
+        F.timestamp_seconds(F.lit(1704067200) + F.col("n_nationkey") * 86400).alias("at"),
+        F.when(F.col("n_regionkey") % 2 == 0, "pause").otherwise("resume").alias("command"),
     )
-    return K.pause_gate(e, commands, "ts", "at", "command").select("event_id")
+    return K.pause_gate(t("events", "event_id", "ts"), commands, "ts", "at", "command").select("event_id")
 
 
 TENANTS = [("tenant0", "key0", True), ("tenant1", "key1", True), ("tenant2", "key2", False)]

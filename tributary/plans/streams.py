@@ -343,7 +343,7 @@ def _(t):
     return sinks.append_evolving(old, new)
 
 
-@query("acknowledged_chunks", "A34", """
+@query("acknowledged_chunks", "A34 K3", """
     SELECT count(*) AS total, true AS all_within_limit FROM lineitem""")
 def _(t):
     acks = sinks.chunked_ack(t("lineitem", "l_orderkey"), 100)
@@ -503,3 +503,76 @@ def _(t):
         return message_values(read_message_files(spark, stored)).select("topic", F.concat(F.lit("PROCESSED: "), "actualValue").alias("processed"))
 
     return replay(t.spark, build)
+
+
+@query("static_json_customers", "A3", "SELECT c_custkey, c_name, c_acctbal FROM customer")
+def _(t):
+    from tributary.sources.files import read_json_static, write_json
+
+    out = work_dir(t.spark, "json")
+    write_json(t("customer", "c_custkey", "c_name", "c_acctbal"), out)
+    return read_json_static(t.spark, out, "c_custkey bigint, c_name string, c_acctbal double")
+
+
+@query("stream_watched_folders", "A6 A7 A31", """
+    SELECT event_type || ',' || user_id AS value, count(*) AS n FROM events GROUP BY 1""")
+def _(t):
+    from tributary.sources.files import watch_many
+
+    s, out = staged(t), work_dir(t.spark, "watched")
+    build = lambda spark: s.stream(spark).select(F.concat_ws(",", "event_type", "user_id").alias("value"))
+    for_each_batch(t.spark, build, sinks.text_per_batch(out))
+    return replay(t.spark, lambda spark: watch_many(spark, f"{out}/batch=*", 1).select("value")).groupBy("value").agg(F.count("*").alias("n"))
+
+
+@query("stream_resumed_after_restart", "A29 A28", "SELECT event_id, value FROM events")
+def _(t):
+    source, out, checkpoint = (work_dir(t.spark, kind) for kind in ("source", "resumed", "checkpoint"))
+    e = t("events", "event_id", "ts", "value")
+    middle = F.lit("2024-01-15").cast("timestamp")
+    for part in (e.where(F.col("ts") < middle), e.where(F.col("ts") >= middle)):
+        part.select("event_id", "value").write.mode("append").parquet(source)
+        # a new query on the same checkpoint goes on after the files already done
+        build = lambda spark: spark.readStream.schema("event_id bigint, value double").parquet(source)
+        for_each_batch(t.spark, build, sinks.exactly_once(out), checkpoint=checkpoint)
+    return t.spark.read.schema("event_id bigint, value double, batch_id bigint").parquet(out).select("event_id", "value")
+
+
+@query("rows_mapped_in_pandas", "K1", "SELECT event_id, round(value * 1.19::DOUBLE, 6) AS gross FROM events WHERE value > 100")
+def _(t):
+    from tributary.operators.custom import map_rows
+
+    def gross(pdf):
+        big = pdf[pdf["value"] > 100]
+        return big.assign(gross=big["value"] * 1.19)[["event_id", "gross"]]
+
+    return rounded(map_rows(t("events", "event_id", "value"), gross, "event_id bigint, gross double"), 6, "gross")
+
+
+@query("stream_top_types_per_batch", "K6 E3", f"""
+    WITH c AS (SELECT batch_id, event_type, count(*) AS count FROM {SLICE_NO} GROUP BY ALL)
+    SELECT batch_id, event_type, count FROM c QUALIFY row_number() OVER (PARTITION BY batch_id ORDER BY count DESC, event_type) <= 2""")
+def _(t):
+    from tributary.operators.custom import transform_batches
+    from tributary.operators.ranking import top_k
+
+    s, out = staged(t), work_dir(t.spark, "top")
+    best = lambda batch: top_k(A.count_by(batch, "event_type"), "count", ["event_type"], 2)
+    for_each_batch(t.spark, s.stream, transform_batches(best, sinks.exactly_once(out)))
+    return t.spark.read.schema("event_type string, count bigint, batch_id bigint").parquet(out)
+
+
+@query("stream_tailed_lines", "A40", "SELECT event_id || ',' || event_type AS value FROM events")
+def _(t):
+    from tributary.sources.tailing import TailedLines
+
+    source, out = work_dir(t.spark, "tailed"), work_dir(t.spark, "lines")
+    t("events").select(F.concat_ws(",", "event_id", "event_type").alias("value")).write.text(source)
+    t.spark.dataSource.register(TailedLines)
+    stream = t.spark.readStream.format("tailed_lines").option("path", source).load().select("value")
+    query = stream.writeStream.option("checkpointLocation", work_dir(t.spark, "checkpoint")).foreachBatch(sinks.exactly_once(out)).start()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return t.spark.read.schema("value string, batch_id bigint").parquet(out).select("value")

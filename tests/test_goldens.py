@@ -135,5 +135,6 @@ def test_labels_and_brackets(spark):
 
 def test_state_settings(spark):
     sibling = streaming_session(spark)
-    assert sibling.conf.get("spark.sql.shuffle.partitions") == spark.conf.get("spark.sql.shuffle.partitions")
+    assert sibling.conf.get("spark.sql.shuffle.partitions") == "2"  # a quarter of eight local cores
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
     assert "RocksDB" in sibling.conf.get("spark.sql.streaming.stateStore.providerClass")

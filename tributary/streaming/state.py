@@ -17,58 +17,77 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from tributary.operators.keyed import ADVICE
 
 
+Arrays = dict[str, np.ndarray]
+
+
 def _sorted(pdfs: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame:
-    return pd.concat(list(pdfs), ignore_index=True).sort_values(list(order), ignore_index=True)
+    parts = list(pdfs)
+    rows = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+    return rows.iloc[np.lexsort([rows[c].to_numpy() for c in reversed(order)])]
 
 
 def _history(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], keep: Callable[[pd.DataFrame], pd.DataFrame],
-    compute: Callable[[pd.DataFrame, int], pd.DataFrame], output: str,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], keep: Callable[[Arrays], slice],
+    compute: Callable[[Arrays, Arrays, int], Arrays], output: str,
 ) -> DataFrame:
     """State = a short table of earlier rows (``columns``, as arrays of double).
 
-    ``compute(rows, old)`` sees history and new rows together; the first
-    ``old`` are history.  ``keep`` picks what the next batch needs.
+    ``compute(rows, new, old)`` sees the columns of history and new rows
+    together (the first ``old`` are history) and all columns of the new rows.
+    ``keep`` picks what the next batch needs.
     """
     fields = ", ".join(f"{c} array<double>" for c in columns)
 
     def step(key, pdfs, state: GroupState):
-        new = _sorted(pdfs, order)
-        if state.exists:
-            past = pd.DataFrame({c: np.asarray(v, dtype="float64") for c, v in zip(columns, state.get)})
-        else:
-            past = pd.DataFrame({c: np.empty(0) for c in columns})
-        rows = pd.concat([past, new], ignore_index=True) if len(past) else new
-        state.update(tuple(keep(rows)[c].astype("float64").tolist() for c in columns))
-        out = compute(rows, len(past))
-        if len(out):
-            yield out.assign(**dict(zip(keys, key)))
+        frame = _sorted(pdfs, order)
+        new = {c: frame[c].to_numpy() for c in frame.columns}
+        past = state.get if state.exists else ([],) * len(columns)
+        rows = {c: np.concatenate([np.asarray(v, dtype="float64"), new[c].astype("float64")]) for c, v in zip(columns, past)}
+        chosen = keep(rows)
+        state.update(tuple(rows[c][chosen].tolist() for c in columns))
+        out = compute(rows, new, len(past[0]))
+        size = len(next(iter(out.values())))
+        if size:
+            yield pd.DataFrame({**out, **{k: [v] * size for k, v in zip(keys, key)}})
 
     return df.groupBy(*keys).applyInPandasWithState(step, output, fields, "append", GroupStateTimeout.NoTimeout)
 
 
+def _last(n: int) -> Callable[[Arrays], slice]:
+    return lambda rows: slice(max(0, len(next(iter(rows.values()))) - n), None)
+
+
+def _means(x: np.ndarray, n: int, old: int) -> np.ndarray:
+    """Mean of the last ``n`` values at every new row, NaN before there are ``n``."""
+    out = np.full(len(x), np.nan)
+    if len(x) >= n:
+        out[n - 1 :] = np.lib.stride_tricks.sliding_window_view(x, n).mean(axis=1)
+    return out[old:]
+
+
 def rolling_avg(df: DataFrame, key: str, order: Sequence[str], ident: str, value: str, n: int = 3) -> DataFrame:
     """Mean of the last ``n`` values, across micro-batches."""
 
-    def compute(rows, old):
-        mean = rows[value].rolling(n).mean()
-        return rows.assign(rolling_avg=mean).iloc[old:].dropna(subset=["rolling_avg"])[[ident, "rolling_avg"]]
+    def compute(rows, new, old):
+        mean = _means(rows[value], n, old)
+        ready = ~np.isnan(mean)
+        return {ident: new[ident][ready], "rolling_avg": mean[ready]}
 
     kind = df.schema[key].dataType.simpleString()
-    return _history(df, [key], order, [value], lambda r: r.tail(n - 1), compute, f"{ident} bigint, rolling_avg double, {key} {kind}")
+    return _history(df, [key], order, [value], _last(n - 1), compute, f"{ident} bigint, rolling_avg double, {key} {kind}")
 
 
 def multi_window_trend(df: DataFrame, key: str, order: Sequence[str], ident: str, value: str) -> DataFrame:
-    def compute(rows, old):
-        m = pd.DataFrame({f"avg{n}": rows[value].rolling(n).mean() for n in (3, 5, 10)})
-        a, b, c = m["avg3"], m["avg5"], m["avg10"]
+    def compute(rows, new, old):
+        a, b, c = (_means(rows[value], n, old) for n in (3, 5, 10))
         trend = np.select(
-            [(a < b) & (b < c), (a > b) & (b > c), ((a - b).abs() < 50) & ((b - c).abs() < 50)], ["improving", "degrading", "stable"], "fluctuating"
+            [(a < b) & (b < c), (a > b) & (b > c), (np.abs(a - b) < 50) & (np.abs(b - c) < 50)], ["improving", "degrading", "stable"], "fluctuating"
         )
-        return m.assign(trend=trend, **{ident: rows[ident]}).iloc[old:].dropna(subset=["avg10"])
+        ready = ~np.isnan(c)
+        return {ident: new[ident][ready], "avg3": a[ready], "avg5": b[ready], "avg10": c[ready], "trend": trend[ready]}
 
     kind = df.schema[key].dataType.simpleString()
-    return _history(df, [key], order, [value], lambda r: r.tail(9), compute,
+    return _history(df, [key], order, [value], _last(9), compute,
                     f"{ident} bigint, avg3 double, avg5 double, avg10 double, trend string, {key} {kind}")
 
 
@@ -78,21 +97,22 @@ def fraud_alerts(df: DataFrame, user: str, micros: str, ident: str, amount: str,
     reach = window_seconds * 1_000_000
 
     def keep(rows):
-        return rows[rows[micros] >= rows[micros].iloc[-1] - reach]
+        return slice(int(np.searchsorted(rows[micros], rows[micros][-1] - reach, side="left")), None)
 
-    def compute(rows, old):
-        at, x = rows[micros].to_numpy(dtype="float64"), rows[amount].to_numpy()
-        first = np.searchsorted(at, at - reach, side="left")
-        after = np.searchsorted(at, at, side="right")
+    def compute(rows, new, old):
+        at, x = rows[micros], rows[amount]
+        first = np.searchsorted(at, at[old:] - reach, side="left")
+        after = np.searchsorted(at, at[old:], side="right")
         sums = np.concatenate([[0.0], np.cumsum(x)])
         count, total = after - first, sums[after] - sums[first]
-        out = pd.DataFrame({ident: rows[ident], "recent_count": count, "recent_total": total, "x": x}).iloc[old:]
         rules = {
-            "too many transactions": out["recent_count"] > max_count, "high amount": out["recent_total"] > max_total,
-            "unusual large transaction": out["x"] > out["recent_total"] / out["recent_count"] * times_average,
+            "too many transactions": count > max_count, "high amount": total > max_total,
+            "unusual large transaction": x[old:] > total / count * times_average,
         }
-        found = pd.concat([out[hit].assign(reason=reason) for reason, hit in rules.items()])
-        return found.drop(columns="x").astype({ident: "int64"})
+        hits = [np.flatnonzero(rule) for rule in rules.values()]
+        at_row = np.concatenate(hits)
+        reason = np.repeat(list(rules), [len(h) for h in hits])
+        return {ident: new[ident][at_row], "recent_count": count[at_row], "recent_total": total[at_row], "reason": reason}
 
     kind = df.schema[user].dataType.simpleString()
     return _history(df, [user], [micros, ident], [micros, amount], keep, compute,
@@ -101,17 +121,19 @@ def fraud_alerts(df: DataFrame, user: str, micros: str, ident: str, amount: str,
 
 def adaptive_threshold(df: DataFrame, keys: Sequence[str], order: Sequence[str], ident: str, value: str, start: float = 80.0,
                        keep: int = 100, needed: int = 10) -> DataFrame:
-    def compute(rows, old):
-        span = rows[value].rolling(keep, min_periods=1)
-        learned = span.mean() + 2 * span.std(ddof=0)
-        threshold = learned.where(span.count() >= needed, start)
-        out = pd.DataFrame({ident: rows[ident], value: rows[value], "threshold": threshold}).iloc[old:]
-        out = out[out[value] > out["threshold"]].astype({ident: "int64"})
-        ratio = out[value] / out["threshold"]
-        return out.assign(severity=np.select([ratio > 1.5, ratio > 1.2], ["CRITICAL", "HIGH"], "MEDIUM"))
+    def compute(rows, new, old):
+        x = rows[value]
+        threshold = np.full(len(x) - old, start)
+        for i in range(max(old, needed - 1), len(x)):
+            span = x[max(0, i - keep + 1) : i + 1]
+            threshold[i - old] = span.mean() + 2 * span.std()
+        over = x[old:] > threshold
+        hit, limit = x[old:][over], threshold[over]
+        severity = np.select([hit > limit * 1.5, hit > limit * 1.2], ["CRITICAL", "HIGH"], "MEDIUM")
+        return {ident: new[ident][over], value: hit, "threshold": limit, "severity": severity}
 
     kinds = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
-    return _history(df, keys, order, [value], lambda r: r.tail(keep - 1), compute, f"{ident} bigint, {value} double, threshold double, severity string, {kinds}")
+    return _history(df, keys, order, [value], _last(keep - 1), compute, f"{ident} bigint, {value} double, threshold double, severity string, {kinds}")
 
 
 def baseline_anomalies(df: DataFrame, key: str, micros: str, ident: str, value: str, cooldown_seconds: float = 5.0) -> DataFrame:

@@ -59,12 +59,12 @@ def _(t):
 
 
 @query("average_price_per_size", "D6", """
-    SELECT 'Size: ' || p_size || ', AvgPrice: ' || round(avg(p_retailprice), 2) || ', Count: ' || count(*) AS line
+    SELECT 'Size: ' || p_size || ', AvgPrice: ' || round(avg(p_retailprice), 6) || ', Count: ' || count(*) AS line
     FROM part WHERE p_size IS NOT NULL AND p_retailprice IS NOT NULL GROUP BY p_size""")
 def _(t):
     out = A.avg_and_count_by(t("part"), "p_size", "p_retailprice")
     return out.select(
-        F.concat(F.lit("Size: "), "p_size", F.lit(", AvgPrice: "), F.round("average", 2), F.lit(", Count: "), "count").alias("line")
+        F.concat(F.lit("Size: "), "p_size", F.lit(", AvgPrice: "), F.round("average", 6), F.lit(", Count: "), "count").alias("line")
     )
 
 

@@ -62,7 +62,8 @@ def compare(spark_df, con, sql: str) -> list[str]:
     for name, kind in spark_types.items():
         ours = SPARK_KIND.get(kind, kind)
         theirs = DUCK_KIND.get(duck_types[name], duck_types[name])
-        if ours != theirs and not kind.startswith("array"):
+        exact = {"bigint": "BIGINT", "int": "INTEGER"}
+        if ours != theirs or (os.environ.get("ORACLE_EXACT") and kind in exact and exact[kind] != duck_types[name]):
             problems.append(f"type of {name}: {kind} vs {duck_types[name]}")
     names = sorted(duck_names)
     spark_rows = spark_df.select(*[f"`{n}`" for n in names]).collect()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tributary.operators import aggregates as A
 from tributary.operators.joins import join_back
 from tributary.operators.ordered import collect_in_chunks
-from tributary.plans.registry import query
+from tributary.plans.registry import as_text, query
 from tributary.plans.sqltext import start
 
 WEEK = 7 * 86400
@@ -110,11 +110,11 @@ def _(t):
 
 
 @query("collected_values_per_window", "D12", f"""
-    SELECT {start(6 * 3600)} AS start, list(event_type ORDER BY ts, event_id) AS items, CAST(0 AS BIGINT) AS chunk
+    SELECT {start(6 * 3600)} AS start, array_to_string(list(event_type ORDER BY ts, event_id), ',') AS items, CAST(0 AS BIGINT) AS chunk
     FROM events GROUP BY 1""")
 def _(t):
     e = t("events", "event_id", "ts", "event_type").withColumn("start", F.window("ts", "6 hours").start)
-    return collect_in_chunks(e, ["start"], "ts", "event_type", ["ts", "event_id"])
+    return as_text(collect_in_chunks(e, ["start"], "ts", "event_type", ["ts", "event_id"]), "items")
 
 
 @query("storage_ratio", "D13 I4", """

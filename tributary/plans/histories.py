@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tributary.operators import keyed as K
 from tributary.operators import sessions as S
-from tributary.plans.registry import query
+from tributary.plans.registry import as_text, query
 from tributary.plans.sqltext import sessioned, slid
 from tributary.plans.windowed import TAGGED, quantity, tagged
 
@@ -34,10 +34,10 @@ def _(t):
 
 
 @query("session_actions", "I2", f"""
-    SELECT user_id, s AS session_start, CAST(0 AS BIGINT) AS chunk, list(event_type ORDER BY ts) AS actions,
+    SELECT user_id, s AS session_start, CAST(0 AS BIGINT) AS chunk, array_to_string(list(event_type ORDER BY ts), ',') AS actions,
            (epoch_us(max(ts)) - epoch_us(s)) // 1000000 AS seconds FROM {sessioned('events', 12 * HOUR_US)} GROUP BY user_id, s""")
 def _(t):
-    return S.session_actions(t("events", "user_id", "ts", "event_type"), "user_id", "ts", "event_type", 12 * 3600)
+    return as_text(S.session_actions(t("events", "user_id", "ts", "event_type"), "user_id", "ts", "event_type", 12 * 3600), "actions")
 
 
 @query("session_summary", "I5", f"""

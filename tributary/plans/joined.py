@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tributary.operators import filters as K
 from tributary.operators import joins as J
-from tributary.plans.registry import query
+from tributary.plans.registry import as_text, query
 
 
 @query("orders_with_customers", "C1", """
@@ -97,12 +97,13 @@ def _(t):
 
 
 @query("views_and_clicks_grouped", "C12", """
-    SELECT coalesce(v.user_id, c.user_id) AS user_id, CAST(0 AS BIGINT) AS chunk, coalesce(v.items, []) AS left_items, coalesce(c.items, []) AS right_items
+    SELECT coalesce(v.user_id, c.user_id) AS user_id, CAST(0 AS BIGINT) AS chunk, coalesce(array_to_string(v.items, ','), '') AS left_items, coalesce(array_to_string(c.items, ','), '') AS right_items
     FROM (SELECT user_id, list(event_id ORDER BY ts) AS items FROM events WHERE event_type = 'view' GROUP BY 1) v
     FULL JOIN (SELECT user_id, list(event_id ORDER BY ts) AS items FROM events WHERE event_type = 'click' GROUP BY 1) c USING (user_id)""")
 def _(t):
     e = t("events", "event_id", "ts", "user_id", "event_type")
-    return J.cogroup_lists(e.where("event_type = 'view'"), e.where("event_type = 'click'"), "user_id", "ts", "event_id", "event_id", ["ts"])
+    out = J.cogroup_lists(e.where("event_type = 'view'"), e.where("event_type = 'click'"), "user_id", "ts", "event_id", "event_id", ["ts"])
+    return as_text(out, "left_items", "right_items")
 
 
 KEYWORDS = ["ation", "Eaux", "wh "]

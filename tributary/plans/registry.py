@@ -6,6 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tributary.session import use_utc
 from tributary.sources.tables import Tables, without_zone
@@ -25,6 +26,14 @@ class Registered:
 REGISTRY: dict[str, Registered] = {}
 
 
+def as_text(df: DataFrame, *columns: str) -> DataFrame:
+    """Lists and dates as text, so that results compare the same everywhere."""
+    kinds = dict(df.dtypes)
+    return df.withColumns(
+        {c: F.array_join(F.col(c).cast("array<string>"), ",") if kinds[c].startswith("array") else F.col(c).cast("string") for c in columns}
+    )
+
+
 def query(name: str, rows: str, sql: str | None = None):
     """Register ``build(tables) -> DataFrame`` with its SQL twin."""
 

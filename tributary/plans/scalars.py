@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tributary.functions import parsing as P
 from tributary.functions import scalar as S
-from tributary.plans.registry import query
+from tributary.plans.registry import as_text, query
 
 
 @query("projected_weights", "B1", """
@@ -180,14 +180,14 @@ def _(t):
 
 
 @query("positional_lines", "B23", """
-    SELECT o_orderkey AS id, o_orderstatus AS status, CAST(o_orderdate AS DATE) AS day, o_totalprice AS price FROM orders""")
+    SELECT o_orderkey AS id, o_orderstatus AS status, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day, o_totalprice AS price FROM orders""")
 def _(t):
     lines = t("orders").select(
         F.concat_ws(
             ":", "o_orderkey", "o_orderstatus", F.date_format("o_orderdate", "yyyy-MM-dd"), F.col("o_totalprice").cast("string")
         ).alias("value")
     )
-    return P.parse_positional(lines, "value", "id bigint, status string, day date, price double")
+    return as_text(P.parse_positional(lines, "value", "id bigint, status string, day date, price double"), "day")
 
 
 @query("null_safe_filter", "B24", """
@@ -255,10 +255,10 @@ def stock_lines(t):
 
 
 @query("stock_lines_valid", "A32 A1", f"""
-    SELECT event_id, event_type AS company, CAST(ts AS DATE) AS date, value FROM ({_STOCK_LINES})
+    SELECT event_id, event_type AS company, CAST(CAST(ts AS DATE) AS VARCHAR) AS date, value FROM ({_STOCK_LINES})
     WHERE event_id % 50 <> 0 AND event_id % 41 <> 0""")
 def _(t):
-    return P.dead_letter_csv(stock_lines(t))[0]
+    return as_text(P.dead_letter_csv(stock_lines(t))[0], "date")
 
 
 @query("stock_lines_dead_letters", "A32", f"""

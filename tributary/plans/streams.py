@@ -12,7 +12,7 @@ from tributary.operators import windows as W
 from tributary.plans.aggregations import BATCH, WEEK, delayed
 from tributary.plans.histories import FRAUD_SQL, HOUR_US, ROLLING_SQL, SESSION_SQL, TREND_SQL, rounded
 from tributary.plans.joined import views_and_clicks
-from tributary.plans.registry import REGISTRY, query
+from tributary.plans.registry import REGISTRY, as_text, query
 from tributary.plans.sqltext import plus, sessioned, slid, start
 from tributary.plans.windowed import TAGGED
 from tributary.session import work_dir
@@ -408,13 +408,14 @@ def _(t):
 
 
 @query("stream_session_expiry", "I2 I5 I15", f"""
-    WITH s AS (SELECT user_id, s, max(ts) AS e, list(event_type ORDER BY ts) AS actions FROM {sessioned('events', 12 * HOUR_US)} GROUP BY user_id, s),
+    WITH s AS (SELECT user_id, s, max(ts) AS e, array_to_string(list(event_type ORDER BY ts), ',') AS actions FROM {sessioned('events', 12 * HOUR_US)} GROUP BY user_id, s),
     l AS (SELECT *, lead(s) OVER (PARTITION BY user_id ORDER BY s) AS later FROM s)
     SELECT user_id, epoch_us(s) AS started, epoch_us(e) AS ended, actions FROM l
     WHERE later IS NOT NULL OR (epoch_us(e) + {12 * HOUR_US}) // 1000 * 1000 < epoch_us({watermark(HOUR)})""")
 def _(t):
     s = staged(t)
-    return replay(t.spark, lambda spark: state.session_expiry(s.stream(spark).select("user_id", "ts", "event_type"), "user_id", "ts", "event_type", 12 * HOUR, "1 hour"))
+    build = lambda spark: state.session_expiry(s.stream(spark).select("user_id", "ts", "event_type"), "user_id", "ts", "event_type", 12 * HOUR, "1 hour")
+    return as_text(replay(t.spark, build), "actions")
 
 
 @query("stream_user_activity", "I1", REGISTRY["user_activity"].sql)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tributary.functions.scalar import describe_post, normalize_text, sentiment_label
 from tributary.operators.windows import sliding
+from tributary.session import settled, shared_base
 
 SENTENCE_END = r"[.!?\n]+"
 NOT_A_LETTER = r"[^\p{L}]+"
@@ -109,8 +110,9 @@ def similar_texts(df: DataFrame, key: str, words: str, group: Sequence[str] = ()
     threshold.  Only texts sharing such a word, of fitting size, are compared.
     """
     group = list(group)
-    marked = df.withColumn("__sha", F.sha2(F.to_json(F.col(words)), 256))
-    firsts = marked.groupBy(*group, "__sha").agg(F.min(key).alias("first"), F.any_value(words).alias("__words"))
+    marked = df.withColumn("__sha", F.sha2(F.concat_ws(" ", words), 256))
+    # used four times below; computed and stored once
+    firsts = settled(marked.groupBy(*group, "__sha").agg(F.min(key).alias("first"), F.any_value(words).alias("__words")))
     copies = marked.select(*group, key, "__sha").join(firsts.drop("__words"), [*group, "__sha"]).select(*group, key, "first")
 
     tokens = firsts.select(*group, "first", F.size("__words").alias("__size"), F.explode("__words").alias("__token"))
@@ -150,8 +152,6 @@ def connected_groups(pairs: DataFrame, a: str = "a", b: str = "b", max_rounds: i
     until only stars remain, in a number of rounds that grows with the
     logarithm of the longest chain.  The edge list is checkpointed per round.
     """
-    from tributary.session import shared_base
-
     shared_base(pairs.sparkSession)
     edges = pairs.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct().checkpoint()
     for _ in range(max_rounds):

@@ -15,7 +15,7 @@ from tributary.plans.joined import views_and_clicks
 from tributary.plans.registry import REGISTRY, as_text, query
 from tributary.plans.sqltext import plus, sessioned, slid, start
 from tributary.plans.windowed import TAGGED
-from tributary.session import work_dir
+from tributary.session import python_state, work_dir
 from tributary.sources.tables import table_schema
 from tributary.streaming import late, sinks, state
 from tributary.streaming.replay import for_each_batch, replay, stage
@@ -361,21 +361,21 @@ def _micros(e):
 def _(t):
     s = staged(t)
     build = lambda spark: state.rolling_avg(_micros(s.stream(spark)).select("user_id", "us", "event_id", "x"), "user_id", ["us", "event_id"], "event_id", "x")
-    return rounded(replay(t.spark, build), 8, "rolling_avg")
+    return rounded(replay(t.spark, build, conf=python_state(t.spark)), 8, "rolling_avg")
 
 
 @query("stream_multi_window_trend", "I9", TREND_SQL)
 def _(t):
     s = staged(t)
     build = lambda spark: state.multi_window_trend(_micros(s.stream(spark)).select("user_id", "us", "event_id", "x"), "user_id", ["us", "event_id"], "event_id", "x")
-    return rounded(replay(t.spark, build), 8, "avg3", "avg5", "avg10")
+    return rounded(replay(t.spark, build, conf=python_state(t.spark)), 8, "avg3", "avg5", "avg10")
 
 
 @query("stream_fraud_alerts", "I6", FRAUD_SQL)
 def _(t):
     s = staged(t)
     build = lambda spark: state.fraud_alerts(_micros(s.stream(spark)).select("user_id", "us", "event_id", "value"), "user_id", "us", "event_id", "value", 3 * DAY, 8, 600.0, 4.0)
-    return rounded(replay(t.spark, build), 4, "recent_total")
+    return rounded(replay(t.spark, build, conf=python_state(t.spark)), 4, "recent_total")
 
 
 @query("stream_adaptive_threshold", "I7", f"SELECT * EXCLUDE (adjustments) FROM ({REGISTRY['adaptive_threshold_alerts'].sql})")
@@ -383,28 +383,28 @@ def _(t):
     s = staged(t)
     build = lambda spark: state.adaptive_threshold(
         _micros(s.stream(spark)).select("user_id", "event_type", "us", "event_id", "value"), ["user_id", "event_type"], ["us", "event_id"], "event_id", "value")
-    return rounded(replay(t.spark, build), 7, "threshold")
+    return rounded(replay(t.spark, build, conf=python_state(t.spark)), 7, "threshold")
 
 
 @query("stream_baseline_anomalies", "I10", REGISTRY["baseline_anomalies"].sql)
 def _(t):
     s = staged(t)
     build = lambda spark: state.baseline_anomalies(_micros(s.stream(spark)).select("user_id", "us", "event_id", "x"), "user_id", "us", "event_id", "x", 72 * HOUR)
-    return rounded(rounded(replay(t.spark, build), 6, "zscore", "confidence"), 4, "expected_low", "expected_high")
+    return rounded(rounded(replay(t.spark, build, conf=python_state(t.spark)), 6, "zscore", "confidence"), 4, "expected_low", "expected_high")
 
 
 @query("stream_session_quality", "I11", REGISTRY["session_quality_reports"].sql)
 def _(t):
     s = staged(t)
     build = lambda spark: state.session_quality(_micros(s.stream(spark)).select("user_id", "us", "event_id", "x"), "user_id", "us", "event_id", "x")
-    return rounded(replay(t.spark, build), 6, "overall", "average")
+    return rounded(replay(t.spark, build, conf=python_state(t.spark)), 6, "overall", "average")
 
 
 @query("stream_rate_limit", "I16", REGISTRY["rate_limited_requests"].sql)
 def _(t):
     s = staged(t)
     build = lambda spark: state.rate_limit(_micros(s.stream(spark)).select("user_id", "us", "event_id"), "user_id", "us", "event_id", 3, DAY)
-    return replay(t.spark, build)
+    return replay(t.spark, build, conf=python_state(t.spark))
 
 
 @query("stream_session_expiry", "I2 I5 I15", f"""
@@ -415,7 +415,7 @@ def _(t):
 def _(t):
     s = staged(t)
     build = lambda spark: state.session_expiry(s.stream(spark).select("user_id", "ts", "event_type"), "user_id", "ts", "event_type", 12 * HOUR, "1 hour")
-    return as_text(replay(t.spark, build), "actions")
+    return as_text(replay(t.spark, build, conf=python_state(t.spark)), "actions")
 
 
 @query("stream_user_activity", "I1", REGISTRY["user_activity"].sql)
@@ -449,7 +449,7 @@ def _(t):
         posts = s.stream(spark).select(F.unix_micros("ts").alias("us"), post_text().alias("text"))
         return state.trending_decay(hashtags(posts, "text", "tag"), "tag", "us", unit_seconds=3600)
 
-    return rounded(replay(t.spark, build, "update", ["tag"]), 6, "score").drop("at")
+    return rounded(replay(t.spark, build, "update", ["tag"], conf=python_state(t.spark)), 6, "score").drop("at")
 
 
 @query("stream_refreshed_names", "C11 C10 K2", f"""

@@ -97,6 +97,17 @@ def state_partitions(spark: SparkSession) -> int:
     return int(current) if explicit or current != "200" else context.defaultParallelism
 
 
+def python_state(spark: SparkSession) -> dict[str, str]:
+    """Setting for queries whose state functions run in Python.
+
+    Their cost is the Python workers, so a local session takes half its cores.
+    """
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        return {}
+    return {"spark.sql.shuffle.partitions": str(max(1, context.defaultParallelism // 2))}
+
+
 def streaming_session(spark: SparkSession, **conf: str) -> SparkSession:
     """A sibling session whose settings do not leak into the caller's."""
     sibling = spark.newSession()

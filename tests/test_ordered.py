@@ -89,3 +89,10 @@ def test_running_without_keys(skewed):
     out = ordered.with_running(skewed, [], "ts", ["ts", "id"], {"n": ("sum", F.lit(1)), "top": ("max", F.col("x"))}, 50_000_000).orderBy("ts", "id").collect()
     assert [r["n"] for r in out] == list(range(1, 701))
     assert out[-1]["top"] == max(r["x"] for r in out)
+
+
+def test_null_keys_keep_their_own_history(skewed):
+    holes = skewed.withColumn("user", F.when(F.col("user") != 3, F.col("user")).otherwise(F.when(F.col("id") < 0, 1)))
+    holes = holes.withColumn("user", F.when(F.col("user") == 1, None).otherwise(F.col("user")))
+    run = lambda n: rows(keyed.rolling_avg(holes, "user", "ts", ["ts", "id"], "x", 3, n).select("id", "position", "rolling_avg"))
+    assert run(40) == run(DIRECT) and len(run(DIRECT)) > 600

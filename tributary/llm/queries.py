@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tributary.llm import mixing
+from tributary.llm import mixing, warc
 from tributary.llm.registry import QUERIES, SQL, query
 from tributary.sources.tables import Tables
 
@@ -61,3 +61,16 @@ __all__ = ["QUERIES", "SQL"]
 """)
 def op10(t: Tables) -> DataFrame:
     return mixing.mix(t("documents", "doc_id", "text", "source"))
+
+
+@query("op8_warc", """
+    with p as (
+        select page_id, coalesce(html, '') as html, cast(strlen(coalesce(html, '')) as bigint) as n, sha256(coalesce(html, '')) as d from pages),
+    firsts as (select d, min(page_id) as first from p where n >= 100 group by d)
+    select page_id, n as payload_bytes, p.d as payload_digest,
+        case when first is not null and page_id is distinct from first then 'revisit' else 'response' end as record_type,
+        case when first is not null and page_id is distinct from first then first end as refers_to
+    from p left join firsts on p.d = firsts.d and n >= 100
+""")
+def op8(t: Tables) -> DataFrame:
+    return warc.archived(t("pages"))

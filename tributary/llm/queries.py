@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame
 
-from tributary.llm import mixing, warc
+from tributary.llm import mixing, sentencepieces, warc
 from tributary.llm.registry import QUERIES, SQL, query
 from tributary.sources.tables import Tables
 
@@ -74,3 +75,8 @@ def op10(t: Tables) -> DataFrame:
 """)
 def op8(t: Tables) -> DataFrame:
     return warc.archived(t("pages"))
+
+
+@query("op9_sentencepiece")
+def op9(t: Tables) -> DataFrame:
+    return sentencepieces.digests(sentencepieces.encoded(t("documents", "doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model")))

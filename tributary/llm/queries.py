@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame
 
-from tributary.llm import mixing, sentencepieces, warc
+from tributary.llm import compression, mixing, sentencepieces, warc
 from tributary.llm.registry import QUERIES, SQL, query
 from tributary.sources.tables import Tables
 
@@ -80,3 +80,8 @@ def op8(t: Tables) -> DataFrame:
 @query("op9_sentencepiece")
 def op9(t: Tables) -> DataFrame:
     return sentencepieces.digests(sentencepieces.encoded(t("documents", "doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model")))
+
+
+@query("op6_compression")
+def op6(t: Tables) -> DataFrame:
+    return compression.compression_rules(t("documents", "doc_id", "text"))

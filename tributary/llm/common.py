@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,13 +27,22 @@ def free_name(df: DataFrame, stem: str) -> str:
     return name
 
 
-def map_rows(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """One output batch per input batch; Spark plans the partitions."""
+def slices(batch: pa.RecordBatch, most_bytes: int) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of about ``most_bytes`` of text; a longer text is a run of its own."""
+    lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    pieces = np.cumsum(lengths) // most_bytes
+    starts = [0, *(np.flatnonzero(np.diff(pieces)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(starts, starts[1:]):
+        yield batch.slice(a, b - a)
+
+
+def map_rows(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, most_bytes: int = 1 << 20) -> DataFrame:
+    """Row-local work on the rows with a ``text``, about ``most_bytes`` of it at a time, so that memory is bounded."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                yield work(batch)
+                yield from map(work, slices(batch, most_bytes))
 
     return df.mapInArrow(run, schema)
 

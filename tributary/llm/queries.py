@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame
 
-from tributary.llm import compression, mixing, sentencepieces, warc
+from tributary.llm import compression, mixing, quality, sentencepieces, warc
 from tributary.llm.registry import QUERIES, SQL, query
 from tributary.sources.tables import Tables
 
@@ -85,3 +85,8 @@ def op9(t: Tables) -> DataFrame:
 @query("op6_compression")
 def op6(t: Tables) -> DataFrame:
     return compression.compression_rules(t("documents", "doc_id", "text"))
+
+
+@query("op4_quality")
+def op4(t: Tables) -> DataFrame:
+    return quality.quality_scores(t("documents", "doc_id", "text"), t("labels", "doc_id", "quality"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame
 
-from tributary.llm import compression, mixing, quality, sentencepieces, warc
+from tributary.llm import compression, language, mixing, quality, sentencepieces, warc
 from tributary.llm.registry import QUERIES, SQL, query
 from tributary.sources.tables import Tables
 
@@ -90,3 +90,8 @@ def op6(t: Tables) -> DataFrame:
 @query("op4_quality")
 def op4(t: Tables) -> DataFrame:
     return quality.quality_scores(t("documents", "doc_id", "text"), t("labels", "doc_id", "quality"))
+
+
+@query("op3_language")
+def op3(t: Tables) -> DataFrame:
+    return language.languages(t("documents", "doc_id", "text", "lang"))

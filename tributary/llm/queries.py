@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame
 
-from tributary.llm import compression, language, mixing, quality, sentencepieces, warc
+from tributary.llm import compression, language, mixing, quality, secrets, sentencepieces, warc
 from tributary.llm.registry import QUERIES, SQL, query
 from tributary.sources.tables import Tables
 
@@ -95,3 +95,8 @@ def op4(t: Tables) -> DataFrame:
 @query("op3_language")
 def op3(t: Tables) -> DataFrame:
     return language.languages(t("documents", "doc_id", "text", "lang"))
+
+
+@query("op7_secrets")
+def op7(t: Tables) -> DataFrame:
+    return secrets.secret_spans(t("documents", "doc_id", "text"))

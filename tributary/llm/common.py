@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +29,18 @@ def free_name(df: DataFrame, stem: str) -> str:
     return name
 
 
+def touching(spans: list[tuple[int, int]]) -> Callable[[int, int], bool]:
+    """A test whether a span overlaps any of ``spans``, by their starts and the furthest end so far."""
+    ordered = sorted(spans)
+    starts, reach = [s[0] for s in ordered], list(accumulate((s[1] for s in ordered), max))
+
+    def test(a: int, b: int) -> bool:
+        k = bisect_left(starts, b)
+        return k > 0 and reach[k - 1] > a
+
+    return test
+
+
 def slices(batch: pa.RecordBatch, most_bytes: int) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows of about ``most_bytes`` of text; a longer text is a run of its own."""
     lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)

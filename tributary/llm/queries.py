@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame
 
-from tributary.llm import compression, language, mixing, quality, secrets, sentencepieces, warc
+from tributary.llm import compression, language, mixing, pii, quality, secrets, sentencepieces, warc
 from tributary.llm.registry import QUERIES, SQL, query
 from tributary.sources.tables import Tables
 
@@ -100,3 +100,8 @@ def op3(t: Tables) -> DataFrame:
 @query("op7_secrets")
 def op7(t: Tables) -> DataFrame:
     return secrets.secret_spans(t("documents", "doc_id", "text"))
+
+
+@query("op1_pii")
+def op1(t: Tables) -> DataFrame:
+    return pii.personal_spans(t("documents", "doc_id", "text"))

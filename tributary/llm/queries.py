@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame
 
-from tributary.llm import compression, language, mixing, pii, quality, secrets, sentencepieces, warc
+from tributary.llm import compression, language, mixing, pii, quality, secrets, sentencepieces, vectors, warc
 from tributary.llm.registry import QUERIES, SQL, query
 from tributary.sources.tables import Tables
 
@@ -105,3 +105,25 @@ def op7(t: Tables) -> DataFrame:
 @query("op1_pii")
 def op1(t: Tables) -> DataFrame:
     return pii.personal_spans(t("documents", "doc_id", "text"))
+
+
+@query("op5_vectors", """
+    with v as (
+        select vec_id, embedding::double[] as e,
+            embedding is not null and len(embedding) > 0 and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+                and len([x for x in embedding if x <> 0]) > 0 as ok
+        from embeddings),
+    pairs as (
+        select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id and a.ok and b.ok and len(a.e) = len(b.e)
+        where list_cosine_similarity(a.e, b.e) >= 0.9)
+    select v.vec_id, (select count(*) from pairs where a = v.vec_id) as n_links, r.component_id, v.vec_id = r.component_id as kept
+    from v join (
+        with recursive reach(node, other) using key (node) as (
+            select vec_id, vec_id from v
+            union
+            select p.a, min(reach.other) from reach join pairs p on p.b = reach.node join recurring.reach as own on own.node = p.a
+            where reach.other < own.other group by p.a)
+        select node, other as component_id from reach) r on r.node = v.vec_id
+""")
+def op5(t: Tables) -> DataFrame:
+    return vectors.near_duplicates(t("embeddings", "vec_id", "embedding"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame
 
-from tributary.llm import compression, language, mixing, pii, quality, secrets, sentencepieces, vectors, warc
+from tributary.llm import compression, jaccard, language, mixing, pii, quality, secrets, sentencepieces, vectors, warc
 from tributary.llm.registry import QUERIES, SQL, query
 from tributary.sources.tables import Tables
 
@@ -127,3 +127,28 @@ def op1(t: Tables) -> DataFrame:
 """)
 def op5(t: Tables) -> DataFrame:
     return vectors.near_duplicates(t("embeddings", "vec_id", "embedding"))
+
+
+@query("op2_jaccard", """
+    with words as (
+        select row_number() over () as rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w from documents),
+    grams as (
+        select distinct rid, list_aggregate(w[i:i + 4], 'string_agg', ' ') as g
+        from (select rid, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from words where len(w) > 0)),
+    sizes as (select rid, count(*) as n from grams group by rid),
+    common as (select a.rid as a, b.rid as b, count(*) as c from grams a join grams b on a.g = b.g and a.rid <> b.rid group by all),
+    pairs as (select a, b from common join sizes x on x.rid = a join sizes y on y.rid = b where 5 * c >= 4 * (x.n + y.n - c)),
+    reached as (
+        with recursive reach(node, least) using key (node) as (
+            select rid, rid from words
+            union
+            select p.a, min(reach.least) from reach join pairs p on p.b = reach.node join recurring.reach as own on own.node = p.a
+            where reach.least < own.least group by p.a)
+        select node, least from reach),
+    named as (select least, min(doc_id) as class_id from reached join words on rid = node group by least),
+    counts as (select a, count(*) as n from pairs group by a)
+    select doc_id, class_id, coalesce(counts.n, 0) as n_links, coalesce(doc_id = class_id, false) as kept
+    from words join reached on node = words.rid join named using (least) left join counts on counts.a = words.rid
+""")
+def op2(t: Tables) -> DataFrame:
+    return jaccard.jaccard_join(t("documents", "doc_id", "text"))

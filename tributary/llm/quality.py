@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -180,17 +181,31 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, sample: int = 6000,
     return learn(x[mark], x[~mark]) if mark.any() and not mark.all() else None
 
 
+def judge(docs: DataFrame, labels: DataFrame, fold: int, options: dict) -> Callable[[pa.RecordBatch], np.ndarray]:
+    """A function from a batch with ``text`` to its scores."""
+    fitted = fit(docs, labels, id_remainder("doc_id", fold) > 0, **options)
+
+    def scores(batch: pa.RecordBatch) -> np.ndarray:
+        if not fitted:
+            return np.full(batch.num_rows, 0.5)
+        return fitted[0].scores(np.stack([shape(t or "") for t in batch.column("text").to_pylist()]))
+
+    return scores
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, fold: int = 5, threshold: float = 0.3, **options) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row; remainder 0 of the id's crc32 is held out."""
-    fitted = fit(docs, labels, id_remainder("doc_id", fold) > 0, **options)
+    scores = judge(docs, labels, fold, options)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        if fitted:
-            x = np.stack([shape(t or "") for t in batch.column("text").to_pylist()])
-            score = fitted[0].scores(x)
-        else:
-            score = np.full(batch.num_rows, 0.5)
+        score = scores(batch)
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(score), pa.array((score >= threshold).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (id_remainder("doc_id", fold) == 0).alias("held_out"), "text")
     return map_rows(rows, work, "doc_id long, held_out boolean, score double, predicted int")
+
+
+def accepted(docs: DataFrame, labels: DataFrame, fold: int = 5, threshold: float = 0.3, **options) -> DataFrame:
+    """The rows of ``docs``, whole, whose score reaches the threshold."""
+    scores = judge(docs, labels, fold, options)
+    return map_rows(docs, lambda batch: batch.filter(pa.array(scores(batch) >= threshold)), docs.schema)

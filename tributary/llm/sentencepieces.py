@@ -204,8 +204,8 @@ def spans(model: Model, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndar
     return places[:-1], places[1:]
 
 
-def encoded(docs: DataFrame, model_path: str) -> DataFrame:
-    """(doc_id, ids, begins, ends, decoded): the pieces of ``text``, their byte spans, and the text decoded from the ids."""
+def encoded(docs: DataFrame, model_path: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, kept columns, ids, begins, ends, decoded): the pieces of ``text``, their byte spans, and the text decoded from the ids."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         model = load(model_path)
@@ -217,14 +217,17 @@ def encoded(docs: DataFrame, model_path: str) -> DataFrame:
             begins[a:b], ends[a:b] = spans(model, text, flat[a:b])
         listed = lambda v: pa.ListArray.from_arrays(ids.offsets, pa.array(v))
         decoded = model.processor.decode(ids.to_pylist(), num_threads=1)
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), ids, listed(begins), listed(ends), pa.array(decoded, pa.string())], ["doc_id", "ids", "begins", "ends", "decoded"])
+        kept = [batch.column(c) for c in ("doc_id", *keep)]
+        return pa.RecordBatch.from_arrays([*kept, ids, listed(begins), listed(ends), pa.array(decoded, pa.string())], ["doc_id", *keep, "ids", "begins", "ends", "decoded"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return map_rows(rows, work, "doc_id long, ids array<int>, begins array<int>, ends array<int>, decoded string")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *keep)
+    kinds = dict(docs.dtypes)
+    return map_rows(rows, work, "doc_id long, " + "".join(f"{c} {kinds[c]}, " for c in keep) + "ids array<int>, begins array<int>, ends array<int>, decoded string")
 
 
-def digests(encoding: DataFrame) -> DataFrame:
+def digests(encoding: DataFrame, *keep: str) -> DataFrame:
     """Per document: number of pieces, digests of ids and decoded text, and the bytes its spans cover."""
+    first, last = F.coalesce(F.try_element_at("begins", F.lit(1)), F.lit(0)), F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(0))
     return encoding.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"), (F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(0)) - F.coalesce(F.try_element_at("begins", F.lit(1)), F.lit(0))).cast("long").alias("span_bytes"))
+        "doc_id", *keep, F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), (last - first).cast("long").alias("span_bytes"))

@@ -73,8 +73,8 @@ def test_percent_rank_limit(spark):
     for p in (0.0, 0.1, 0.37, 1.0):
         plain = df.withColumn("r", F.percent_rank().over(Window.partitionBy("g").orderBy("v"))).where(F.col("r") <= p)
         expected = {r["g"]: r["m"] for r in plain.groupBy("g").agg(F.max("v").alias("m")).collect()}
-        for slices in (1, 7, 4096):
-            assert {r["g"]: r["limit"] for r in ranking.percent_rank_limit(df, "g", "v", p, slices).collect()} == expected
+        for per_task in (3, 40, ranking.ROWS_PER_TASK):
+            assert {r["g"]: r["limit"] for r in ranking.percent_rank_limit(df, "g", "v", p, rows_per_task=per_task).collect()} == expected
 
 
 def test_sliding_equals_spark_window(spark):

@@ -1,11 +1,13 @@
 """The cut of hot keys must not change results."""
 
+import datetime as dt
+import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from tributary.operators import keyed, ordered, sessions
+from tributary.operators import aggregates, keyed, ordered, ranking, sessions
 from tributary.operators.joins import cogroup_lists
 
 DIRECT = ordered.ROWS_PER_TASK
@@ -38,7 +40,7 @@ CASES = {
     "threshold": lambda d, n: keyed.adaptive_threshold(d, ["user"], "ts", ["ts", "id"], "x", keep=12, rows_per_task=n).select("id", "threshold", "adjustments", "severity"),
     "baseline": lambda d, n: keyed.baseline_scores(d.withColumn("x", F.pow("x", 4)), "user", "ts", ["ts", "id"], "x", recent=9, rows_per_task=n).select("id", "severity", "limit"),
     "cooldown": lambda d, n: keyed.baseline_anomalies(d.withColumn("x", F.pow("x", 4)), "user", "ts", ["ts", "id"], "x", 600, n).select("id", "severity"),
-    "limit": lambda d, n: keyed.rate_limit(d, "user", "ts", 2, 100, n).select("id", "accepted", "remaining"),
+    "limit": lambda d, n: keyed.rate_limit(d, "user", "ts", 2, 100, n, ["id"]).select("id", "accepted", "remaining"),
     "sessions": lambda d, n: sessions.purchase_sessions(d, "user", "ts", "kind", "x", 90, n),
     "actions": lambda d, n: sessions.session_actions(d, "user", "ts", "kind", 90, rows_per_task=n),
     "seconds": lambda d, n: sessions.session_seconds(d, "user", "ts", 90, n),
@@ -61,9 +63,50 @@ def test_quality_cut(skewed):
 
 
 def test_measured_width(skewed):
-    assert ordered.bucket_width(skewed, ["user"], "ts") is None
-    assert ordered.bucket_width(skewed, ["user"], "ts", 1000) is None
-    assert ordered.bucket_width(skewed, ["user"], "ts", 50) > 0
+    assert ordered.bucket_cuts(skewed, ["user"], "ts") is None
+    assert ordered.bucket_cuts(skewed, ["user"], "ts", 1000) is None
+    assert len(ordered.bucket_cuts(skewed, ["user"], "ts", 50)) > 3
+
+
+def test_a_burst_and_a_stray_time_are_cut_by_rows(spark):
+    """5,000 rows within 5 ms and one of 1970: no bucket holds twice the rows asked for."""
+    burst = spark.range(5000).select("id", F.lit(1).alias("user"), F.timestamp_micros(F.lit(1_700_000_000_000_000) + F.col("id")).alias("ts"))
+    df = burst.unionByName(spark.createDataFrame([(-1, 1, dt.datetime(1970, 1, 1))], burst.schema))
+    cuts = ordered.bucket_cuts(df, ["user"], "ts", 100)
+    sizes = [r["count"] for r in df.groupBy(ordered._bucket(F.unix_micros("ts"), cuts)).count().collect()]
+    assert max(sizes) <= 200 and sum(sizes) == 5001
+
+
+@pytest.fixture(scope="module")
+def odd(skewed):
+    """Rows without a time, tied times and null values."""
+    return (
+        skewed.withColumn("ts", F.when(F.col("id") % 50 != 7, F.col("ts")))
+        .withColumn("x", F.when(F.col("id") % 31 != 3, F.col("x"))).cache()
+    )
+
+
+@pytest.mark.parametrize("name", ["rolling", "trend", "fraud", "threshold", "limit", "sessions", "actions", "seconds"])
+@pytest.mark.parametrize("per_task", [23, 120])
+def test_null_times_survive_the_cut(odd, name, per_task):
+    plain = rows(CASES[name](odd, DIRECT))
+    assert plain and rows(CASES[name](odd, per_task)) == plain
+
+
+def test_percentiles_are_exact(skewed):
+    exact = {}
+    for r in skewed.collect():
+        exact.setdefault(r["kind"], []).append(r["x"])
+    for per_task in (DIRECT, 20):
+        for r in aggregates.percentile_table(skewed, "x", ["kind"], rows_per_task=per_task).collect():
+            values = sorted(exact[r["kind"]])
+            for name, p in {"median": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99}.items():
+                assert r[name] == values[math.ceil(len(values) * p) - 1]
+
+
+def test_percent_rank_cut(skewed):
+    run = lambda n: rows(ranking.percent_rank_limit(skewed, "kind", "x", 0.1, rows_per_task=n))
+    assert run(DIRECT) == run(15) and len(run(15)) == 3
 
 
 def test_lists_in_chunks(skewed):

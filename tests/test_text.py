@@ -54,6 +54,8 @@ def test_many_keywords(spark):
     assert {r["id"] for r in few.collect()} == {r["id"] for r in many.collect()} == {1, 4}
     assert keyword_filter(df, "text", []).count() == 0
     assert keyword_filter(df, "text", ["axb"]).count() == 0
+    for more in ([], [f"zz{i}" for i in range(100)]):  # an empty keyword is in every text, however long the list
+        assert {r["id"] for r in keyword_filter(df, "text", ["", *more]).collect()} == {1, 2, 4}
 
 
 def test_expensive_words_boundary(spark):
@@ -62,8 +64,8 @@ def test_expensive_words_boundary(spark):
     assert len(out) == 3 and {r["dollars"] for r in out} == {2}
 
 
-def test_pause_gate_both_ways(spark):
-    from tributary.operators.filters import _gate_by_merge, pause_gate
+def test_pause_gate(spark):
+    from tributary.operators.filters import pause_gate
 
     rng = random.Random(4)
     rows = spark.createDataFrame([(i, rng.randint(0, 1000)) for i in range(300)], "id long, sec int").select("id", F.timestamp_seconds("sec").alias("ts"))
@@ -75,5 +77,10 @@ def test_pause_gate_both_ways(spark):
         before = [c.lower() for s, c in sorted(said) if s <= r["ts"].timestamp() and c != "noise"]
         if not before or before[-1] == "resume":
             expected.add(r["id"])
-    assert {r["id"] for r in pause_gate(rows, commands, "ts", "at", "c").collect()} == expected
-    assert {r["id"] for r in _gate_by_merge(rows, commands, "ts", "at", "c", 20).collect()} == expected
+    for slot in ("7 seconds", "5 minutes", "1 day"):
+        assert {r["id"] for r in pause_gate(rows, commands, "ts", "at", "c", slot).collect()} == expected
+    # rows without a time stay; at equal times resume wins; a command without a time says nothing
+    odd = spark.createDataFrame([(1, None), (2, 10), (3, 20), (4, 30)], "id long, sec int").select("id", F.timestamp_seconds("sec").alias("ts"))
+    said = [(10, "pause"), (10, "resume"), (20, "resume"), (20, "pause"), (30, "pause"), (None, "pause")]
+    told = spark.createDataFrame(said, "sec int, c string").select(F.timestamp_seconds("sec").alias("at"), "c")
+    assert {r["id"] for r in pause_gate(odd, told, "ts", "at", "c").collect()} == {1, 2, 3}

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions.intervals import seconds
+from tributary.operators.ordered import ROWS_PER_TASK, bucket_cuts, with_running
 
 
 def count_all(df: DataFrame, name: str = "count") -> DataFrame:
@@ -59,26 +60,40 @@ def ratio_of_sums(df: DataFrame, key: str, top: str, bottom: str, name: str = "r
     return df.groupBy(key).agg((F.sum(top) / F.sum(bottom)).alias(name))
 
 
-def value_stats(df: DataFrame, value: str, keys: Sequence[str | Column] = (), p: float = 0.95) -> DataFrame:
-    """Count, average, maximum and an upper percentile (a mergeable sketch)."""
-    return df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("count"), F.avg(value).alias("average"), F.max(value).alias("maximum"),
-        F.percentile_approx(value, p, 10000).alias("percentile"),
-    )
-
-
-def percentile_table(df: DataFrame, value: str, keys: Sequence[str | Column], at_least: int = 5) -> DataFrame:
-    """Percentiles 50/90/95/99 with count, average and range; small groups are left out.
+def with_percentiles(df: DataFrame, value: str, keys: Sequence[str | Column], shares: dict[str, float], aggs: dict[str, Column], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Aggregates and percentiles per key: the smallest value that ``share`` of the values do not exceed.
 
-    Works on streams.  Accuracy 10000 makes groups below that size exact.
+    A table's percentiles are exact: values are counted, the counts summed up
+    in order (large groups cut at quantiles) and compared with the group's
+    size.  A stream's come from a mergeable sketch, exact up to 10,000 values.
     """
-    ranks = F.percentile_approx(value, [0.5, 0.9, 0.95, 0.99], 10000)
-    out = df.groupBy(*keys).agg(
-        F.count(value).alias("count"), F.avg(value).alias("average"), F.min(value).alias("minimum"),
-        F.max(value).alias("maximum"), ranks.alias("__p"),
-    )
-    named = {n: F.col("__p")[i] for i, n in enumerate(["median", "p90", "p95", "p99"])}
-    return out.where(F.col("count") >= at_least).withColumns(named).drop("__p")
+    if df.isStreaming:
+        ranks = F.percentile_approx(value, list(shares.values()), 10_000)
+        out = df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()], ranks.alias("__p"))
+        return out.withColumns({n: F.col("__p")[i] for i, n in enumerate(shares)}).drop("__p")
+    names = df.select(*keys).columns
+    plain = df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()])
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+    cuts = bucket_cuts(counts, names, "__v", rows_per_task)
+    run = with_running(counts, names, "__v", ["__v"], {"__upto": ("sum", F.col("__n"))}, cuts)
+    group = F.struct(*names) if names else F.struct(F.lit(0).alias("one"))
+    totals = counts.groupBy(group.alias("__g")).agg(F.sum("__n").alias("__all"))
+    reached = run.withColumn("__g", group).join(totals, "__g").groupBy("__g").agg(
+        *[F.min(F.when(F.col("__upto") >= F.ceil(F.col("__all") * share), F.col("__v"))).alias(n) for n, share in shares.items()])
+    return plain.withColumn("__g", group).join(reached, "__g", "left").drop("__g")
+
+
+def value_stats(df: DataFrame, value: str, keys: Sequence[str | Column] = (), p: float = 0.95, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Count, average, maximum and an upper percentile."""
+    aggs = {"count": F.count(F.lit(1)), "average": F.avg(value), "maximum": F.max(value)}
+    return with_percentiles(df, value, keys, {"percentile": p}, aggs, rows_per_task)
+
+
+def percentile_table(df: DataFrame, value: str, keys: Sequence[str | Column], at_least: int = 5, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Percentiles 50/90/95/99 with count, average and range; small groups are left out."""
+    aggs = {"count": F.count(value), "average": F.avg(value), "minimum": F.min(value), "maximum": F.max(value)}
+    shares = {"median": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99}
+    return with_percentiles(df, value, keys, shares, aggs, rows_per_task).where(F.col("count") >= at_least)
 
 
 # The three levels of the hierarchy.

@@ -3,18 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.operators.ordered import ROWS_PER_TASK, bucket_width, with_running
-from tributary.session import estimated_bytes
-
-# Above this many keywords one automaton per task beats a regular expression.
-REGEX_KEYWORDS = 64
-MAX_COMMAND_BYTES = 1024 * 1024
+from tributary.functions.intervals import floor_div, seconds
+from tributary.session import settled
 
 
 def threshold_filter(df: DataFrame, column: str, threshold: DataFrame, default: float = 0.0) -> DataFrame:
@@ -24,70 +19,57 @@ def threshold_filter(df: DataFrame, column: str, threshold: DataFrame, default:
     return df.where(F.col(column) > limit.scalar())
 
 
+def _one_of(words: set[str]) -> str:
+    """A regular expression for any of the words, with common beginnings shared."""
+    if "" in words:  # whatever follows, this much is enough
+        return ""
+    by_first: dict[str, set[str]] = {}
+    for w in words:
+        by_first.setdefault(w[0], set()).add(w[1:])
+    parts = [re.escape(c) + _one_of(rest) for c, rest in sorted(by_first.items())]
+    return parts[0] if len(parts) == 1 else "(?:" + "|".join(parts) + ")"
+
+
 def keyword_filter(df: DataFrame, text: str, keywords: Sequence[str]) -> DataFrame:
-    """Rows whose text contains a keyword, ignoring case.
+    """Rows whose text contains a keyword, ignoring case; an empty keyword is in every text.
 
-    ``keywords`` is a control list of the application.  A short list is one
-    JVM-side expression; a long one is matched in a single pass over each text
-    by an automaton built once per task.
+    ``keywords`` is a control list of the application, of any length: it
+    becomes one expression that shares common beginnings.
     """
-    lowered = sorted({k.lower() for k in keywords})
-    if not lowered:
+    if not keywords:
         return df.limit(0)
-    if len(lowered) <= REGEX_KEYWORDS:
-        return df.where(F.lower(text).rlike("|".join(re.escape(k) for k in lowered)))
-
-    def matching(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import ahocorasick
-
-        automaton = ahocorasick.Automaton()
-        for k in lowered:
-            automaton.add_word(k, k)
-        automaton.make_automaton()
-        for pdf in batches:
-            hit = [isinstance(v, str) and next(automaton.iter(v.lower()), None) is not None for v in pdf[text]]
-            yield pdf[hit]
-
-    return df.mapInPandas(matching, df.schema)
+    return df.where(F.col(text).rlike("(?iu)" + _one_of(set(keywords))))
 
 
 def pause_intervals(commands: DataFrame, time: str, command: str) -> DataFrame:
     """Commands -> pause intervals [paused, resumed); an open pause has no end.
 
-    The control table holds a handful of operator commands.
+    At equal times resume wins.  Commands without a time are ignored.  The
+    control table holds an operator's commands, few beside the rows.
     """
-    from pyspark.sql import Window
-
-    known = commands.where(F.lower(command).isin("pause", "resume")).select(time, F.lower(command).alias("c"))
-    order = Window.orderBy(time)
+    known = commands.where(F.lower(command).isin("pause", "resume") & F.col(time).isNotNull()).select(time, F.lower(command).alias("c"))
+    order = Window.orderBy(time, "c")
     turns = known.withColumn("before", F.lag("c").over(order)).where(F.col("c") != F.coalesce("before", F.lit("resume")))
     return turns.withColumn("resumed", F.lead(time).over(order)).where("c = 'pause'").select(F.col(time).alias("paused"), "resumed")
 
 
-def pause_gate(df: DataFrame, commands: DataFrame, time: str, command_time: str, command: str) -> DataFrame:
-    """Drop rows that arrive while paused.
+def pause_gate(df: DataFrame, commands: DataFrame, time: str, command_time: str, command: str, slot: str = "1 day") -> DataFrame:
+    """Drop rows that arrive while paused; rows without a time stay.
 
-    A short command table is folded into one array of intervals and tested per
-    row, so the rows neither shuffle nor meet a join.  A long one is merged
-    with the rows in time order, carrying the last command forward.
+    Pauses are listed per time slot they touch and joined to the rows by slot,
+    so a row meets the pauses of its own slot only.  The list is small beside
+    the rows, and Catalyst broadcasts it whenever its size allows.
     """
-    if estimated_bytes(commands) > MAX_COMMAND_BYTES:
-        return _gate_by_merge(df, commands, time, command_time, command)
-    spans = pause_intervals(commands, command_time, command).agg(F.collect_list(F.struct("paused", "resumed")).alias("spans"))
-    inside = F.exists("__spans", lambda s: (F.col(time) >= s["paused"]) & (s["resumed"].isNull() | (F.col(time) < s["resumed"])))
-    return df.withColumn("__spans", spans.scalar()).where(~inside).drop("__spans")
-
-
-def _gate_by_merge(df: DataFrame, commands: DataFrame, time: str, command_time: str, command: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    known = commands.where(F.lower(command).isin("pause", "resume"))
-    orders = known.select(
-        F.col(command_time).alias(time), F.struct(F.col(command_time).alias("at"), (F.lower(command) == "resume").alias("open")).alias("__said")
-    )
-    merged = df.withColumn("__row", F.lit(True)).unionByName(orders.withColumn("__row", F.lit(False)), allowMissingColumns=True)
-    width = bucket_width(merged.select(time), [], time, rows_per_task)
-    # at equal times the command comes first
-    told = with_running(merged, [], time, [time, "__row"], {"__last": ("max", F.col("__said"))}, width)
-    return told.where(F.col("__row") & F.coalesce(F.col("__last.open"), F.lit(True))).select(*df.columns)
+    width = seconds(slot) * 1_000_000
+    spans = settled(pause_intervals(commands, command_time, command))
+    open_since = spans.where("resumed is null").agg(F.min("paused").alias("since"))
+    closed = spans.where("resumed is not null and resumed > paused")
+    slots = F.sequence(floor_div(F.unix_micros("paused"), width), floor_div(F.unix_micros("resumed") - 1, width))
+    per_slot = closed.withColumn("__slot", F.explode(slots)).groupBy("__slot").agg(F.collect_list(F.struct("paused", "resumed")).alias("__spans"))
+    inside = F.exists("__spans", lambda s: (F.col(time) >= s["paused"]) & (F.col(time) < s["resumed"]))
+    never_again = F.col(time) >= open_since.scalar()
+    paused = F.coalesce(inside, F.lit(False)) | F.coalesce(never_again, F.lit(False))
+    return df.withColumn("__slot", floor_div(F.unix_micros(time), width)).join(per_slot, "__slot", "left").where(~paused).select(*df.columns)
 
 
 def route_by_tenant(df: DataFrame, tenants: DataFrame, tenant: str, api_key: str) -> DataFrame:

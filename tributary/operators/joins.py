@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tributary.functions.intervals import floor_div
 from tributary.operators.ordered import ROWS_PER_TASK, SMALL_INPUT_BYTES, collect_in_chunks
-from tributary.session import estimated_bytes, settled
+from tributary.session import plainly_small, settled
 
 
 def join_on(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "inner") -> DataFrame:
@@ -91,7 +91,7 @@ def join_back(df: DataFrame, keys: Sequence[str], **aggregates: Column) -> DataF
     never meet in one task, and are not shuffled when the groups are few.
     """
     per_group = df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggregates.items()])
-    if not df.isStreaming and estimated_bytes(df) > SMALL_INPUT_BYTES:
+    if not df.isStreaming and not plainly_small(df, SMALL_INPUT_BYTES):
         per_group = settled(per_group)
     return df.join(per_group, list(keys))
 

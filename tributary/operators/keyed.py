@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
-from tributary.operators.ordered import ROWS_PER_TASK, bucket_width, over_last_interval, over_last_rows, with_running
+from tributary.operators.ordered import ROWS_PER_TASK, bucket_cuts, over_last_interval, over_last_rows, with_running
 
 
 def user_activity(df: DataFrame, user: str, time: str) -> DataFrame:
@@ -89,13 +89,13 @@ def adaptive_threshold(
         learned = F.avg(value).over(span) + 2 * F.stddev_pop(value).over(span)
         return F.when(F.count(value).over(span) >= needed, learned).otherwise(F.lit(start))
 
-    width = bucket_width(df, keys, time, rows_per_task)
+    cuts = bucket_cuts(df, keys, time, rows_per_task)
     out = over_last_rows(
         df, keys, time, order, keep,
-        {"threshold": lambda w: threshold(w, 1 - keep, 0), "__before": lambda w: threshold(w, -keep, -1)}, rows_per_task, width=width,
+        {"threshold": lambda w: threshold(w, 1 - keep, 0), "__before": lambda w: threshold(w, -keep, -1)}, rows_per_task, cuts=cuts,
     )
     moved = (F.abs(F.col("threshold") - F.col("__before")) > 5).cast("bigint")
-    counted = with_running(out, keys, time, order, {"adjustments": ("sum", moved)}, width)
+    counted = with_running(out, keys, time, order, {"adjustments": ("sum", moved)}, cuts)
     alert = F.when(F.col(value) > F.col("threshold"), _severity(F.col(value), F.col("threshold")))
     return counted.withColumn("severity", alert).drop("__before")
 
@@ -110,10 +110,10 @@ def baseline_scores(
     drift of the last ``recent`` readings lowers the threshold.
     """
     x = F.col(value).cast("double")
-    width = bucket_width(df, [key], time, rows_per_task)
+    cuts = bucket_cuts(df, [key], time, rows_per_task)
     means = {"__recent": lambda w: F.avg(x).over(w.rowsBetween(1 - recent, 0))}
-    last = over_last_rows(df, [key], time, order, recent - 1, means, rows_per_task, width=width)
-    run = with_running(last, [key], time, order, {"__s": ("sum", x), "__q": ("sum", x * x)}, width).where(F.col("position") >= needed)
+    last = over_last_rows(df, [key], time, order, recent - 1, means, rows_per_task, cuts=cuts)
+    run = with_running(last, [key], time, order, {"__s": ("sum", x), "__q": ("sum", x * x)}, cuts).where(F.col("position") >= needed)
     mean = F.col("__s") / F.col("position")
     sd = F.sqrt(F.greatest(F.col("__q") / F.col("position") - mean * mean, F.lit(0.0)))
     scored = run.withColumns({"mean": mean, "std": sd})
@@ -156,12 +156,12 @@ def _in_islands(df: DataFrame, key: str, time: str, gap_us: int, rows_per_task:
     return label_sessions(df, [key], time, (gap_us + 1) / 1_000_000, rows_per_task, "__island")
 
 
-def _sequential(df: DataFrame, key: str, time: str, gap_us: int, keep_first_after: bool, rows_per_task: int) -> DataFrame:
+def _sequential(df: DataFrame, key: str, time: str, gap_us: int, keep_first_after: bool, rows_per_task: int, order: Sequence[str] = ()) -> DataFrame:
     split = _in_islands(df, key, time, gap_us, rows_per_task).withColumns(
         {"__us": F.unix_micros(time), "__id": F.concat_ws("|", F.col(key).cast("string"), F.unix_micros("__island"))}
     )
     schema = StructType([*split.schema.fields, StructField("__keep", BooleanType()), StructField("__count", LongType())])
-    placed = split.repartition(key, "__island").sortWithinPartitions("__id", "__us")
+    placed = split.repartition(key, "__island").sortWithinPartitions("__id", "__us", *order)
     return placed.mapInPandas(_greedy("__id", "__us", gap_us, keep_first_after), schema).drop("__us", "__id", "__island")
 
 
@@ -177,18 +177,20 @@ def baseline_anomalies(
     found = baseline_scores(df, key, time, order, value, rows_per_task=rows_per_task)
     if cooldown_seconds <= 0:
         return found
-    kept = _sequential(found, key, time, int(cooldown_seconds * 1_000_000), True, rows_per_task)
+    kept = _sequential(found, key, time, int(cooldown_seconds * 1_000_000), True, rows_per_task, order)
     return kept.where("__keep").drop("__keep", "__count")
 
 
-def rate_limit(df: DataFrame, key: str, time: str, limit: int = 100, window_seconds: int = 60, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def rate_limit(df: DataFrame, key: str, time: str, limit: int = 100, window_seconds: int = 60, rows_per_task: int = ROWS_PER_TASK,
+               order: Sequence[str] = ()) -> DataFrame:
     """Accept the first ``limit`` requests of a key per window.
 
     A window opens with a request and the first one more than
     ``window_seconds`` later opens the next.  Where requests pause that long
-    the rows are split, so only unbroken activity is walked in order.
+    the rows are split, so only unbroken activity is walked in order; ``order``
+    decides among equal times.
     """
-    out = _sequential(df, key, time, window_seconds * 1_000_000, False, rows_per_task)
+    out = _sequential(df, key, time, window_seconds * 1_000_000, False, rows_per_task, order)
     return out.withColumns(
         {"accepted": F.col("__count") <= limit, "remaining": F.lit(limit) - F.col("__count")}
     ).drop("__keep", "__count")
@@ -206,7 +208,7 @@ def session_quality(df: DataFrame, key: str, time: str, order: Sequence[str], va
     def mean(first: int, last: int):
         return lambda w: F.avg(x).over(w.rowsBetween(first, last))
 
-    width = bucket_width(df, [key], time, rows_per_task)
+    cuts = bucket_cuts(df, [key], time, rows_per_task)
     out = over_last_rows(
         df, [key], time, order, hist - 1,
         {
@@ -214,15 +216,15 @@ def session_quality(df: DataFrame, key: str, time: str, order: Sequence[str], va
             "__recent": mean(-4, 0), "__earlier": mean(-9, -5), "average": mean(1 - hist, 0),
             "__sd": lambda w: F.stddev_pop(x).over(w.rowsBetween(1 - hist, 0)),
         },
-        rows_per_task, width=width,
+        rows_per_task, cuts=cuts,
     )
     pos = F.col("position")
     broken = with_running(
         out, [key], time, order,
         {"__not_slow": ("max", F.when(x > 1000, 0).otherwise(pos)), "__not_fast": ("max", F.when(x < 500, 0).otherwise(pos)),
-         "__start": ("min", F.col(time))}, width,
+         "__start": ("min", F.col(time))}, cuts,
     ).withColumns({"__slow": pos - F.col("__not_slow"), "__fast": pos - F.col("__not_fast")})
-    best = with_running(broken, [key], time, order, {"__best": ("max", F.col("__fast"))}, width)
+    best = with_running(broken, [key], time, order, {"__best": ("max", F.col("__fast"))}, cuts)
 
     one, zero = F.lit(1.0), F.lit(0.0)
     slow = F.least(one, F.col("__slow") / 10.0)

@@ -2,7 +2,8 @@
 
 A plain ``Window.partitionBy(key)`` sorts all rows of a key in one task.  When
 one key holds a large share of the data that task never ends.  The helpers here
-cut each key into time buckets, compute inside the buckets in parallel, and
+cut the rows of large keys into buckets of about equal numbers of rows, at
+quantiles of their order column, compute inside the buckets in parallel, and
 carry a small per-bucket total from bucket to bucket.  Results are exact and
 independent of the cut.  Keys that are known to fit a task take the plain path.
 """
@@ -13,15 +14,18 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 from pyspark.sql.window import WindowSpec
 
 from tributary.functions.intervals import floor_div
-from tributary.session import estimated_bytes
+from tributary.session import plainly_small
 
 ROWS_PER_TASK = 1_000_000
 SMALL_INPUT_BYTES = 64 * 1024 * 1024
 FIRST = Window.unboundedPreceding
-MEASURE = "measure"  # ask bucket_width; pass its answer on to measure only once
+MEASURE = "measure"  # ask bucket_cuts; pass its answer on to measure only once
+
+Cuts = int | list | None  # buckets of a fixed width in time, from given values on, or none
 
 _COMBINE: dict[str, Callable[[Column, Column], Column]] = {
     "sum": lambda carried, local: F.coalesce(carried + local, carried, local),
@@ -31,30 +35,47 @@ _COMBINE: dict[str, Callable[[Column, Column], Column]] = {
 _AGG: dict[str, Callable[[Column], Column]] = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
-def bucket_width(
-    df: DataFrame, keys: Sequence[str], time: str, rows_per_task: int = ROWS_PER_TASK
-) -> int | None:
-    """Microseconds per bucket, or None when every key fits one task.
+def _stamp(df: DataFrame, at: str) -> Column:
+    """The order column as a number; times in microseconds."""
+    return F.unix_micros(at) if isinstance(df.schema[at].dataType, TimestampType) else F.col(at)
+
 
-    One aggregation (map-side combined) measures the largest key.  The width
-    spreads that key over enough buckets to keep each near ``rows_per_task``.
+def bucket_cuts(df: DataFrame, keys: Sequence[str], at: str, rows_per_task: int = ROWS_PER_TASK) -> list | None:
+    """Values of ``at`` where buckets begin, or None when every key fits one task.
+
+    One aggregation (map-side combined) measures the keys.  A second, over the
+    rows of the keys that are too large, takes quantiles of ``at``, so that a
+    burst or a stray value shifts the cuts and no bucket is much larger than
+    ``rows_per_task``; only rows with equal values stay together.
     """
-    if rows_per_task >= ROWS_PER_TASK and estimated_bytes(df) <= SMALL_INPUT_BYTES:
+    if rows_per_task >= ROWS_PER_TASK and plainly_small(df, SMALL_INPUT_BYTES):
         return None
-    per_key = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.min(time).alias("lo"), F.max(time).alias("hi")
-    )
-    top = per_key.agg(
-        F.max("n").alias("n"), F.unix_micros(F.min("lo")).alias("lo"), F.unix_micros(F.max("hi")).alias("hi")
-    ).first()
-    if top is None or top["n"] is None or top["n"] <= rows_per_task:
+    group = F.struct(*keys) if keys else F.lit(0)
+    large = df.groupBy(group.alias("__g")).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > rows_per_task)
+    total = large.agg(F.sum("__n")).first()[0]
+    if total is None:
         return None
-    buckets = -(-top["n"] // rows_per_task)
-    return max(1, (top["hi"] - top["lo"]) // buckets + 1)
+    buckets = -(-total // rows_per_task)
+    shares = [i / buckets for i in range(1, buckets)]
+    rows = df.select(group.alias("__g"), _stamp(df, at).alias("__at")).join(large.select("__g"), "__g", "left_semi")
+    found = rows.agg(F.percentile_approx("__at", shares, max(10_000, 20 * buckets))).first()[0]
+    return sorted(set(found or []))
 
 
-def _bucket(time: str, width: int | None) -> Column:
-    return F.lit(0).cast("bigint") if width is None else floor_div(F.unix_micros(time), width)
+def _bucket(at: Column, cuts: Cuts) -> Column:
+    """Number of the bucket of a value; a null, first in every order, is in the first."""
+    if cuts is None:
+        return F.lit(0).cast("bigint")
+    if isinstance(cuts, int):
+        return F.coalesce(floor_div(at, cuts), F.lit(-(1 << 62)))
+
+    def search(values: list, first: int) -> Column:
+        if not values:
+            return F.lit(first)
+        half = len(values) // 2
+        return F.when(at < F.lit(values[half]), search(values[:half], first)).otherwise(search(values[half + 1 :], first + half + 1))
+
+    return F.when(at.isNull(), F.lit(0)).otherwise(search(cuts, 0)).cast("bigint")
 
 
 def with_running(
@@ -63,7 +84,7 @@ def with_running(
     time: str,
     order: Sequence[str],
     totals: dict[str, tuple[str, Column]],
-    width: int | None,
+    cuts: Cuts,
     inclusive: bool = True,
 ) -> DataFrame:
     """Running ``sum`` / ``max`` / ``min`` per key in ``order``.
@@ -72,7 +93,7 @@ def with_running(
     with ``time``.  With ``inclusive=False`` the current row is left out.
     """
     last = 0 if inclusive else -1
-    if width is None:
+    if cuts is None:
         frame = Window.partitionBy(*keys).orderBy(*order).rowsBetween(FIRST, last)
         return df.withColumns({name: _AGG[kind](expr).over(frame) for name, (kind, expr) in totals.items()})
 
@@ -80,7 +101,7 @@ def with_running(
     # equi-join also matches null keys and needs no shuffle beyond the window's
     group = [F.struct(*keys).alias("__g")] if keys else []
     by = ["__g", "__b"] if keys else ["__b"]
-    df = df.select("*", *group, _bucket(time, width).alias("__b"))
+    df = df.select("*", *group, _bucket(_stamp(df, time), cuts).alias("__b"))
     frame = Window.partitionBy(*by).orderBy(*order).rowsBetween(FIRST, last)
     local = df.withColumns({name: _AGG[kind](expr).over(frame) for name, (kind, expr) in totals.items()})
 
@@ -104,7 +125,7 @@ def over_last_rows(
     columns: dict[str, Callable[[WindowSpec], Column]],
     rows_per_task: int = ROWS_PER_TASK,
     position: str = "position",
-    width: int | str | None = MEASURE,
+    cuts: Cuts | str = MEASURE,
 ) -> DataFrame:
     """Window columns whose frames reach back at most ``lookback`` rows.
 
@@ -113,10 +134,10 @@ def over_last_rows(
     ``lookback`` rows before it, so no frame is ever short.  ``position`` is
     the row's 1-based place inside its key.
     """
-    if width == MEASURE:
-        width = bucket_width(df, keys, time, rows_per_task)
-    numbered = with_running(df, keys, time, order, {position: ("sum", F.lit(1).cast("bigint"))}, width)
-    if width is None:
+    if cuts == MEASURE:
+        cuts = bucket_cuts(df, keys, time, rows_per_task)
+    numbered = with_running(df, keys, time, order, {position: ("sum", F.lit(1).cast("bigint"))}, cuts)
+    if cuts is None:
         spec = Window.partitionBy(*keys).orderBy(*order)
         return numbered.withColumns({name: make(spec) for name, make in columns.items()})
     if lookback >= rows_per_task:
@@ -141,17 +162,15 @@ def over_last_interval(
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Window columns over the rows of the last ``seconds`` (both ends included)."""
-    width = bucket_width(df, keys, time, rows_per_task)
+    cuts = bucket_cuts(df, keys, time, rows_per_task)
     reach = seconds * 1_000_000
     stamped = df.withColumn("__us", F.unix_micros(time))
-    if width is None:
+    if cuts is None:
         spec = Window.partitionBy(*keys).orderBy("__us").rangeBetween(-reach, 0)
         return stamped.withColumns({name: make(spec) for name, make in columns.items()}).drop("__us")
-    width = max(width, reach)
-    home = floor_div(F.col("__us"), width)
-    runs = F.when(
-        F.pmod(F.col("__us"), F.lit(width)) >= width - reach, F.array(home, home + 1)
-    ).otherwise(F.array(home))
+    # a row goes to its own bucket and to those that begin within its reach
+    home = _bucket(F.col("__us"), cuts)
+    runs = F.sequence(F.col("__home"), _bucket(F.col("__us") + reach, cuts))
     spread = stamped.withColumn("__home", home).withColumn("__run", F.explode(runs))
     spec = Window.partitionBy(*keys, "__run").orderBy("__us").rangeBetween(-reach, 0)
     filled = spread.withColumns({name: make(spec) for name, make in columns.items()})
@@ -167,16 +186,16 @@ def collect_in_chunks(
     name: str = "items",
     chunk_size: int = 10_000,
     rows_per_task: int = ROWS_PER_TASK,
-    width: int | str | None = MEASURE,
+    cuts: Cuts | str = MEASURE,
 ) -> DataFrame:
     """Ordered lists per key, cut in chunks so that no cell grows without bound.
 
     Output: keys, ``chunk`` (0, 1, ...) and the list.  A key with up to
     ``chunk_size`` rows has exactly one chunk.
     """
-    if width == MEASURE:
-        width = bucket_width(df, keys, time, rows_per_task)
-    placed = with_running(df, keys, time, order, {"__pos": ("sum", F.lit(1).cast("bigint"))}, width)
+    if cuts == MEASURE:
+        cuts = bucket_cuts(df, keys, time, rows_per_task)
+    placed = with_running(df, keys, time, order, {"__pos": ("sum", F.lit(1).cast("bigint"))}, cuts)
     chunked = placed.withColumn("chunk", floor_div(F.col("__pos") - 1, chunk_size))
     pairs = F.sort_array(F.collect_list(F.struct("__pos", F.col(value).alias("v"))))
     return chunked.groupBy(*keys, "chunk").agg(F.transform(pairs, lambda p: p["v"]).alias(name))

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.functions.scalar import bracket
-from tributary.operators.ordered import FIRST
+from tributary.operators.ordered import ROWS_PER_TASK, bucket_cuts, with_running
 from tributary.operators.windows import sliding, tumbling
 
 
@@ -51,42 +51,30 @@ def top_hashtags(df: DataFrame, time: str, tag: str, k: int = 5, size: str = "10
     return top_k_per(counts, ["start", "end"], "count", [tag], k)
 
 
-def percent_rank_limit(df: DataFrame, group: str, value: str, p: float, slices: int = 4096, few_groups: bool = False) -> DataFrame:
+def percent_rank_limit(df: DataFrame, group: str, value: str, p: float, few_groups: bool = False, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Per group the largest value whose percent_rank is at most ``p``.
 
-    Ranking a group in one window would sort the whole group in one task.
-    Instead equal values are counted first, the value range is cut into slices,
-    slice totals locate the slice of the answer, and only that slice is ranked.
-    ``few_groups`` says that the groups are a short fixed list, so that a row
-    per group can be broadcast.
+    Equal values are counted first; the counts are summed up in the order of
+    the values, where a large group is cut at quantiles.  ``few_groups`` says
+    that the groups are a short fixed list, so that a row per group can be
+    broadcast.
     """
     small = F.broadcast if few_groups else (lambda d: d)
     counts = df.groupBy(group, value).agg(F.count(F.lit(1)).alias("__n"))
-    size = counts.groupBy(group).agg(F.sum("__n").alias("__all"), F.min(value).alias("__lo"), F.max(value).alias("__hi"))
-    share = (F.col(value) - F.col("__lo")) / F.nullif(F.col("__hi") - F.col("__lo"), F.lit(0))
-    sliced = counts.join(small(size), group).withColumn("__slice", F.coalesce(F.floor(share * slices), F.lit(0).cast("bigint")))
-
-    def fits(before: Column) -> Column:
-        return (F.col("__all") == 1) | (before / (F.col("__all") - 1) <= p)
-
-    totals = sliced.groupBy(group, "__slice").agg(F.sum("__n").alias("__n"), F.first("__all").alias("__all"))
-    below = F.coalesce(F.sum("__n").over(Window.partitionBy(group).orderBy("__slice").rowsBetween(FIRST, -1)), F.lit(0).cast("bigint"))
-    chosen = (
-        totals.withColumn("__before", below).where(fits(F.col("__before"))).groupBy(group)
-        .agg(F.max("__slice").alias("__slice"), F.max("__before").alias("__before"))
-    )
-    inside = sliced.join(small(chosen), [group, "__slice"])
-    smaller = F.coalesce(F.sum("__n").over(Window.partitionBy(group).orderBy(value).rowsBetween(FIRST, -1)), F.lit(0).cast("bigint"))
-    ranked = inside.withColumn("__rank", F.col("__before") + smaller)
-    return ranked.where(fits(F.col("__rank"))).groupBy(group).agg(F.max(value).alias("limit"))
-
-
-def bottom_percent(df: DataFrame, group_of: str, value: str, p: float = 0.1, group: str = "bracket") -> DataFrame:
+    size = counts.groupBy(group).agg(F.sum("__n").alias("__all"))
+    cuts = bucket_cuts(counts, [group], value, rows_per_task)
+    run = with_running(counts, [group], value, [value], {"__before": ("sum", F.col("__n"))}, cuts, inclusive=False)
+    before = F.coalesce("__before", F.lit(0))
+    fits = (F.col("__all") == 1) | (before / (F.col("__all") - 1) <= p)
+    return run.join(small(size), group).where(fits).groupBy(group).agg(F.max(value).alias("limit"))
+
+
+def bottom_percent(df: DataFrame, group_of: str, value: str, p: float = 0.1, group: str = "bracket", rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Rows in the lowest ``p`` share of their bracket by ``value`` (both non-null).
 
     Batch form; on a stream call it inside ``foreachBatch``.
     """
     rows = df.dropna(subset=[group_of, value]).withColumn(group, bracket(group_of))
-    limits = percent_rank_limit(rows, group, value, p, few_groups=True)
+    limits = percent_rank_limit(rows, group, value, p, True, rows_per_task)
     # one row per bracket, and the brackets are fixed
     return rows.join(F.broadcast(limits), group).where(F.col(value) <= F.col("limit")).drop("limit")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.operators.ordered import MEASURE, ROWS_PER_TASK, bucket_width, collect_in_chunks, with_running
+from tributary.operators.ordered import MEASURE, ROWS_PER_TASK, Cuts, bucket_cuts, collect_in_chunks, with_running
 
 # Purchases stay together while the gap, in whole minutes, is at most 30.
 GAP_30_WHOLE_MINUTES = 31 * 60
@@ -15,21 +15,21 @@ GAP_30_WHOLE_MINUTES = 31 * 60
 
 def label_sessions(
     df: DataFrame, keys: Sequence[str], time: str, limit_seconds: float, rows_per_task: int = ROWS_PER_TASK,
-    name: str = "session_start", width: int | str | None = MEASURE,
+    name: str = "session_start", cuts: Cuts | str = MEASURE,
 ) -> DataFrame:
     """Add the start time of the session each row belongs to.
 
     A session ends when the next row comes ``limit_seconds`` or more later.
-    Both running maxima are carried over time buckets, so a hot key's rows are
+    Both running maxima are carried over buckets, so a hot key's rows are
     not sorted in one task.
     """
-    if width == MEASURE:
-        width = bucket_width(df, keys, time, rows_per_task)
-    seen = with_running(df, keys, time, [time], {"__prev": ("max", F.col(time))}, width, inclusive=False)
+    if cuts == MEASURE:
+        cuts = bucket_cuts(df, keys, time, rows_per_task)
+    seen = with_running(df, keys, time, [time], {"__prev": ("max", F.col(time))}, cuts, inclusive=False)
     gap = F.unix_micros(time) - F.unix_micros("__prev")
     opens = F.col("__prev").isNull() | (gap >= round(limit_seconds * 1_000_000))
     start = F.when(opens, F.col(time))
-    return with_running(seen, keys, time, [time], {name: ("max", start)}, width).drop("__prev")
+    return with_running(seen, keys, time, [time], {name: ("max", start)}, cuts).drop("__prev")
 
 
 def sessions(
@@ -78,9 +78,9 @@ def session_actions(df: DataFrame, user: str, time: str, action: str, limit_seco
 
     Very long action lists continue in further ``chunk`` rows.
     """
-    width = bucket_width(df, [user], time, rows_per_task)
-    labelled = label_sessions(df, [user], time, limit_seconds, rows_per_task, width=width)
-    lists = collect_in_chunks(labelled, [user, "session_start"], time, action, [time], "actions", chunk_size, rows_per_task, width)
+    cuts = bucket_cuts(df, [user], time, rows_per_task)
+    labelled = label_sessions(df, [user], time, limit_seconds, rows_per_task, cuts=cuts)
+    lists = collect_in_chunks(labelled, [user, "session_start"], time, action, [time], "actions", chunk_size, rows_per_task, cuts)
     spans = labelled.groupBy(user, "session_start").agg(F.max(time).alias("session_end"))
     joined = lists.join(spans, [user, "session_start"])
     return joined.select(user, "session_start", "chunk", "actions", _seconds_between("session_start", "session_end").alias("seconds"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tributary.functions.intervals import floor_div, seconds
 from tributary.operators.ordered import SMALL_INPUT_BYTES
-from tributary.session import estimated_bytes, settled
+from tributary.session import plainly_small, settled
 
 # name -> (function, column); functions: count, sum, min, max, avg
 Aggs = dict[str, tuple[str, str | Column]]
@@ -75,10 +75,10 @@ def throughput(df: DataFrame, time: str, text: str, size: str = "10 seconds") ->
 
 
 def lag_monitor(df: DataFrame, arrival: str, lag: str, size: str = "30 seconds") -> DataFrame:
-    out = df.groupBy(F.window(arrival, size)).agg(
-        F.count(F.lit(1)).alias("count"), F.avg(lag).alias("avg_lag"), F.min(lag).alias("min_lag"),
-        F.max(lag).alias("max_lag"), F.percentile_approx(lag, 0.95, 10000).alias("p95_lag"),
-    )
+    from tributary.operators.aggregates import with_percentiles
+
+    aggs = {"count": F.count(F.lit(1)), "avg_lag": F.avg(lag), "min_lag": F.min(lag), "max_lag": F.max(lag)}
+    out = with_percentiles(df, lag, [F.window(arrival, size).alias("window")], {"p95_lag": 0.95}, aggs)
     return out.select("window.start", "window.end", "count", "avg_lag", "min_lag", "max_lag", "p95_lag")
 
 
@@ -173,7 +173,7 @@ def sensor_outliers(df: DataFrame, sensor: str, time: str, value: str, size: str
     span = Window.partitionBy(sensor).orderBy("__slot").rangeBetween(-(width - step), 0)
     n, s, q = (F.sum(c).over(span) for c in ("__n", "__s", "__q"))
     stats = sums.select(sensor, "__slot", n.alias("samples"), (s / n).alias("mean"), F.sqrt(F.greatest(q / n - (s / n) * (s / n), F.lit(0.0))).alias("std"))
-    if estimated_bytes(df) > SMALL_INPUT_BYTES:
+    if not plainly_small(df, SMALL_INPUT_BYTES):
         stats = settled(stats)
     far = (F.col("samples") > 1) & (F.abs(x - F.col("mean")) > sigmas * F.col("std"))
     return slotted.join(stats, [sensor, "__slot"]).where(far).drop("__slot")
@@ -202,7 +202,7 @@ def adaptive_windows_by_batch(
     """
     rules = rules or [(bound, seconds(size)) for bound, size in VELOCITY]
     sizes = df.groupBy(batch).agg(F.count(F.lit(1)).alias("velocity"))
-    if estimated_bytes(df) > SMALL_INPUT_BYTES:
+    if not plainly_small(df, SMALL_INPUT_BYTES):
         sizes = settled(sizes)
     pick = None
     for bound, size in rules:

@@ -17,12 +17,16 @@ def _(t):
     )
 
 
+# a seventh of the orders are filed under a number that is no customer's, so that both sides have unmatched rows
+_L, _R = "customer", "(SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN -o_custkey ELSE o_custkey END AS o_custkey FROM orders)"
+
+
 def _sides(t):
-    """Few-order customers against orders, so that both sides have unmatched rows."""
-    return t("customer", "c_custkey", "c_acctbal").where("c_acctbal > 0"), t("orders", "o_orderkey", "o_custkey", "o_totalprice").where("o_totalprice > 100000")
+    """All customers and all orders."""
+    filed = F.when(F.col("o_orderkey") % 7 == 0, -F.col("o_custkey")).otherwise(F.col("o_custkey"))
+    return t("customer", "c_custkey"), t("orders", "o_orderkey", "o_custkey").withColumn("o_custkey", filed)
 
 
-_L, _R = "(SELECT * FROM customer WHERE c_acctbal > 0)", "(SELECT * FROM orders WHERE o_totalprice > 100000)"
 for _how, _kind in {"left_outer": "LEFT", "right_outer": "RIGHT", "full_outer": "FULL"}.items():
     @query(f"customers_{_how}_orders", "C2", f"SELECT c_custkey, o_orderkey FROM {_L} {_kind} JOIN {_R} ON c_custkey = o_custkey")
     def _(t, how=_how):
@@ -88,10 +92,12 @@ def _(t):
 
 @query("sales_with_default_name", "C10", """
     SELECT l_orderkey, l_linenumber, coalesce(p_name, 'Unknown') AS p_name FROM lineitem
-    LEFT JOIN (SELECT * FROM part WHERE p_size > 10) ON l_partkey = p_partkey""")
+    LEFT JOIN part ON CASE WHEN l_linenumber = 7 THEN -l_partkey ELSE l_partkey END = p_partkey""")
 def _(t):
-    parts = t("part", "p_partkey", "p_name", "p_size").where("p_size > 10").drop("p_size")
-    return J.lookup_with_default(t("lineitem", "l_orderkey", "l_linenumber", "l_partkey"), parts, "l_partkey", "p_partkey", "p_name").select(
+    # seventh lines name a part that no table has
+    named = F.when(F.col("l_linenumber") == 7, -F.col("l_partkey")).otherwise(F.col("l_partkey"))
+    lines = t("lineitem", "l_orderkey", "l_linenumber", "l_partkey").withColumn("l_partkey", named)
+    return J.lookup_with_default(lines, t("part", "p_partkey", "p_name"), "l_partkey", "p_partkey", "p_name").select(
         "l_orderkey", "l_linenumber", "p_name"
     )
 

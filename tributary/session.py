@@ -64,11 +64,19 @@ def work_dir(spark: SparkSession, kind: str) -> str:
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a static plan.
+    """Catalyst's size estimate of a static plan."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
 
-    It is used only to skip a measuring job when the input is plainly small.
+def plainly_small(df: DataFrame, limit: int) -> bool:
+    """Whether a measuring job may be skipped; results do not depend on it.
+
+    An estimate does not count what an explode or a Python function adds, so
+    such plans are never taken for small.
     """
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    grows = any(name in plan for name in ("Generate ", "Expand ", "MapInPandas", "MapInArrow", "FlatMapGroups"))
+    return not grows and estimated_bytes(df) <= limit
 
 
 def settled(df: DataFrame) -> DataFrame:
@@ -119,6 +127,8 @@ def streaming_session(spark: SparkSession, **conf: str) -> SparkSession:
         ),
         # commit only the changes of a micro-batch, not a whole snapshot of the store
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        # progress tables are read after a query's end and must be whole
+        "spark.sql.streaming.numRecentProgressUpdates": "100000",
         **conf,
     }
     for key, value in settings.items():

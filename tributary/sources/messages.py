@@ -38,7 +38,7 @@ def has_broker(spark: SparkSession) -> bool:
 
 
 def has_avro(spark: SparkSession) -> bool:
-    return has_class(spark, "org.apache.spark.sql.avro.AvroFileFormat")
+    return has_class(spark, "org.apache.spark.sql.avro.CatalystDataToAvro")
 
 
 def read_topic(spark: SparkSession, servers: str, topic: str, max_per_trigger: int | None = None, starting: str = "latest") -> DataFrame:

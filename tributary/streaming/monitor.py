@@ -19,6 +19,15 @@ def with_trigger(writer: DataStreamWriter, kind: str, interval: str | None = Non
     raise ValueError(f"unknown trigger {kind}")
 
 
+def _updates(query: StreamingQuery) -> list:
+    """Every progress update of the query; raises when Spark has dropped the first ones."""
+    kept = int(query._jsq.sparkSession().conf().get("spark.sql.streaming.numRecentProgressUpdates", "100"))
+    updates = query.recentProgress
+    if len(updates) >= kept:
+        raise RuntimeError("progress updates were dropped: raise spark.sql.streaming.numRecentProgressUpdates before the query starts")
+    return updates
+
+
 PROGRESS = (
     "name string, batch_id bigint, at string, input_rows bigint, event_time_max string, watermark string,"
     " state_rows bigint, dropped_by_watermark bigint"
@@ -29,7 +38,7 @@ def progress_table(spark: SparkSession, *queries: StreamingQuery) -> DataFrame:
     """What the queries reported per micro-batch."""
     rows = []
     for q in queries:
-        for p in q.recentProgress:
+        for p in _updates(q):
             times = p["eventTime"] or {}
             states = p["stateOperators"]
             rows.append(
@@ -42,14 +51,14 @@ def progress_table(spark: SparkSession, *queries: StreamingQuery) -> DataFrame:
 
 
 def dropped_rows(query: StreamingQuery) -> int:
-    return sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
+    return sum(s["numRowsDroppedByWatermark"] for p in _updates(query) for s in p["stateOperators"])
 
 
 def offset_ranges(query: StreamingQuery) -> list[dict]:
     """Start and end offset of every source and micro-batch."""
     return [
         {"batch_id": p["batchId"], "source": s["description"], "start": s["startOffset"], "end": s["endOffset"]}
-        for p in query.recentProgress for s in p["sources"]
+        for p in _updates(query) for s in p["sources"]
     ]
 
 

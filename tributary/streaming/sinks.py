@@ -184,14 +184,15 @@ def jdbc_append(url: str, table: str, properties: dict[str, str], mode: str = "a
 
 
 def jdbc_merge(url: str, table: str, staging: str, key: str, columns: Sequence[str], properties: dict[str, str],
-               execute: Callable[[str], None]) -> BatchFn:
-    """Stage a batch, then ``INSERT ... ON CONFLICT DO UPDATE`` from the staging table."""
+               execute: Callable[[str], None], order: str) -> BatchFn:
+    """Stage the newest row per key by ``order``, then ``INSERT ... ON CONFLICT DO UPDATE`` from the staging table."""
     updates = ", ".join(f"{c} = EXCLUDED.{c}" for c in columns)
     names = ", ".join([key, *columns])
     statement = f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging} ON CONFLICT ({key}) DO UPDATE SET {updates}"
 
     def write(batch: DataFrame, n: int) -> None:
-        batch.dropDuplicates([key]).select(key, *columns).write.jdbc(url, staging, "overwrite", properties)
+        newest = batch.groupBy(key).agg(F.max_by(F.struct(*columns), order).alias("__v")).select(key, "__v.*")
+        newest.write.jdbc(url, staging, "overwrite", properties)
         execute(statement)
 
     return write

@@ -27,7 +27,7 @@ def _sorted(pdfs: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame:
 
 
 def _history(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], keep: Callable[[Arrays], slice],
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], keep: Callable[[Arrays], slice | np.ndarray],
     compute: Callable[[Arrays, Arrays, int], Arrays], output: str,
 ) -> DataFrame:
     """State = a short table of earlier rows (``columns``, as arrays of double).

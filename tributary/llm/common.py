@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -29,6 +30,25 @@ def free_name(df: DataFrame, stem: str) -> str:
     return name
 
 
+@contextmanager
+def runtime_filters(spark: SparkSession):
+    """Within this, Spark filters the large side of a shuffled join by a Bloom filter of the small side's keys.
+
+    The filter's size is bounded (spark.sql.optimizer.runtime.bloomFilter.maxNumBits); beyond it
+    fewer rows are filtered out before the shuffle, and the join stays exact.
+    """
+    wanted = {"enabled": "true", "applicationSideScanSizeThreshold": "0", "creationSideThreshold": "1t"}
+    names = {f"spark.sql.optimizer.runtime.bloomFilter.{k}": v for k, v in wanted.items()}
+    before = {k: spark.conf.get(k) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def touching(spans: list[tuple[int, int]]) -> Callable[[int, int], bool]:
     """A test whether a span overlaps any of ``spans``, by their starts and the furthest end so far."""
     ordered = sorted(spans)

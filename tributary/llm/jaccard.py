@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm import linking
-from tributary.llm.common import WORD, map_groups, map_rows
+from tributary.llm.common import WORD, map_groups, map_rows, runtime_filters
 from tributary.session import settled
 
 WORDS = re.compile(WORD)
@@ -235,13 +235,17 @@ def linked_rows(docs: DataFrame, plan: Plan = Plan()) -> tuple[DataFrame, DataFr
     marks = settled(signatures(rows.select("rid", "text")))
     classes = settled(marks.where("n > 0").groupBy("f1", "f2").agg(F.min("rid").alias("cid"), F.count("*").alias("weight")))
     reps = settled(marks.join(classes.select("cid", "weight"), F.col("rid") == F.col("cid")).select("cid", "weight", F.col("n").alias("size"), "sketch"))
-    buckets = settled(leaves(reps, plan))
-    own = buckets.groupBy("cid").agg(F.collect_set("leaf").alias("leaves"))
-    blocks = linking.in_blocks(buckets, "leaf", "cid", "n", plan.small)
-    wide = blocks.join(reps.drop("weight").join(own, "cid"), "cid")
-    pairs = settled(candidate_pairs(wide, plan))
-    texts = rows.select(F.col("rid").alias("cid"), "text").join(pairs.select("cid").distinct(), "cid", "left_semi")
-    found = verified(pairs.join(reps.select("cid", "weight"), "cid").join(texts, "cid"), plan)
+    # few sets have company: their sketches and texts alone travel, which Spark ensures
+    # by runtime filters where a join's small side is a filtered scan (the filters hold for all rows)
+    with runtime_filters(docs.sparkSession):
+        buckets = settled(leaves(reps, plan)).where("n > 1")
+        own = buckets.groupBy("cid").agg(F.collect_set("leaf").alias("leaves"))
+        blocks = linking.in_blocks(buckets, "leaf", "cid", "n", plan.small)
+        wide = blocks.join(reps.drop("weight").join(own, "cid"), "cid")
+        pairs = settled(candidate_pairs(wide, plan))
+        chosen = settled(pairs.select("cid").distinct()).where("cid >= 0")
+        texts = settled(rows.select(F.col("rid").alias("cid"), "text").join(chosen, "cid", "left_semi"))
+        found = settled(verified(pairs.join(reps.select("cid", "weight"), "cid").join(texts, "cid"), plan))
     listed = marks.select("rid", "f1", "f2", (F.col("n") > 0).alias("linked")).join(rows.select("rid", "doc_id"), "rid")
     return linking.per_row(listed, classes, found, "doc_id").select("rid", "doc_id", "n_links", "component_id", "label"), rows
 

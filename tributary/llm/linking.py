@@ -86,10 +86,9 @@ def per_row(rows: DataFrame, classes: DataFrame, found: DataFrame, ident: str) -
 
     ``rows``: (rid, ``ident``, f1, f2, linked) with equal (f1, f2) for equal
     content; ``classes``: (f1, f2, cid, weight); ``found``: (cid, links, root),
-    links counted in rows of other classes.  Rows that are not ``linked`` stand
+    links counted in rows of other classes, stored.  Rows that are not ``linked`` stand
     alone.  Adds n_links, component_id (smallest ``ident`` of the component).
     """
-    found = settled(found)
     links = found.groupBy("cid").agg(F.sum("links").alias("links"))
     tree = components(found.where("cid <> root").select(F.col("cid").alias("a"), F.col("root").alias("b")))
     known = settled(classes.join(links, "cid", "left").join(tree.withColumnRenamed("node", "cid"), "cid", "left").select(

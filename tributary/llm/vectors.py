@@ -120,5 +120,5 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, recall: float =
 
     wide = blocks.join(reps, "cid").select("table", "key", "one", "two", "part", "cid", "weight", "embedding", "keys")
     found = map_groups(wide, ["table", "key", "one", "two"], compare, "cid long, links long, root long")
-    result = linking.per_row(rows.select("rid", "vec_id", "f1", "f2", "linked"), classes, found, "vec_id")
+    result = linking.per_row(rows.select("rid", "vec_id", "f1", "f2", "linked"), classes, settled(found), "vec_id")
     return result.select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.functions.intervals import floor_div, seconds
@@ -85,6 +85,12 @@ def route_by_tenant(df: DataFrame, tenants: DataFrame, tenant: str, api_key: str
     return joined.withColumn("topic", topic).drop("__t", "__k", "__p")
 
 
+def envelope(session: str, time: str, tenant: str, body: str, batch: str | None = None, index: str | None = None) -> Column:
+    """A routed row's message: session, time in milliseconds, tenant, its place in an upload if it has one, and the body."""
+    place = [F.col(c).alias(n) for n, c in (("batch", batch), ("index", index)) if c]
+    return F.to_json(F.struct(F.col(session).alias("session"), F.unix_millis(time).alias("time"), F.col(tenant).alias("tenant"), *place, F.col(body).alias("body")))
+
+
 def batch_upload_lines(df: DataFrame, body: str) -> DataFrame:
     """One row per non-blank line of an upload, numbered from 0."""
     lines = F.filter(F.split(body, "\n"), lambda line: F.trim(line) != "")

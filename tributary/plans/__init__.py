@@ -2,6 +2,7 @@
 
 from tributary.plans import (  # noqa: F401
     aggregations,
+    deliveries,
     histories,
     joined,
     scalars,

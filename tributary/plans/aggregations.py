@@ -98,17 +98,23 @@ def _(t):
     return sketch.join(exact, "event_type").select("event_type", (F.abs(F.col("about") - F.col("exact")) <= F.col("exact") * 0.05).alias("close"))
 
 
-@query("value_percentiles_per_day", "D11", f"""
+PERCENTILES_SQL = f"""
     SELECT {start(86400)} AS start, event_type, count(value) AS count, round(avg(value), 8) AS average, min(value) AS minimum,
            max(value) AS maximum, quantile_disc(value, 0.5) AS median, quantile_disc(value, 0.9) AS p90,
            quantile_disc(value, 0.95) AS p95, quantile_disc(value, 0.99) AS p99
-    FROM events GROUP BY 1, 2 HAVING count(value) >= 5""")
-def _(t):
+    FROM events GROUP BY 1, 2 HAVING count(value) >= 5"""
+
+
+def _percentiles(t, **options):
     day = F.window("ts", "1 day").start.alias("start")
-    out = A.percentile_table(t("events", "ts", "event_type", "value"), "value", [day, "event_type"])
+    out = A.percentile_table(t("events", "ts", "event_type", "value"), "value", [day, "event_type"], **options)
     return out.withColumn("average", F.round("average", 8))
 
 
+query("value_percentiles_per_day", "D11", PERCENTILES_SQL)(_percentiles)
+query("value_percentiles_split", "D11", PERCENTILES_SQL)(lambda t: _percentiles(t, rows_per_task=10))
+
+
 @query("collected_values_per_window", "D12", f"""
     SELECT {start(6 * 3600)} AS start, array_to_string(list(event_type ORDER BY ts, event_id), ',') AS items, CAST(0 AS BIGINT) AS chunk
     FROM events GROUP BY 1""")

@@ -28,9 +28,12 @@ SESSION_SQL = f"""SELECT user_id, s AS session_start, max(ts) AS session_end, CA
     FROM {sessioned('events', 31 * 60 * 1_000_000)} GROUP BY user_id, s"""
 
 
-@query("purchase_sessions", "H4", SESSION_SQL)
-def _(t):
-    return S.purchase_sessions(quantity(t, "user_id", "event_type"), "user_id", "ts", "event_type", "quantity")
+def _purchases(t, **options):
+    return S.purchase_sessions(quantity(t, "user_id", "event_type"), "user_id", "ts", "event_type", "quantity", **options)
+
+
+query("purchase_sessions", "H4", SESSION_SQL)(_purchases)
+query("purchase_sessions_split", "H4", SESSION_SQL)(lambda t: _purchases(t, rows_per_task=30))
 
 
 @query("session_actions", "I2", f"""
@@ -76,12 +79,16 @@ ROLLING_SQL = f"""SELECT user_id, event_id, round(a, 8) AS rolling_avg FROM
             row_number() OVER (PARTITION BY user_id ORDER BY ts) AS p FROM {CLICKS}) WHERE p >= 3"""
 
 
-@query("rolling_average", "I8 E2", ROLLING_SQL)
-def _(t):
-    out = K.rolling_avg(clicks(t), "user_id", "ts", ["ts", "event_id"], "x", 3)
+def _rolling(t, **options):
+    out = K.rolling_avg(clicks(t), "user_id", "ts", ["ts", "event_id"], "x", 3, **options)
     return rounded(out.select("user_id", "event_id", "rolling_avg"), 8, "rolling_avg")
 
 
+# the *_split queries cut keys into buckets of a few rows and have the twins of the plain ones
+query("rolling_average", "I8 E2", ROLLING_SQL)(_rolling)
+query("rolling_average_split", "I8 E2", ROLLING_SQL)(lambda t: _rolling(t, rows_per_task=30))
+
+
 TREND_SQL = f"""WITH m AS (SELECT user_id, event_id, row_number() OVER w AS p, avg(x) OVER (PARTITION BY user_id ORDER BY ts ROWS 2 PRECEDING) AS a,
     avg(x) OVER (PARTITION BY user_id ORDER BY ts ROWS 4 PRECEDING) AS b, avg(x) OVER (PARTITION BY user_id ORDER BY ts ROWS 9 PRECEDING) AS c
     FROM {CLICKS} WINDOW w AS (PARTITION BY user_id ORDER BY ts))

@@ -17,13 +17,13 @@ def _(t):
     )
 
 
-# a seventh of the orders are filed under a number that is no customer's, so that both sides have unmatched rows
-_L, _R = "customer", "(SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN -o_custkey ELSE o_custkey END AS o_custkey FROM orders)"
+# orders of every tenth customer are filed under a number that is no customer's, so that both sides have unmatched rows
+_L, _R = "customer", "(SELECT o_orderkey, CASE WHEN o_custkey % 10 = 0 THEN -o_custkey ELSE o_custkey END AS o_custkey FROM orders)"
 
 
 def _sides(t):
     """All customers and all orders."""
-    filed = F.when(F.col("o_orderkey") % 7 == 0, -F.col("o_custkey")).otherwise(F.col("o_custkey"))
+    filed = F.when(F.col("o_custkey") % 10 == 0, -F.col("o_custkey")).otherwise(F.col("o_custkey"))
     return t("customer", "c_custkey"), t("orders", "o_orderkey", "o_custkey").withColumn("o_custkey", filed)
 
 

@@ -260,11 +260,17 @@ def _(t):
     return R.top_k(count_by(t("events", "user_id"), "user_id"), "count", ["user_id"], 10)
 
 
-@query("cheapest_tenth_per_bracket", "E1", """
+CHEAPEST_SQL = """
     WITH b AS (SELECT l_orderkey, l_linenumber, l_extendedprice, CASE WHEN l_quantity * 5 <= 100 THEN '0-100' WHEN l_quantity * 5 <= 150 THEN '101-150'
         WHEN l_quantity * 5 <= 200 THEN '151-200' ELSE '200+' END AS bracket FROM lineitem)
     SELECT l_orderkey, l_linenumber, l_extendedprice, bracket FROM
-    (SELECT *, percent_rank() OVER (PARTITION BY bracket ORDER BY l_extendedprice) AS r FROM b) WHERE r <= 0.1""")
-def _(t):
+    (SELECT *, percent_rank() OVER (PARTITION BY bracket ORDER BY l_extendedprice) AS r FROM b) WHERE r <= 0.1"""
+
+
+def _cheapest(t, **options):
     rows = t("lineitem", "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity").withColumn("power", F.col("l_quantity") * 5)
-    return R.bottom_percent(rows, "power", "l_extendedprice").select("l_orderkey", "l_linenumber", "l_extendedprice", "bracket")
+    return R.bottom_percent(rows, "power", "l_extendedprice", **options).select("l_orderkey", "l_linenumber", "l_extendedprice", "bracket")
+
+
+query("cheapest_tenth_per_bracket", "E1", CHEAPEST_SQL)(_cheapest)
+query("cheapest_tenth_split", "E1", CHEAPEST_SQL)(lambda t: _cheapest(t, rows_per_task=500))

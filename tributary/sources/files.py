@@ -72,7 +72,7 @@ def watch_many(spark: SparkSession, pattern: str, max_files: int | None = None)
 
 
 def read_rate_limited(spark: SparkSession, path: str, schema: Schema, file_format: str = "parquet",
-                      max_files: int | None = None, max_bytes: str | None = None) -> DataFrame:
+                      max_files: int | None = None, max_bytes: int | None = None) -> DataFrame:
     """Admission control at the source: the rest waits for the next trigger."""
     return _stream(spark, max_files, max_bytes).schema(schema).format(file_format).load(path)
 

@@ -2,6 +2,7 @@ import random
 import time
 from pathlib import Path
 
+import pyarrow.fs as pafs
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,6 +11,7 @@ from tributary.sources.tables import read_table
 from tributary.sources.tailing import Span, TailedLines, TailReader, complete_bytes
 from tributary.streaming import monitor, sinks
 from tributary.streaming.control import dynamic_keywords, dynamic_threshold, threshold_file
+from tributary.streaming.receivers import FolderReceiver
 from tributary.streaming.replay import for_each_batch, replay, stage
 
 
@@ -135,9 +137,9 @@ def test_tailed_spans_split_between_lines(tmp_path):
     lines = ["x" * rng.randint(0, 9) for _ in range(200)]
     path = tmp_path / "f.log"
     path.write_text("".join(line + "\n" for line in lines) + "unfinished")
-    end, reader = complete_bytes(str(path)), TailReader(str(tmp_path))
+    end, reader = complete_bytes(*pafs.FileSystem.from_uri(str(path))), TailReader(str(tmp_path))
     for step in (1, 3, 7, 50, 10_000):
-        got = [v for at in range(0, end, step) for _, _, v in reader.read(Span(str(path), 0, at, min(at + step, end)))]
+        got = [v for at in range(0, end, step) for b in reader.read(Span(path.name, 0, at, min(at + step, end))) for v in b.column("value").to_pylist()]
         assert got == lines
 
 
@@ -250,8 +252,10 @@ def test_rate_limited_upsert_keeps_newest(spark, tmp_path):
     assert {f.name: f.read_text() for f in tmp_path.glob("*.n")} == {"1.n": "new", "2.n": "only"}
 
 
-def test_chunked_ack(spark):
-    acks = sinks.chunked_ack(spark.range(0, 1037, 1, 3), 100).collect()
+def test_chunked_ack(spark, tmp_path):
+    folder = str(tmp_path)
+    acks = sinks.chunked_ack(spark.range(0, 1037, 1, 3), FolderReceiver(folder, ["id"], "id").send, 100).collect()
+    assert sorted(r["id"] for r in spark.read.json(folder).collect()) == list(range(1037))
     assert sum(r["size"] for r in acks) == 1037 and max(r["size"] for r in acks) == 100
     assert all(len({r["chunk"] for r in acks if r["part"] == p}) == sum(r["part"] == p for r in acks) for p in (0, 1, 2))
 

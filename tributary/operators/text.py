@@ -31,7 +31,11 @@ def sentence_scores(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> D
     keeps one row without class.
     """
     pieces = F.filter(F.split(text, SENTENCE_END), lambda s: F.trim(s) != "")
-    said = df.select(key, F.posexplode_outer(pieces).alias("no", "sentence"))
+    return _voted(df.select(key, F.posexplode_outer(pieces).alias("no", "sentence")), key, lexicon)
+
+
+def _voted(said: DataFrame, key: str, lexicon: DataFrame) -> DataFrame:
+    """Class and confidence of the given sentences (key, no, sentence)."""
     spoken = said.select(key, "no", F.explode_outer(F.split(F.lower("sentence"), NOT_A_LETTER)).alias("__word"))
     known = lexicon.select(F.col("word").alias("__known"), F.col("class").cast("int").alias("__class"))
     votes = spoken.join(known, F.col("__word") == F.col("__known"), "left").groupBy(key, "no", "__class").agg(F.count("__word").alias("__n"))
@@ -78,8 +82,10 @@ def aspect_sentiment(df: DataFrame, key: str, text: str, lexicon: DataFrame, asp
     pieces = F.filter(F.split(text, SENTENCE_END), lambda s: F.trim(s) != "")
     said = df.select(key, F.posexplode(pieces).alias("no", "sentence"))
     named = F.array_compact(F.array(*[F.when(F.lower("sentence").contains(a.lower()), F.lit(a)) for a in aspects]))
-    mentions = said.select(key, "no", F.explode(named).alias("aspect"))
-    scores = mentions.join(sentence_scores(df, key, text, lexicon), [key, "no"]).groupBy(key, "aspect").agg(F.avg("class").alias("__score"))
+    # only sentences that name an aspect are scored
+    naming = said.withColumn("__named", named).where(F.size("__named") > 0)
+    mentions = naming.select(key, "no", F.explode("__named").alias("aspect"))
+    scores = mentions.join(_voted(naming, key, lexicon), [key, "no"]).groupBy(key, "aspect").agg(F.avg("class").alias("__score"))
     asked = df.select(key, F.explode(F.array(*[F.lit(a) for a in aspects])).alias("aspect"))
     out = asked.join(scores, [key, "aspect"], "left").withColumn("score", F.coalesce("__score", F.lit(-1.0)))
     return out.withColumn("sentiment", sentiment_label(F.col("score"))).drop("__score")
@@ -145,7 +151,7 @@ def similar_texts(df: DataFrame, key: str, words: str, group: Sequence[str] = ()
     return copies, pairs
 
 
-def connected_groups(pairs: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 50) -> DataFrame:
+def connected_groups(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``(node, cluster)``: every node of the pairs with the smallest node it is linked to.
 
     Alternating star contraction: edges are re-pointed to smaller neighbours
@@ -154,7 +160,7 @@ def connected_groups(pairs: DataFrame, a: str = "a", b: str = "b", max_rounds: i
     """
     shared_base(pairs.sparkSession)
     edges = pairs.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct().checkpoint()
-    for _ in range(max_rounds):
+    while True:
         before = edges
         # large star: larger neighbours move to the smallest neighbour
         around = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -169,8 +175,6 @@ def connected_groups(pairs: DataFrame, a: str = "a", b: str = "b", max_rounds: i
         edges = small.where("u <> v").distinct().checkpoint()
         if edges.exceptAll(before).isEmpty() and before.exceptAll(edges).isEmpty():
             break
-    else:
-        raise RuntimeError("groups did not settle; raise max_rounds")
     roots = edges.select(F.col("v").alias("node")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("cluster")).unionByName(
         roots.select("node", F.col("node").alias("cluster"))

@@ -18,6 +18,7 @@ from tributary.plans.windowed import TAGGED
 from tributary.session import python_state, work_dir
 from tributary.sources.tables import table_schema
 from tributary.streaming import late, sinks, state
+from tributary.streaming.receivers import FolderReceiver
 from tributary.streaming.replay import for_each_batch, replay, stage
 
 DAY, HOUR = 86400, 3600
@@ -346,7 +347,10 @@ def _(t):
 @query("acknowledged_chunks", "A34 K3", """
     SELECT count(*) AS total, true AS all_within_limit FROM lineitem""")
 def _(t):
-    acks = sinks.chunked_ack(t("lineitem", "l_orderkey"), 100)
+    # lines are sent in chunks to a receiver that keeps each chunk as a file
+    receiver = FolderReceiver(work_dir(t.spark, "acknowledged"), ["l_orderkey", "l_linenumber"], "place")
+    lines = t("lineitem", "l_orderkey", "l_linenumber").withColumn("place", F.concat_ws("-", "l_orderkey", "l_linenumber"))
+    acks = sinks.chunked_ack(lines, receiver.send, 100)
     return acks.agg(F.sum("size").alias("total"), (F.max("size") <= 100).alias("all_within_limit"))
 
 

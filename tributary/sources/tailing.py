@@ -6,28 +6,30 @@ last committed line.  The driver only lists files; lines are read by the tasks.
 
 from __future__ import annotations
 
-import os
+import io
 from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
 
 SPLIT_BYTES = 64 * 1024 * 1024
 TAIL_BYTES = 1024 * 1024
+LINES_PER_BATCH = 10_000
 
 
 class Span(InputPartition):
-    """Lines that begin in [start, stop) of ``path``; ``first`` is where the batch began."""
+    """Lines that begin in [start, stop) of the file; ``first`` is where the batch began."""
 
-    def __init__(self, path: str, first: int, start: int, stop: int):
-        self.path, self.first, self.start, self.stop = path, first, start, stop
+    def __init__(self, name: str, first: int, start: int, stop: int):
+        self.name, self.first, self.start, self.stop = name, first, start, stop
 
 
-def complete_bytes(path: str) -> int:
+def complete_bytes(fs: pafs.FileSystem, path: str) -> int:
     """Size of the file up to its last line end."""
-    size = os.path.getsize(path)
-    with open(path, "rb") as f:
-        end = size
+    with fs.open_input_file(path) as f:
+        end = f.size()
         while end > 0:
             begin = max(0, end - TAIL_BYTES)
             f.seek(begin)
@@ -39,6 +41,8 @@ def complete_bytes(path: str) -> int:
 
 
 class TailReader(DataSourceStreamReader):
+    """Reads any folder that Arrow's file systems reach."""
+
     def __init__(self, folder: str):
         self.folder = folder
 
@@ -46,19 +50,22 @@ class TailReader(DataSourceStreamReader):
         return {}
 
     def latestOffset(self) -> dict:
-        names = sorted(n for n in os.listdir(self.folder) if not n.startswith((".", "_")))
-        return {n: complete_bytes(os.path.join(self.folder, n)) for n in names}
+        fs, base = pafs.FileSystem.from_uri(self.folder)
+        found = fs.get_file_info(pafs.FileSelector(base))
+        names = sorted(f.base_name for f in found if f.type == pafs.FileType.File and not f.base_name.startswith((".", "_")))
+        return {n: complete_bytes(fs, f"{base}/{n}") for n in names}
 
     def partitions(self, start: dict, end: dict) -> list[Span]:
         spans = []
         for name, stop in end.items():
             first = start.get(name, 0)
             for at in range(first, stop, SPLIT_BYTES):
-                spans.append(Span(os.path.join(self.folder, name), first, at, min(at + SPLIT_BYTES, stop)))
+                spans.append(Span(name, first, at, min(at + SPLIT_BYTES, stop)))
         return spans
 
-    def read(self, span: Span) -> Iterator[tuple]:
-        with open(span.path, "rb") as f:
+    def read(self, span: Span) -> Iterator[pa.RecordBatch]:
+        fs, base = pafs.FileSystem.from_uri(self.folder)
+        with io.BufferedReader(fs.open_input_file(f"{base}/{span.name}")) as f:
             at = span.start
             if at > span.first:  # a line that began before belongs to the span before
                 f.seek(at - 1)
@@ -66,9 +73,13 @@ class TailReader(DataSourceStreamReader):
             else:
                 f.seek(at)
             while at < span.stop:
-                line = f.readline()
-                yield os.path.basename(span.path), at, line.rstrip(b"\r\n").decode("utf-8", "replace")
-                at += len(line)
+                places, lines = [], []
+                while at < span.stop and len(lines) < LINES_PER_BATCH:
+                    line = f.readline()
+                    places.append(at)
+                    lines.append(line.rstrip(b"\r\n").decode("utf-8", "replace"))
+                    at += len(line)
+                yield pa.RecordBatch.from_arrays([pa.array([span.name] * len(lines)), pa.array(places, pa.int64()), pa.array(lines, pa.string())], ["file", "position", "value"])
 
     def commit(self, end: dict) -> None:
         pass

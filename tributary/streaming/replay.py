@@ -33,7 +33,7 @@ def stage(df: DataFrame, time: str, slice_seconds: int, name: str) -> Staged:
 
     Slices are written one after the other, since a file stream picks files in
     the order they were modified.  A large slice has several files, so it is
-    written and read in parallel.  Staging happens once per application and
+    written and read in parallel.  Rows without a time come first.  Staging happens once per application and
     ``name``.
     """
     spark = df.sparkSession
@@ -41,12 +41,13 @@ def stage(df: DataFrame, time: str, slice_seconds: int, name: str) -> Staged:
     if key in _STAGED:
         return _STAGED[key]
     number = F.floor(F.unix_seconds(time) / slice_seconds)
-    slices = [r["n"] for r in df.select(number.alias("n")).distinct().orderBy("n").collect()]
+    slices = [r["n"] for r in df.select(number.alias("n")).where("n is not null").distinct().orderBy("n").collect()]
     files = max(1, -(-estimated_bytes(df) // (max(1, len(slices)) * FILE_BYTES)))
     path = work_dir(spark, "staged")
     for n in slices:
         lo, hi = F.timestamp_seconds(F.lit(n * slice_seconds)), F.timestamp_seconds(F.lit((n + 1) * slice_seconds))
-        part = df.where((F.col(time) >= lo) & (F.col(time) < hi))
+        wanted = (F.col(time) >= lo) & (F.col(time) < hi)
+        part = df.where(wanted | F.col(time).isNull() if n == slices[0] else wanted)
         (part.coalesce(1) if files == 1 else part.repartition(files)).write.mode("append").parquet(path)
     _STAGED[key] = Staged(path, df.schema, files, len(slices))
     return _STAGED[key]

@@ -10,6 +10,7 @@ import time as clock
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, Row, StructType
@@ -281,21 +282,29 @@ def rate_limited_upsert(write_row: Callable[[Row], None], key: str, order: str,
     return write
 
 
-def chunked_ack(df: DataFrame, n: int = 100) -> DataFrame:
-    """Hand each partition on in chunks of ``n`` rows; one ``(part, chunk, size)`` row per chunk."""
+def chunked_ack(df: DataFrame, send: Callable[[list[Row]], None], n: int = 100) -> DataFrame:
+    """Send each partition on in chunks of ``n`` rows; one ``(part, chunk, size)`` row per chunk the receiver took.
+
+    The next chunk goes out when ``send`` has returned; if it raises, the task
+    fails and is repeated, so a receiver may see a chunk twice.
+    """
+    row = Row(*df.columns)
 
     def ack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        chunk, held = 0, 0
-        part = None
+        chunk, held = 0, []
+        part = TaskContext.get().partitionId()
+
+        def delivered(size: int) -> pd.DataFrame:
+            nonlocal chunk, held
+            send(held[:size])
+            held, chunk = held[size:], chunk + 1
+            return pd.DataFrame({"part": [part], "chunk": [chunk - 1], "size": [size]})
+
         for pdf in batches:
-            part = int(pdf["__part"].iloc[0]) if part is None and len(pdf) else part
-            held += len(pdf)
-            full = held // n
-            if full:
-                yield pd.DataFrame({"part": part, "chunk": range(chunk, chunk + full), "size": n})
-                chunk, held = chunk + full, held - full * n
+            held += [row(*values) for values in pdf.itertuples(index=False, name=None)]
+            while len(held) >= n:
+                yield delivered(n)
         if held:
-            yield pd.DataFrame({"part": [part], "chunk": [chunk], "size": [held]})
+            yield delivered(len(held))
 
-    tagged = df.select(F.spark_partition_id().alias("__part"), df.columns[0])
-    return tagged.mapInPandas(ack, "part int, chunk bigint, size bigint")
+    return df.mapInPandas(ack, "part int, chunk bigint, size bigint")

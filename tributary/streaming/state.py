@@ -57,21 +57,26 @@ def _last(n: int) -> Callable[[Arrays], slice]:
     return lambda rows: slice(max(0, len(next(iter(rows.values()))) - n), None)
 
 
-def _means(x: np.ndarray, n: int, old: int) -> np.ndarray:
-    """Mean of the last ``n`` values at every new row, NaN before there are ``n``."""
-    out = np.full(len(x), np.nan)
-    if len(x) >= n:
-        out[n - 1 :] = np.lib.stride_tricks.sliding_window_view(x, n).mean(axis=1)
-    return out[old:]
+def _means(x: np.ndarray, n: int, old: int) -> tuple[np.ndarray, np.ndarray]:
+    """Mean of the last ``n`` rows' values (nulls left out) at every new row, and which rows have ``n``."""
+    known = ~np.isnan(x)
+    padded = np.concatenate([np.zeros(n - 1), np.where(known, x, 0.0)])
+    counted = np.lib.stride_tricks.sliding_window_view(np.concatenate([np.zeros(n - 1), known]), n).sum(axis=1)
+    sums = np.lib.stride_tricks.sliding_window_view(padded, n).sum(axis=1)
+    means = np.where(counted > 0, sums / np.maximum(counted, 1), np.nan)
+    return means[old:], (np.arange(1, len(x) + 1) >= n)[old:]
+
+
+def _nulls(x: np.ndarray) -> list:
+    return [None if np.isnan(v) else v for v in x.tolist()]
 
 
 def rolling_avg(df: DataFrame, key: str, order: Sequence[str], ident: str, value: str, n: int = 3) -> DataFrame:
     """Mean of the last ``n`` values, across micro-batches."""
 
     def compute(rows, new, old):
-        mean = _means(rows[value], n, old)
-        ready = ~np.isnan(mean)
-        return {ident: new[ident][ready], "rolling_avg": mean[ready]}
+        mean, ready = _means(rows[value], n, old)
+        return {ident: new[ident][ready], "rolling_avg": _nulls(mean[ready])}
 
     kind = df.schema[key].dataType.simpleString()
     return _history(df, [key], order, [value], _last(n - 1), compute, f"{ident} bigint, rolling_avg double, {key} {kind}")
@@ -79,12 +84,11 @@ def rolling_avg(df: DataFrame, key: str, order: Sequence[str], ident: str, value
 
 def multi_window_trend(df: DataFrame, key: str, order: Sequence[str], ident: str, value: str) -> DataFrame:
     def compute(rows, new, old):
-        a, b, c = (_means(rows[value], n, old) for n in (3, 5, 10))
+        (a, _), (b, _), (c, ready) = (_means(rows[value], n, old) for n in (3, 5, 10))
         trend = np.select(
             [(a < b) & (b < c), (a > b) & (b > c), (np.abs(a - b) < 50) & (np.abs(b - c) < 50)], ["improving", "degrading", "stable"], "fluctuating"
         )
-        ready = ~np.isnan(c)
-        return {ident: new[ident][ready], "avg3": a[ready], "avg5": b[ready], "avg10": c[ready], "trend": trend[ready]}
+        return {ident: new[ident][ready], "avg3": _nulls(a[ready]), "avg5": _nulls(b[ready]), "avg10": _nulls(c[ready]), "trend": trend[ready]}
 
     kind = df.schema[key].dataType.simpleString()
     return _history(df, [key], order, [value], _last(9), compute,
@@ -93,26 +97,33 @@ def multi_window_trend(df: DataFrame, key: str, order: Sequence[str], ident: str
 
 def fraud_alerts(df: DataFrame, user: str, micros: str, ident: str, amount: str, window_seconds: int = 60, max_count: int = 5,
                  max_total: float = 10_000.0, times_average: float = 5.0) -> DataFrame:
-    """As the table form; ``micros`` is the event time in microseconds."""
+    """As the table form; ``micros`` is the event time in microseconds.
+
+    A row that arrives late is placed by its time among those kept, which are
+    the ones of the last window and of one before it.
+    """
     reach = window_seconds * 1_000_000
 
     def keep(rows):
-        return slice(int(np.searchsorted(rows[micros], rows[micros][-1] - reach, side="left")), None)
+        return np.flatnonzero(rows[micros] >= rows[micros].max() - 2 * reach)
 
     def compute(rows, new, old):
-        at, x = rows[micros], rows[amount]
-        first = np.searchsorted(at, at[old:] - reach, side="left")
-        after = np.searchsorted(at, at[old:], side="right")
-        sums = np.concatenate([[0.0], np.cumsum(x)])
-        count, total = after - first, sums[after] - sums[first]
+        x, asked = rows[amount][old:], rows[micros][old:]
+        order = np.argsort(rows[micros], kind="stable")
+        at, known = rows[micros][order], ~np.isnan(rows[amount][order])
+        first, after = np.searchsorted(at, asked - reach, side="left"), np.searchsorted(at, asked, side="right")
+        sums = np.concatenate([[0.0], np.cumsum(np.where(known, rows[amount][order], 0.0))])
+        some = np.concatenate([[0], np.cumsum(known)])
+        count = after - first
+        total = np.where(some[after] > some[first], sums[after] - sums[first], np.nan)
         rules = {
             "too many transactions": count > max_count, "high amount": total > max_total,
-            "unusual large transaction": x[old:] > total / count * times_average,
+            "unusual large transaction": x > total / count * times_average,
         }
         hits = [np.flatnonzero(rule) for rule in rules.values()]
         at_row = np.concatenate(hits)
         reason = np.repeat(list(rules), [len(h) for h in hits])
-        return {ident: new[ident][at_row], "recent_count": count[at_row], "recent_total": total[at_row], "reason": reason}
+        return {ident: new[ident][at_row], "recent_count": count[at_row], "recent_total": _nulls(total[at_row]), "reason": reason}
 
     kind = df.schema[user].dataType.simpleString()
     return _history(df, [user], [micros, ident], [micros, amount], keep, compute,
@@ -244,11 +255,14 @@ def session_expiry(df: DataFrame, user: str, time: str, action: str, limit_secon
         start, last, actions = state.get if state.exists else (None, None, [])
         actions, closed = list(actions), []
         for at, what in zip(rows["__us"].tolist(), rows[action].tolist()):
+            if last is not None and start - at >= limit:  # late, and of a session before the open one
+                closed.append((at, at, [what]))
+                continue
             if last is not None and at - last >= limit:
                 closed.append((start, last, actions))
-                start, actions = None, []
-            start = at if start is None else start
-            last = at
+                start, last, actions = None, None, []
+            start = at if start is None else min(start, at)
+            last = at if last is None else max(last, at)
             actions.append(what)
         state.update((start, last, actions))
         due = (last + limit) // 1000

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_BASE: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def build_session(app: str = "tributary", master: str | None = None, **conf: str) -> SparkSession:
@@ -32,8 +35,26 @@ def build_session(app: str = "tributary", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the workers this package, once per application.
+
+    Functions that run in tasks are pickled by module name, so workers must be
+    able to import the modules; Spark serves the archive from the driver.
+    """
+    context, home = spark.sparkContext, Path(__file__).parent
+    if context.applicationId in _SHIPPED or not home.is_dir():
+        return
+    _SHIPPED.add(context.applicationId)
+    archive = Path(tempfile.mkdtemp(prefix="tributary-code-"), "tributary_package.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for source in sorted(home.rglob("*.py")):
+            out.write(source, Path(home.name, source.relative_to(home)))
+    context.addPyFile(str(archive))
+
+
 def use_utc(spark: SparkSession) -> SparkSession:
     """Event times carry no zone; read and print them as UTC."""
+    ship_package(spark)
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
@@ -45,6 +66,7 @@ def shared_base(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``.  Only a local session
     without that setting gets a temporary folder of its own.
     """
+    ship_package(spark)
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")

@@ -45,6 +45,14 @@ def test_query_rows(spark, sf_dir):
             assert r.ratio == ratio and (not r.kept or bands.inside(len(text.encode()), ratio))
 
 
+def test_a_short_rest_is_no_chunk_of_its_own():
+    rng, packer = random.Random(3), zstandard.ZstdCompressor(level=3)
+    raw = " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(2, 9))) for _ in range(4000)).encode()
+    for length in (1, 4095, 4096, 4097, 4100, 6143, 6144, 8192, 8200, 12290):
+        whole, low, high, good = C.ratios(raw[:length], packer, C.Bands())
+        assert good and low > (0.05 if length < 64 else 1.5), length
+
+
 def test_clean_stays_and_junk_goes(spark):
     rng = random.Random(2)
     clean = " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(2, 9))) for _ in range(400))

@@ -31,7 +31,7 @@ class Bands:
     """``limits``: (bytes below which it holds, least ratio, largest ratio), by rising length."""
 
     limits: tuple[tuple[float, float, float], ...] = (
-        (64, 0.40, 3.0), (128, 0.60, 3.0), (256, 0.85, 3.5), (512, 1.05, 3.5), (4096, 1.15, 4.0), (65536, 1.25, 5.0), (float("inf"), 1.25, 6.0),
+        (64, 0.0, 3.0), (128, 0.60, 3.0), (256, 0.85, 3.5), (512, 1.05, 3.5), (4096, 1.15, 4.0), (65536, 1.25, 5.0), (float("inf"), 1.25, 6.0),
     )
     chunk_bytes: int = 4096
     level: int = 3
@@ -78,8 +78,10 @@ def ratios(raw: bytes, packer: zstandard.ZstdCompressor, bands: Bands) -> tuple[
     whole = len(raw) / len(packer.compress(raw))
     good = bands.inside(len(raw), whole)
     view, parts = memoryview(raw), []
-    for at in range(0, len(raw), bands.chunk_bytes):
-        chunk = view[at : at + bands.chunk_bytes]
+    # a rest of less than half a chunk, mostly frame overhead alone, belongs to the chunk before it
+    starts = [0, *range(bands.chunk_bytes, len(raw) - bands.chunk_bytes // 2 + 1, bands.chunk_bytes)]
+    for at, end in zip(starts, [*starts[1:], len(raw)]):
+        chunk = view[at:end]
         parts.append(len(chunk) / len(packer.compress(chunk)))
         good = good and bands.inside(len(chunk), parts[-1])
     return whole, min(parts), max(parts), good

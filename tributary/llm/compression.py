@@ -31,7 +31,7 @@ class Bands:
     """``limits``: (bytes below which it holds, least ratio, largest ratio), by rising length."""
 
     limits: tuple[tuple[float, float, float], ...] = (
-        (64, 0.0, 3.0), (128, 0.60, 3.0), (256, 0.85, 3.5), (512, 1.05, 3.5), (4096, 1.15, 4.0), (65536, 1.25, 5.0), (float("inf"), 1.25, 6.0),
+        (64, 0.0, 3.0), (128, 0.60, 3.0), (256, 0.90, 3.5), (512, 1.10, 3.5), (1024, 1.25, 3.5), (4096, 1.40, 4.0), (65536, 1.45, 5.0), (float("inf"), 1.45, 6.0),
     )
     chunk_bytes: int = 4096
     level: int = 3

@@ -45,7 +45,8 @@ def ship_package(spark: SparkSession) -> None:
     if context.applicationId in _SHIPPED or not home.is_dir():
         return
     _SHIPPED.add(context.applicationId)
-    archive = Path(tempfile.mkdtemp(prefix="tributary-code-"), "tributary_package.zip")
+    # a place of the driver alone; the JVM may see the process-relative name differently
+    archive = Path(tempfile.mkdtemp(prefix="tributary-code-")).resolve() / "tributary_package.zip"
     with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
         for source in sorted(home.rglob("*.py")):
             out.write(source, Path(home.name, source.relative_to(home)))

@@ -128,12 +128,15 @@ def similar_texts(df: DataFrame, key: str, words: str, group: Sequence[str] = ()
         F.sort_array(F.collect_list(F.struct("__df", "__token"))).alias("__rare")
     )
     prefix = F.col("__size") - F.ceil(F.col("__size") * threshold).cast("int") + 1
-    probes = ranked.select(*group, "first", "__size", F.explode(F.slice("__rare", 1, prefix)).alias("__t")).where("__t.__df > 1").select(
-        *group, "first", "__size", F.col("__t.__token").alias("__token")
+    probes = ranked.select(*group, "first", "__size", F.posexplode(F.slice("__rare", 1, prefix)).alias("__place", "__t")).where("__t.__df > 1").select(
+        *group, "first", "__size", "__place", F.col("__t.__token").alias("__token")
     )
-    left = probes.select(*group, "__token", F.col("first").alias("a"), F.col("__size").alias("__na"))
-    right = probes.select(*group, "__token", F.col("first").alias("b"), F.col("__size").alias("__nb"))
+    left = probes.select(*group, "__token", F.col("first").alias("a"), F.col("__size").alias("__na"), F.col("__place").alias("__pa"))
+    right = probes.select(*group, "__token", F.col("first").alias("b"), F.col("__size").alias("__nb"), F.col("__place").alias("__pb"))
     fits = F.least("__na", "__nb") > F.greatest("__na", "__nb") * threshold
+    # words are in one order for all texts: those before this one and after it bound what two texts share
+    reach = F.least("__pa", "__pb") + F.least(F.col("__na") - F.col("__pa"), F.col("__nb") - F.col("__pb"))
+    fits &= reach >= (F.col("__na") + F.col("__nb")) * (threshold / (1 + threshold)) - 1e-6
     met = left.join(right, [*group, "__token"]).where((F.col("a") < F.col("b")) & fits)
     # words shared outside the rare parts are fewer than the larger unprobed rest
     rest = F.ceil(F.greatest("__na", "__nb") * threshold) - 1

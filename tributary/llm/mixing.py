@@ -130,7 +130,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_RE
     ``keep`` names further columns to carry along.
     """
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.col("text"), F.lit("")))
-    sized = settled(docs.select("doc_id", "source", word_count(F.col("text")).alias("__size"), key.alias("__key"), *keep))
+    stored = settled(docs.select(F.monotonically_increasing_id().alias("__rid"), "doc_id", "source", word_count(F.col("text")).alias("__size"), key.alias("__key"), *keep))
+    sized = stored.select("__rid", "doc_id", "source", "__size", "__key")
     targets = settled(source_targets(sized, weights, most))
     rows = laid_out(sized, targets)
     taken = pieces(rows.select("__s", "__start", "__size"), schedule(targets, block_words), block_words).groupBy("__s", "__start").agg(
@@ -139,9 +140,12 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_RE
     rows = rows.withColumn("__at", F.when(F.col("__size") > 0, F.col("__start")))
     rows = rows.join(taken.withColumnRenamed("__start", "__at"), ["__s", "__at"], "left")
     sizes = targets.select(F.col("s").alias("__s"), "source_size", "target")
-    return rows.join(sizes, "__s").select(
-        "doc_id", F.col("__size").alias("size"), "source_size", "target", F.coalesce("__taken", F.lit(0)).cast("long").alias("taken"),
-        F.col("__first").alias("first_slot"), *(["source"] if keep else []), *keep)
+    mixed = rows.join(sizes, "__s").select(
+        "__rid", "doc_id", F.col("__size").alias("size"), "source_size", "target", F.coalesce("__taken", F.lit(0)).cast("long").alias("taken"),
+        F.col("__first").alias("first_slot"), *(["source"] if keep else []))
+    if keep:  # long columns travel once, to the finished rows
+        mixed = mixed.join(stored.select("__rid", *keep), "__rid")
+    return mixed.drop("__rid")
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:

@@ -63,3 +63,12 @@ def test_clean_stays_and_junk_goes(spark):
     got = [(r.doc_id, r.kept) for r in C.compression_rules(df).collect()]
     assert sorted(got, key=str) == sorted([(1, True), (2, False), (3, False), (4, False), (5, False), (None, True), (1, True), (6, True)], key=str)
     assert C.compression_rules(df.limit(0)).count() == 0
+
+
+def test_bands_part_good_from_bad(spark):
+    sf = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality")
+    rows = QUERIES["op6_compression"](spark, sf).where("not base_failed").join(labels, "doc_id").collect()
+    good, bad = ([r.kept for r in rows if r.quality == q] for q in (1, 0))
+    assert len(good) > 300 and all(good)
+    assert len(bad) > 20 and 3 * sum(bad) <= 2 * len(bad)

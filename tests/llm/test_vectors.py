@@ -71,3 +71,21 @@ def test_plan_reaches_the_recall():
 
 def test_query_equals_its_twin(spark, sf_dir):
     assert not compare(QUERIES["op5_vectors"](spark, sf_dir), connect(sf_dir), SQL["op5_vectors"])
+
+
+def test_production_recall_misses_no_pair_near_the_threshold(spark):
+    rng = np.random.RandomState(7)
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    u = unit(rng.standard_normal((2000, 64)))
+    side = rng.standard_normal(u.shape)
+    side = unit(side - (side * u).sum(axis=1, keepdims=True) * u)
+    cosine = rng.uniform(0.9001, 0.95, (len(u), 1))
+    w = cosine * u + np.sqrt(1 - cosine**2) * side
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(np.stack([u, w], axis=1).reshape(-1, 64))]
+    v = np.array([x for _, x in rows])
+    close = v @ v.T >= 0.9
+    got = {r.vec_id: (r.n_links, r.component_id) for r in V.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert (close.sum(axis=1) == 2).all() and got == {i: (1, i - i % 2) for i, _ in rows}
+    for n in (100, 10_000, 10**9):
+        k, tables = V.plan(n, 0.9, V.RECALL)
+        assert (1 - V.collision(np.sqrt(0.2)) ** k) ** tables <= 1e-5

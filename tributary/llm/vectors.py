@@ -30,8 +30,9 @@ from tributary.llm.common import map_groups
 from tributary.session import settled
 
 WIDTH = 2.0
-FEW = 64  # unrelated vectors in a bucket, about
+FEW = 256  # unrelated vectors in a bucket, about: larger buckets need fewer tables for the same recall
 SEED = 5
+RECALL = 0.99999  # of a pair right at the threshold
 
 
 def collision(distance: float, width: float = WIDTH) -> float:
@@ -61,7 +62,7 @@ def bucket_keys(units: np.ndarray, k: int, tables: int) -> np.ndarray:
     return (key >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = 0.9, recall: float = 0.99) -> DataFrame:
+def near_duplicates(vectors: DataFrame, threshold: float = 0.9, recall: float = RECALL) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row."""
     embedding = F.col("embedding").cast("array<double>")
     finite = F.forall(embedding, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))

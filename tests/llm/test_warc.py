@@ -89,3 +89,28 @@ def test_members_name_their_length():
 
 def test_query_equals_its_twin(spark, sf_dir):
     assert not compare(QUERIES["op8_warc"](spark, sf_dir), connect(sf_dir), SQL["op8_warc"])
+
+
+def test_many_records_in_a_member_and_broken_records(tmp_path):
+    rows = [{c: None for c in W.HEADER_OF} | {"record_type": "response", "record_id": f"r{i}", "http_length": None, "payload": bytes([65 + i % 26]) * n}
+            for i, n in enumerate((5, 0, 3_000_000, 70, *range(400, 600)))]
+    raw = [W.record_bytes(r) for r in rows]
+    shapes = {
+        "one": gzip.compress(b"".join(raw)), "each": b"".join(map(gzip.compress, raw)), "plain": b"".join(raw), "own": b"".join(map(W.member, raw)),
+        "pairs": b"".join(gzip.compress(b"".join(raw[i : i + 2])) for i in range(0, len(raw), 2)),
+    }
+    for name, data in shapes.items():
+        for touch in (True, False):  # with blocks read and with blocks passed over
+            got = []
+            for r in W.records(W.Source(pa_file(data))):
+                got.append((r.headers["warc-record-id"], r.block().partition(b"\r\n\r\n")[2] if touch else None))
+            assert got == [(r["record_id"], r["payload"] if touch else None) for r in rows], name
+    for broken in (shapes["plain"] + b"\0" * 40, shapes["each"] + gzip.compress(b"no record")):
+        with pytest.raises(ValueError, match="without headers"):
+            list(W.records(W.Source(pa_file(broken))))
+
+
+def pa_file(data):
+    import pyarrow as pa
+
+    return pa.BufferReader(data)

@@ -3,8 +3,9 @@
 Files hold one gzip member per record.  Each member names its own compressed
 length in the ``sl`` extra field, so that a reader inflates the headers of a
 record first, tests the pushed predicates on them and seeks past the rest of
-a record it does not want.  Archives without that field, and plain ``.warc``
-files, are read too.  A write is visible once its manifest is there: files of
+a record it does not want.  Archives without that field, with any number of
+records in a member, and plain ``.warc`` files are read too; a record without
+headers is an error.  A write is visible once its manifest is there: files of
 failed or repeated tasks are not listed in it and never read.
 
 Defined cases: a null payload is empty; a null address leaves its header out;
@@ -155,15 +156,19 @@ def header_fields(raw: bytes) -> dict[str, str]:
 class Record:
     """One record: its headers now, its block on demand, then the place of the next."""
 
-    def __init__(self, source: Source, offset: int):
+    def __init__(self, source: Source, offset: int, before: Record | None = None):
+        """The record at ``offset``, or the one that follows ``before`` inside the same member."""
         self.source, self.offset, self.next = source, offset, None
-        self.plain, self.at = bytearray(), offset
-        start = source.read(offset, 24)
-        self.zipped = start[:2] == b"\x1f\x8b"
-        if self.zipped:
-            if start[3] == 4 and start[12:14] == b"sl":
-                self.next = offset + struct.unpack_from("<I", start, 16)[0]
-            self.inflater = zlib.decompressobj(31)
+        self.plain, self.at, self.sized = bytearray(), offset, False
+        if before:
+            self.zipped, self.inflater, self.plain, self.at, self.next = True, before.inflater, before.plain, before.at, before.next
+        else:
+            start = source.read(offset, 24)
+            self.zipped = start[:2] == b"\x1f\x8b"
+            if self.zipped:
+                if start[3] == 4 and start[12:14] == b"sl":
+                    self.next, self.sized = offset + struct.unpack_from("<I", start, 16)[0], True
+                self.inflater = zlib.decompressobj(31)
         while (cut := self.plain.find(b"\r\n\r\n")) < 0 and self._more(4096):
             pass
         self.cut = cut + 4 if cut >= 0 else len(self.plain)
@@ -190,20 +195,32 @@ class Record:
             pass
         return bytes(self.plain[self.cut : self.cut + self.length])
 
-    def after(self) -> int:
-        while self.next is None and self._more(WINDOW):
-            self.plain = bytearray()
-        return self.next if self.next is not None else self.source.size
+    def after(self) -> Record | int:
+        """The next record of the same member, or the place of the next member or record."""
+        if not self.zipped or self.sized:
+            return self.next
+        left = self.cut + self.length
+        while True:  # past the block, a window at a time, and past the line breaks behind it
+            gone = min(left, len(self.plain))
+            del self.plain[:gone]
+            left -= gone
+            if not left:
+                while self.plain[:1] in (b"\r", b"\n"):
+                    del self.plain[:1]
+            if not left and self.plain:
+                return Record(self.source, self.offset, self)
+            if not self._more(WINDOW):
+                return self.next if self.next is not None else self.source.size
 
 
 def records(source: Source) -> Iterator[Record]:
-    offset = 0
-    while offset < source.size:
-        record = Record(source, offset)
+    at: Record | int = 0
+    while isinstance(at, Record) or at < source.size:
+        record = at if isinstance(at, Record) else Record(source, at)
         if not record.headers:
-            return
+            raise ValueError(f"a record without headers in the archive, at byte {record.offset}")
         yield record
-        offset = record.after()
+        at = record.after()
 
 
 class WarcReader(DataSourceReader):

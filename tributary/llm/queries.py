@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame
 
-from tributary.llm import compression, jaccard, language, mixing, pii, quality, secrets, sentencepieces, vectors, warc
+from tributary.llm import collocations, compression, jaccard, language, mixing, pii, quality, secrets, sentencepieces, vectors, warc
 from tributary.llm.registry import QUERIES, SQL, query
 from tributary.sources.tables import Tables
 
@@ -152,3 +152,29 @@ def op5(t: Tables) -> DataFrame:
 """)
 def op2(t: Tables) -> DataFrame:
     return jaccard.jaccard_join(t("documents", "doc_id", "text"))
+
+
+@query("op13_collocations", """
+    with docs as (
+        select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+    pieces as (select lang, regexp_extract_all(unnest(string_split_regex(t, '[.,;:!?\\x0A-\\x0D]')), '[^\\x20\\x09]+') as w from docs),
+    grams as (
+        select lang, k, array_to_string(w[i:i + k - 1], ' ') as g, count(*) as c
+        from (select lang, w, k, unnest(range(1, len(w) - k + 2)) as i from pieces, (values (1), (2), (3)) v(k)) group by all),
+    totals as (select lang, cast(sum(c) as bigint) as n from grams where k = 1 group by lang),
+    seen as (select lang, k, g, c as a, string_split(g, ' ') as w from grams where k > 1 and c >= 10),
+    around as (
+        select lang, g, max(a) as longest
+        from (select lang, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) as g, a from seen where k = 3) group by all),
+    kept as (select s.* from seen s left join around x using (lang, g) where x.longest is null or s.k = 3 or 100 * x.longest < 50 * s.a),
+    cuts as (select lang, g, a, k, unnest(range(1, k)) as cut, w from kept),
+    scored as (
+        select t.lang, t.g, t.a, t.cut, f.c as l, r.c as r, (1000000::hugeint * t.a * t.a) // (f.c::hugeint * r.c) as score
+        from cuts t join grams f on f.lang = t.lang and f.g = array_to_string(t.w[1:t.cut], ' ')
+        join grams r on r.lang = t.lang and r.g = array_to_string(t.w[t.cut + 1:t.k], ' ')),
+    best as (select * from scored qualify row_number() over (partition by lang, g order by score, cut) = 1),
+    ranked as (select *, row_number() over (partition by lang order by score desc, a desc, g) as rank from best)
+    select lang, rank, g as phrase, a, l, r, n, cast(score as bigint) as score from ranked join totals using (lang) where rank <= 2000
+""")
+def op13(t: Tables) -> DataFrame:
+    return collocations.collocations(t("documents", "text", "lang"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame
 
-from tributary.llm import collocations, compression, jaccard, language, mixing, pii, quality, secrets, sentencepieces, vectors, warc
+from tributary.llm import collocations, compression, jaccard, language, mixing, pii, quality, secrets, sentencepieces, vectors, warc, whitening
 from tributary.llm.registry import QUERIES, SQL, query
 from tributary.sources.tables import Tables
 
@@ -178,3 +178,8 @@ def op2(t: Tables) -> DataFrame:
 """)
 def op13(t: Tables) -> DataFrame:
     return collocations.collocations(t("documents", "text", "lang"))
+
+
+@query("op12_whitening")
+def op12(t: Tables) -> DataFrame:
+    return whitening.whiten(t("embeddings", "vec_id", "embedding"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame
 
-from tributary.llm import collocations, compression, jaccard, language, mixing, pii, quality, secrets, sentencepieces, vectors, warc, whitening
+from tributary.llm import collocations, compression, jaccard, language, mixing, packing, pii, quality, secrets, sentencepieces, vectors, warc, whitening
 from tributary.llm.registry import QUERIES, SQL, query
 from tributary.sources.tables import Tables
 
@@ -183,3 +183,8 @@ def op13(t: Tables) -> DataFrame:
 @query("op12_whitening")
 def op12(t: Tables) -> DataFrame:
     return whitening.whiten(t("embeddings", "vec_id", "embedding"))
+
+
+@query("op11_packing")
+def op11(t: Tables) -> DataFrame:
+    return packing.packed(t("documents", "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)

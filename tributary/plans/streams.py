@@ -17,7 +17,7 @@ from tributary.plans.sqltext import plus, sessioned, slid, start
 from tributary.plans.windowed import TAGGED
 from tributary.session import python_state, work_dir
 from tributary.sources.tables import table_schema
-from tributary.streaming import late, sinks, state
+from tributary.streaming import in_order, late, sinks, state
 from tributary.streaming.receivers import FolderReceiver
 from tributary.streaming.replay import for_each_batch, replay, stage
 
@@ -361,54 +361,52 @@ def _micros(e):
     return e.withColumn("us", F.unix_micros("ts")).withColumn("x", F.col("value") * 10)
 
 
-@query("stream_rolling_average", "I8 K4", ROLLING_SQL)
-def _(t):
+def until_watermark(sql: str) -> str:
+    """The rows of a twin that the last watermark has passed: in-order streams hold back the others."""
+    return f"SELECT * FROM ({sql}) WHERE event_id IN (SELECT event_id FROM events WHERE epoch_us(ts) <= epoch_us({watermark(HOUR)}))"
+
+
+def _in_order(t, function, *arguments, **options):
+    """A per-key history in order of event time, whatever the order of arrival."""
     s = staged(t)
-    build = lambda spark: state.rolling_avg(_micros(s.stream(spark)).select("user_id", "us", "event_id", "x"), "user_id", ["us", "event_id"], "event_id", "x")
-    return rounded(replay(t.spark, build, conf=python_state(t.spark)), 8, "rolling_avg")
+    build = lambda spark: function(_micros(s.stream(spark)), *arguments, delay="1 hour", buckets=16, **options)
+    return replay(t.spark, build, conf=python_state(t.spark))
 
 
-@query("stream_multi_window_trend", "I9", TREND_SQL)
+@query("stream_rolling_average", "I8 K4", until_watermark(ROLLING_SQL))
 def _(t):
-    s = staged(t)
-    build = lambda spark: state.multi_window_trend(_micros(s.stream(spark)).select("user_id", "us", "event_id", "x"), "user_id", ["us", "event_id"], "event_id", "x")
-    return rounded(replay(t.spark, build, conf=python_state(t.spark)), 8, "avg3", "avg5", "avg10")
+    return rounded(_in_order(t, in_order.rolling_avg, ["user_id"], "ts", "event_id", "x"), 8, "rolling_avg")
 
 
-@query("stream_fraud_alerts", "I6", FRAUD_SQL)
+@query("stream_multi_window_trend", "I9", until_watermark(TREND_SQL))
 def _(t):
-    s = staged(t)
-    build = lambda spark: state.fraud_alerts(_micros(s.stream(spark)).select("user_id", "us", "event_id", "value"), "user_id", "us", "event_id", "value", 3 * DAY, 8, 600.0, 4.0)
-    return rounded(replay(t.spark, build, conf=python_state(t.spark)), 4, "recent_total")
+    return rounded(_in_order(t, in_order.multi_window_trend, ["user_id"], "ts", "event_id", "x"), 8, "avg3", "avg5", "avg10")
 
 
-@query("stream_adaptive_threshold", "I7", f"SELECT * EXCLUDE (adjustments) FROM ({REGISTRY['adaptive_threshold_alerts'].sql})")
+@query("stream_fraud_alerts", "I6", until_watermark(FRAUD_SQL))
 def _(t):
-    s = staged(t)
-    build = lambda spark: state.adaptive_threshold(
-        _micros(s.stream(spark)).select("user_id", "event_type", "us", "event_id", "value"), ["user_id", "event_type"], ["us", "event_id"], "event_id", "value")
-    return rounded(replay(t.spark, build, conf=python_state(t.spark)), 7, "threshold")
+    return rounded(_in_order(t, in_order.fraud_alerts, ["user_id"], "ts", "event_id", "value", 3 * DAY, 8, 600.0, 4.0), 4, "recent_total")
 
 
-@query("stream_baseline_anomalies", "I10", REGISTRY["baseline_anomalies"].sql)
+@query("stream_adaptive_threshold", "I7", until_watermark(f"SELECT * EXCLUDE (adjustments) FROM ({REGISTRY['adaptive_threshold_alerts'].sql})"))
 def _(t):
-    s = staged(t)
-    build = lambda spark: state.baseline_anomalies(_micros(s.stream(spark)).select("user_id", "us", "event_id", "x"), "user_id", "us", "event_id", "x", 72 * HOUR)
-    return rounded(rounded(replay(t.spark, build, conf=python_state(t.spark)), 6, "zscore", "confidence"), 4, "expected_low", "expected_high")
+    return rounded(_in_order(t, in_order.adaptive_threshold, ["user_id", "event_type"], "ts", "event_id", "value"), 7, "threshold")
 
 
-@query("stream_session_quality", "I11", REGISTRY["session_quality_reports"].sql)
+@query("stream_baseline_anomalies", "I10", until_watermark(REGISTRY["baseline_anomalies"].sql))
 def _(t):
-    s = staged(t)
-    build = lambda spark: state.session_quality(_micros(s.stream(spark)).select("user_id", "us", "event_id", "x"), "user_id", "us", "event_id", "x")
-    return rounded(replay(t.spark, build, conf=python_state(t.spark)), 6, "overall", "average")
+    out = _in_order(t, in_order.baseline_anomalies, ["user_id"], "ts", "event_id", "x", 72 * HOUR)
+    return rounded(rounded(out, 6, "zscore", "confidence"), 4, "expected_low", "expected_high")
 
 
-@query("stream_rate_limit", "I16", REGISTRY["rate_limited_requests"].sql)
+@query("stream_session_quality", "I11", until_watermark(REGISTRY["session_quality_reports"].sql))
 def _(t):
-    s = staged(t)
-    build = lambda spark: state.rate_limit(_micros(s.stream(spark)).select("user_id", "us", "event_id"), "user_id", "us", "event_id", 3, DAY)
-    return replay(t.spark, build, conf=python_state(t.spark))
+    return rounded(_in_order(t, in_order.session_quality, ["user_id"], "ts", "event_id", "x"), 6, "overall", "average")
+
+
+@query("stream_rate_limit", "I16", until_watermark(REGISTRY["rate_limited_requests"].sql))
+def _(t):
+    return _in_order(t, in_order.rate_limit, ["user_id"], "ts", "event_id", 3, DAY)
 
 
 @query("stream_session_expiry", "I2 I5 I15", f"""

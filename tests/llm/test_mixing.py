@@ -85,3 +85,39 @@ def test_mixed_documents_keep_their_columns(spark):
 
 def test_query_equals_its_twin(spark, sf_dir):
     assert not compare(QUERIES["op10_mixing"](spark, sf_dir), connect(sf_dir), SQL["op10_mixing"])
+
+
+NAMES = "size target taken source_size first_slot s block slot turn n_docs weight __row __size words level".split()
+
+
+def test_columns_of_any_name_are_kept(spark):
+    rows = [(i, "w " * (i % 7), "abc"[i % 3]) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").select("*", *[M.F.concat(M.F.lit(n), M.F.col("doc_id")).alias(n) for n in NAMES])
+    out = M.mixed_documents(df, block_words=5)
+    assert out.columns == df.columns
+    got = out.collect()
+    assert got and all(r[n] == f"{n}{r.doc_id}" for r in got for n in NAMES)
+    plain = M.mixed_documents(df.select("doc_id", "text", "source"), block_words=5).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter((r.doc_id, r.text) for r in plain)
+    assert len(M.mix(df).collect()) == 60
+
+
+def test_mixture_is_in_schedule_order_and_repeats_stand_apart(spark):
+    rows = [(i, f"d{i} " * 10, "ab"[i >= 30]) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = [(r.doc_id, r.source) for r in M.mixed_documents(df, block_words=10).collect()]
+    places = defaultdict(list)
+    for k, (i, _) in enumerate(got):
+        places[i].append(k)
+    times = [len(v) for i, v in places.items() if i < 30]
+    assert max(times) == 3 and min(min(b - a for a, b in zip(v, v[1:])) for v in places.values() if len(v) > 1) > 20
+    share = sum(s == "a" for _, s in got) / len(got)
+    for n in range(20, len(got), 20):  # every prefix has the sources in their shares
+        assert abs(sum(s == "a" for _, s in got[:n]) - n * share) < 4
+
+
+def test_an_id_with_a_third_of_all_rows(spark):
+    rows = [(1, "x y z", "a")] * 2000 + [(i, "a b c d", "ab"[i % 2]) for i in range(2, 4000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = M.mix(df).agg(M.F.count("*").alias("n"), M.F.sum("taken").alias("taken"), M.F.max(M.F.col("taken") / M.F.col("size")).alias("most")).first()
+    assert got.n == len(rows) and abs(got.taken - 2000 * 3 - 3998 * 4) <= 2 and got.most <= 3

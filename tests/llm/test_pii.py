@@ -65,7 +65,7 @@ def test_selector_adds_what_looks_right():
                 x.append(pii.features(text, *c))
                 y.append(int(c in base))
     order = np.random.RandomState(0).permutation(len(x))
-    selector = pii.learn(np.array(x)[order], np.array(y)[order])
+    selector = pii.learn(np.array(x)[order], np.array(y)[order], np.arange(len(x)) % 2)
     assert selector.thresholds["phone"] <= 1 and selector.thresholds["ip"] == 2.0
     assert selector.added("order no 123456789 shipped", []) == []
 
@@ -98,3 +98,43 @@ def test_loose_forms_are_added_and_other_things_are_not(spark):
     missed = [t for t, kind, span in LOOSE if [(k, t[a:b]) for k, a, b in selector.added(t, pii.base_spans(t))] != [(kind, span)]]
     added = [t for t in OTHER if selector.added(t, pii.base_spans(t))]
     assert not missed and not added, (missed, added)
+
+
+def test_candidates_are_whole_runs():
+    text = "joe (at) a.b.c.d.e.f.com and " + "x" * 100 + " [at] example.org"
+    assert [text[a:b] for k, a, b in pii.candidates(text, pii.base_spans(text)) if k == "email"] == ["joe (at) a.b.c.d.e.f.com", "x" * 100 + " [at] example.org"]
+    digits = "12 34 " * 9 + "5"  # 37 of them are no card and no phone, nor is their tail
+    assert not any(pii.possible(k, digits[a:b]) for k, a, b in pii.candidates(digits, []))
+    dotted = "1.2.3.4.5.6.7.8.9.10.11.12"
+    assert [c for c in pii.candidates(dotted, []) if c[0] == "ip" and pii.possible("ip", dotted[c[1] : c[2]])] == []
+
+
+def test_long_texts_are_scanned_in_linear_time():
+    for text in ("a" * 400_000, "1" * 400_000, "1." * 200_000, "a@" * 200_000, "(at)" * 100_000, "1 " * 200_000, "a (at) b (dot) " * 30_000):
+        pii.candidates(text, [])
+
+
+def test_no_features_in_both_halves(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    rows = pii.labelled_rows(docs, 2000).collect()
+    halves = [{tuple(r.x) for r in rows if r.half == h} for h in (0, 1)]
+    assert halves[0] and halves[1] and not halves[0] & halves[1] and len({(tuple(r.x), r.y) for r in rows}) == len(rows)
+
+
+def test_added_spans_equal_a_plain_walk(spark):
+    """The query's added spans against candidates scored one by one."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    selector = pii.fit(docs)
+    extra = spark.createDataFrame([(10**9 + i, t) for i, t in enumerate([t for t, *_ in LOOSE] + OTHER)], "doc_id long, text string")
+    some = docs.where("doc_id < 300").union(extra)
+    got = {}
+    for r in some.collect():
+        base = pii.base_spans(r.text)
+        scored = sorted(((-selector.model.probabilities(np.array([pii.features(r.text, *c)]))[0], c) for c in pii.candidates(r.text, base)), key=lambda s: (s[0], s[1]))
+        chosen = []
+        for p, (kind, a, b) in scored:
+            if -p >= selector.thresholds[kind] and pii.possible(kind, r.text[a:b]) and not any(x < b and a < y for _, x, y in base + chosen):
+                chosen.append((kind, a, b))
+        got[r.doc_id] = sorted(chosen)
+        assert got[r.doc_id] == sorted(selector.added(r.text, base))
+    assert sum(map(len, got.values())) >= len(LOOSE)

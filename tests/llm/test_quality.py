@@ -44,3 +44,35 @@ def test_defined_cases(spark):
     nothing = Q.quality_scores(docs, labels.limit(0)).collect()
     assert {r.score for r in nothing} == {0.5}
     assert Q.quality_scores(docs.limit(0), labels).count() == 0
+
+
+def test_the_sample_is_bounded_by_rows(spark, monkeypatch):
+    seen = []
+    real = Q.learn
+    monkeypatch.setattr(Q, "learn", lambda p, u, **k: seen.append((len(p), len(u))) or real(p, u, **k))
+    rows = [(2, f"hot id text {i % 3000}") for i in range(20_000)] + [(i, f"some words here {i}") for i in range(10, 300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(2, 1)] * 50 + [(i, i % 2) for i in range(10, 300)], "doc_id long, quality int")
+    assert Q.quality_scores(docs, labels, sample=50).count() == len(rows)
+    assert seen == [(50, 50)]
+
+
+def test_scores_equal_a_plain_walk_over_the_same_sample(spark):
+    """The registered form on Spark against the model learnt and applied row by row in this process."""
+    rng = np.random.RandomState(5)
+    good = [" ".join(rng.choice("a lovely small house stands near the old river bank".split(), 30)) + "." for _ in range(40)]
+    bad = ["".join(rng.choice(list("#$%&|<>!1234 "), 200)) for _ in range(40)]
+    rows = [(i, t) for i, t in enumerate(good + bad)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, int(i < 40)) for i in range(80)], "doc_id long, quality int")
+    teaches = lambda i: zlib.crc32(str(i).encode()) % 5 != 0
+    places = {r[0]: r[1] for r in docs.selectExpr("doc_id", "xxhash64(doc_id, text, 4)").collect()}
+    order = sorted((places[i], i, trusted) for i in range(80) if teaches(i) for trusted in ([False, True] if i < 40 else [False]))
+    x, mark = np.array([Q.shape(rows[i][1]) for _, i, _ in order], dtype=np.float64), np.array([t for *_, t in order])
+    shuffled = np.random.RandomState(4).permutation(len(order))
+    x, mark = x[shuffled], mark[shuffled]
+    model, _ = Q.learn(x[mark], x[~mark])
+    got = {r.doc_id: r.score for r in Q.quality_scores(docs, labels).collect()}
+    for i, t in rows:
+        assert abs(got[i] - model.scores(Q.shape(t)[None, :])[0]) < 1e-9
+    assert min(got[i] for i in range(40)) > max(got[i] for i in range(40, 80))

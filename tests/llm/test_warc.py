@@ -114,3 +114,66 @@ def pa_file(data):
     import pyarrow as pa
 
     return pa.BufferReader(data)
+
+
+def record(ident, payload=b"p" * 50, kind="response"):
+    return {c: None for c in W.HEADER_OF} | {"record_type": kind, "record_id": f"<urn:page:{ident}>", "http_length": None, "content_length": None, "payload": payload}
+
+
+def rows_of(spark, *idents, **options):
+    return spark.createDataFrame([record(i, **options) for i in idents], W.SCHEMA)
+
+
+def idents(spark, path):
+    return sorted(int(r.record_id[10:-1]) for r in W.read_warc(spark, path).collect())
+
+
+def test_appends_overwrites_and_foreign_archives(spark, tmp_path):
+    path = str(tmp_path / "a")
+    W.write_warc(rows_of(spark, 1), path)
+    W.write_warc(rows_of(spark, 2, 3), path)
+    W.write_warc(rows_of(spark, 1), path)
+    assert idents(spark, path) == [1, 1, 2, 3]
+    W.write_warc(rows_of(spark, 7), path, "overwrite")
+    assert idents(spark, path) == [7]
+    W.write_warc(rows_of(spark, 8), path)
+    assert idents(spark, path) == [7, 8]
+    W.write_warc(rows_of(spark, 1).limit(0), path, "overwrite")
+    assert idents(spark, path) == []
+    foreign = tmp_path / "b"
+    foreign.mkdir()
+    (foreign / "old.warc.gz").write_bytes(gzip.compress(W.record_bytes(record(50))))
+    (foreign / f"pages-{'0' * 32}-0-0.warc.gz").write_bytes(gzip.compress(W.record_bytes(record(60))))  # of a write that failed
+    (foreign / "._manifest-0000000001-x.json.part").write_bytes(b'{"over')  # half a manifest
+    assert idents(spark, str(foreign)) == [50]
+    W.write_warc(rows_of(spark, 51), str(foreign))
+    W.write_warc(rows_of(spark, 52), str(foreign))
+    assert idents(spark, str(foreign)) == [50, 51, 52]
+
+
+def test_long_files_are_read_in_pieces(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(W, "START_BYTES", 2000)
+
+    class Context:
+        taskAttemptId = staticmethod(lambda: 0)
+
+    monkeypatch.setattr(W.TaskContext, "get", staticmethod(Context))
+    rng = __import__("random").Random(1)
+    rows = [record(i, rng.randbytes(rng.randint(0, 900))) for i in range(200)]
+    import pyarrow as pa
+
+    kinds = pa.schema([(c, pa.string()) for c in W.HEADER_OF] + [("content_length", pa.int64()), ("http_length", pa.int64()), ("payload", pa.binary())])
+    writer = W.WarcWriter(str(tmp_path), 1 << 30)
+    writer.commit([writer.write(iter([pa.RecordBatch.from_pylist(rows, schema=kinds)]))])
+    for most in (1, 5000, 1 << 30):
+        reader = W.WarcReader({"path": str(tmp_path), "maxpartitionbytes": str(most)})
+        parts = reader.partitions()
+        got = [r for part in parts for b in reader.read(part) for r in b.to_pylist()]
+        assert [(r["record_id"], r["payload"]) for r in got] == [(r["record_id"], r["payload"]) for r in rows]
+        assert (len(parts) > 10) == (most < 1 << 30)
+
+
+def test_only_http_records_have_an_http_head(spark, tmp_path):
+    W.write_warc(rows_of(spark, 1, payload=b"GET / HTTP/1.1\r\n\r\nx", kind="metadata"), str(tmp_path / "m"))
+    row = W.read_warc(spark, str(tmp_path / "m")).first()
+    assert bytes(row.payload) == b"GET / HTTP/1.1\r\n\r\nx" and row.content_length == 19 and row.http_length is None

@@ -7,9 +7,11 @@ a few landmark texts it gives the Nystroem features of a ridge regression, one
 language versus the rest; texts are scored in batches by matrix products.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0, as
-is every text if nothing could be learnt; whole texts of any length are read;
-rows with null ids are predicted and never learnt from; repeated rows keep
-their rows; an empty table gives no rows; extra columns are not read.
+is every text if nothing could be learnt; whole texts of any length are read,
+in blocks wide enough for millions of characters; rows with null ids are
+predicted and never learnt from; repeated rows keep their rows and teach once;
+equal scores go to the first language in order of code points; an empty table
+gives no rows; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -25,53 +27,59 @@ from tributary.llm.common import id_remainder, map_rows
 from tributary.session import settled
 
 UNKNOWN = "und"
+ENTRIES = 1 << 15
 
 
 @dataclass(frozen=True)
 class Spectrum:
     """Columns (as powers of two) and weights of the n-gram blocks."""
 
-    bits: tuple[int, ...] = (9, 11, 12, 12)
+    bits: tuple[int, ...] = (9, 12, 16, 18)
     weights: tuple[float, ...] = (0.5, 1.0, 1.5, 1.5)
 
     @property
     def width(self) -> int:
         return sum(1 << b for b in self.bits)
 
-    def scale(self) -> np.ndarray:
-        return np.concatenate([np.full(1 << b, np.sqrt(w), dtype=np.float32) for b, w in zip(self.bits, self.weights)])
+    def columns(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """The columns of the n-grams of ``text``, in order, and their entries: a row of length one.
 
-    def presence(self, text: str, row: np.ndarray) -> None:
-        """Set the columns of the n-grams of ``text``."""
+        The kernel of two texts is the product of their rows.
+        """
         codes = np.frombuffer(text.lower().encode("utf-32-le"), dtype="<u4").astype(np.uint64)
-        grams, base = np.zeros(len(codes), dtype=np.uint64), 0
-        for n, bits in enumerate(self.bits, 1):
+        grams, base, places, entries = np.zeros(len(codes), dtype=np.uint64), 0, [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.float32)]
+        for n, (bits, weight) in enumerate(zip(self.bits, self.weights), 1):
             if len(codes) < n:
-                return
+                break
             grams = (grams[: len(codes) - n + 1] + codes[n - 1 :] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
             grams ^= grams >> np.uint64(29)
-            row[base + (grams >> np.uint64(64 - bits)).astype(np.int64)] = 1
+            seen = np.unique((grams >> np.uint64(64 - bits)).astype(np.int64))
+            places.append(base + seen)
+            entries.append(np.full(len(seen), np.sqrt(weight), dtype=np.float32))
             base += 1 << bits
-
-    def rows(self, texts: list[str]) -> np.ndarray:
-        """Scaled to length one, so that the kernel of two texts is the product of their rows."""
-        out = np.zeros((len(texts), self.width), dtype=np.float32)
-        for k, text in enumerate(texts):
-            self.presence(text, out[k])
-        out *= self.scale()
-        return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
+        place, entry = np.concatenate(places), np.concatenate(entries)
+        return place, entry / max(float(np.linalg.norm(entry)), 1e-9)
 
 
 @dataclass
 class Model:
     languages: list[str]
-    landmarks: np.ndarray  # (landmarks, columns)
+    used: np.ndarray  # place of a column among those that a landmark has, or -1
+    landmarks: np.ndarray  # (columns used, landmarks)
     weights: np.ndarray  # (landmarks, languages)
     bias: np.ndarray
     spectrum: Spectrum
 
     def kernel(self, texts: list[str]) -> np.ndarray:
-        return self.spectrum.rows(texts) @ self.landmarks.T
+        """Kernel of texts and landmarks: a product of the texts' sparse rows and the landmarks, ENTRIES of them at a time."""
+        out = np.zeros((len(texts), self.landmarks.shape[1]), dtype=np.float32)
+        for k, text in enumerate(texts):
+            place, entry = self.spectrum.columns(text)
+            place = self.used[place]
+            place, entry = place[place >= 0], entry[place >= 0]
+            for a in range(0, len(place), ENTRIES):
+                out[k] += entry[a : a + ENTRIES] @ self.landmarks[place[a : a + ENTRIES]]
+        return out
 
     def margins(self, texts: list[str]) -> np.ndarray:
         return self.kernel(texts) @ self.weights + self.bias
@@ -94,38 +102,43 @@ def has_letter(text: str | None) -> bool:
 
 
 def fit(docs: DataFrame, usable: Column, sample: int, landmarks: int, penalty: float, spectrum: Spectrum, seed: int = 3) -> Model | None:
-    """Learn from at most ``sample`` rows a language, the first ``landmarks`` of them as landmarks.
+    """Learn from at most ``sample`` different texts a language, the first ``landmarks`` of them as landmarks.
 
-    One row per language is collected, then the bounded samples' kernel values.
+    A text that an id repeats counts once.  The samples' kernel values and the
+    landmarks' rows are collected: both are bounded by the parameters.
     """
-    known = docs.where(usable).where("lang is not null and text is not null and doc_id is not null")
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not counts:
+    known = docs.where(usable).where("lang is not null and text is not null and doc_id is not null").withColumn("place", F.xxhash64("doc_id", "text", F.lit(seed)))
+    # short rows only, cut to the sample before they are shuffled to their language
+    order = Window.partitionBy("lang").orderBy("place")
+    ranked = known.select("lang", "place").distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample)
+    drawn = known.join(F.broadcast(ranked), ["lang", "place"])  # at most ``sample`` rows a language
+    chosen = settled(drawn.groupBy("lang", "place").agg(F.min("rank").alias("rank"), F.min("doc_id").alias("doc_id"), F.min("text").alias("text")))
+
+    def sparse(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = [spectrum.columns(t) for t in batch.column("text").to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("rank"), pa.array([r[0] for r in rows], pa.list_(pa.int64())), pa.array([r[1] for r in rows], pa.list_(pa.float32()))], ["lang", "rank", "place", "entry"])
+
+    first = chosen.where(F.col("rank") <= landmarks).select("lang", "rank", "text")
+    marks = map_rows(first, sparse, "lang string, rank int, place array<long>, entry array<float>").orderBy("lang", "rank").collect()
+    if not marks:
         return None
-    languages = sorted(counts)
-    share = F.create_map(*[x for k in languages for x in (F.lit(k), F.lit(min(1.0, 2.0 * sample / counts[k])))])
-    place = F.xxhash64("doc_id", F.lit(seed))
-    drawn = known.withColumn("place", place).where(F.pmod("place", F.lit(1 << 30)) < share[F.col("lang")] * float(1 << 30))
-    ranked = drawn.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id", "text")))
-    chosen = settled(ranked.where(F.col("rank") <= sample).select("doc_id", "lang", "text", "rank"))
-
-    def bits(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = spectrum.rows(batch.column("text").to_pylist()) > 0
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([np.packbits(r).tobytes() for r in rows], pa.binary())], ["doc_id", "bits"])
-
-    marks = map_rows(chosen.where(F.col("rank") <= landmarks).select("doc_id", "text"), bits, "doc_id long, bits binary").orderBy("doc_id", "bits").collect()
-    points = np.stack([np.unpackbits(np.frombuffer(r["bits"], dtype=np.uint8))[: spectrum.width] for r in marks]).astype(np.float32) * spectrum.scale()
-    points /= np.maximum(np.linalg.norm(points, axis=1, keepdims=True), 1e-9)
-    model = Model(languages, points, np.zeros((len(points), len(languages)), dtype=np.float32), np.zeros(len(languages), dtype=np.float32), spectrum)
+    languages = sorted({r["lang"] for r in marks})
+    columns = np.unique(np.concatenate([np.array(r["place"], dtype=np.int64) for r in marks]))
+    used = np.full(spectrum.width, -1, dtype=np.int32)
+    used[columns] = np.arange(len(columns))
+    points = np.zeros((len(columns), len(marks)), dtype=np.float32)
+    for k, r in enumerate(marks):
+        points[used[r["place"]], k] = r["entry"]
+    model = Model(languages, used, points, np.zeros((points.shape[1], len(languages)), dtype=np.float32), np.zeros(len(languages), dtype=np.float32), spectrum)
 
     def kernels(batch: pa.RecordBatch) -> pa.RecordBatch:
         values = model.kernel(batch.column("text").to_pylist())
-        lists = pa.ListArray.from_arrays(np.arange(len(values) + 1, dtype=np.int32) * len(points), pa.array(values.ravel()))
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), lists], ["doc_id", "lang", "kernel"])
+        lists = pa.ListArray.from_arrays(np.arange(len(values) + 1, dtype=np.int32) * values.shape[1], pa.array(values.ravel()))
+        return pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("rank"), lists], ["lang", "rank", "kernel"])
 
-    rows = map_rows(chosen.select("doc_id", "lang", "text"), kernels, "doc_id long, lang string, kernel array<float>").orderBy("doc_id", "lang").collect()
+    rows = map_rows(chosen.select("lang", "rank", "text"), kernels, "lang string, rank int, kernel array<float>").orderBy("lang", "rank").collect()
     target = np.array([[1.0 if r["lang"] == k else -1.0 for k in languages] for r in rows])
-    model.weights, model.bias = ridge(np.array([r["kernel"] for r in rows]), points @ points.T, target, penalty)
+    model.weights, model.bias = ridge(np.array([r["kernel"] for r in rows]), points.T @ points, target, penalty)
     return model
 
 

@@ -8,8 +8,9 @@ names the block.  All of it is DataFrame work: no Python runs on rows.
 
 Defined cases: a null text has no words; a null source is a source of its own,
 last in order; a row without words is never placed; repeated rows are separate
-rows; null ids are spread by their text; an empty table gives no rows; extra
-columns are kept by ``mix`` and never read.
+rows; null ids are spread by their text; texts of any length are cut into blocks
+like others; equal hashes are ordered by id and size; an empty table gives no
+rows; extra columns of any name are kept by ``mixed_documents`` and never read.
 """
 
 from __future__ import annotations
@@ -26,7 +27,6 @@ CELLS = 4096
 BLOCK_WORDS = 4096
 WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 3
-PRIVATE = ("__size", "__key", "__s", "__start", "__taken", "__first")
 
 
 def word_count(text: Column) -> Column:
@@ -63,7 +63,7 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
 
 
 def schedule(targets: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Every block to take: (s, block, slot, words).
+    """Every block to take: (s, block, turn, slot, words).
 
     Sources meet points in cells of the unit interval (an equi-join, whatever
     the number of sources); ranks are counted in two steps so that no task
@@ -93,7 +93,7 @@ def schedule(targets: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     block, turn = F.col("rank") % F.col("blocks"), F.floor(F.col("rank") / F.col("blocks"))
     length = F.least(F.lit(block_words), F.col("source_size") - block * block_words, F.col("words") - turn * F.col("source_size") - block * block_words)
     return needed.join(ranked, ["s", "rank"], "left").select(
-        "s", block.alias("block"), F.coalesce("slot", F.lit(slots) + F.col("rank")).alias("slot"), length.alias("words"))
+        "s", block.alias("block"), turn.alias("turn"), F.coalesce("slot", F.lit(slots) + F.col("rank")).alias("slot"), length.alias("words"))
 
 
 def laid_out(sized: DataFrame, targets: DataFrame) -> DataFrame:
@@ -113,13 +113,24 @@ def laid_out(sized: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def pieces(rows: DataFrame, slots: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """What each slot takes of each row: (s, start, slot, first word, end word) of the row."""
+    """What each slot takes of each row: (s, start, turn, slot, first word, end word) of the row."""
     first, last = F.floor(F.col("__start") / block_words), F.floor((F.col("__start") + F.col("__size") - 1) / block_words)
     parts = rows.where("__size > 0").select(F.col("__s").alias("s"), "__start", "__size", F.explode(F.sequence(first, last)).alias("block"))
     joined = parts.join(slots, ["s", "block"])
     begin = F.greatest(F.col("__start"), F.col("block") * block_words)
     end = F.least(F.col("__start") + F.col("__size"), F.col("block") * block_words + F.col("words"))
-    return joined.where(end > begin).select(F.col("s").alias("__s"), "__start", "slot", (begin - F.col("__start")).alias("word_from"), (end - F.col("__start")).alias("word_to"))
+    return joined.where(end > begin).select(F.col("s").alias("__s"), "__start", "turn", "slot", (begin - F.col("__start")).alias("word_from"), (end - F.col("__start")).alias("word_to"))
+
+
+def laid_plan(docs: DataFrame, weights: tuple[int, ...], most: int, block_words: int, keep: tuple[str, ...]) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(stored rows, rows on their source's axis, targets, what each slot takes)."""
+    key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.col("text"), F.lit("")))
+    stored = settled(docs.select(F.monotonically_increasing_id().alias("__rid"), "doc_id", "source", word_count(F.col("text")).alias("__size"), key.alias("__key"), *keep))
+    targets = settled(source_targets(stored.select("source", "__size"), weights, most))
+    rows = laid_out(stored.select("__rid", "doc_id", "source", "__size", "__key"), targets)
+    # a row without words shares its start with the next row and takes nothing
+    rows = rows.withColumn("__at", F.when(F.col("__size") > 0, F.col("__start")))
+    return stored, rows, targets, pieces(rows.select("__s", "__start", "__size"), schedule(targets, block_words), block_words)
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS, block_words: int = BLOCK_WORDS, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -129,16 +140,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_RE
     words are its target rounded, so a row is taken at most ``most`` times.
     ``keep`` names further columns to carry along.
     """
-    key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.col("text"), F.lit("")))
-    stored = settled(docs.select(F.monotonically_increasing_id().alias("__rid"), "doc_id", "source", word_count(F.col("text")).alias("__size"), key.alias("__key"), *keep))
-    sized = stored.select("__rid", "doc_id", "source", "__size", "__key")
-    targets = settled(source_targets(sized, weights, most))
-    rows = laid_out(sized, targets)
-    taken = pieces(rows.select("__s", "__start", "__size"), schedule(targets, block_words), block_words).groupBy("__s", "__start").agg(
-        F.sum(F.col("word_to") - F.col("word_from")).alias("__taken"), F.min("slot").alias("__first"))
-    # a row without words shares its start with the next row and takes nothing
-    rows = rows.withColumn("__at", F.when(F.col("__size") > 0, F.col("__start")))
-    rows = rows.join(taken.withColumnRenamed("__start", "__at"), ["__s", "__at"], "left")
+    stored, rows, targets, takes = laid_plan(docs, weights, most, block_words, keep)
+    taken = takes.groupBy("__s", F.col("__start").alias("__at")).agg(F.sum(F.col("word_to") - F.col("word_from")).alias("__taken"), F.min("slot").alias("__first"))
+    rows = rows.join(taken, ["__s", "__at"], "left")
     sizes = targets.select(F.col("s").alias("__s"), "source_size", "target")
     mixed = rows.join(sizes, "__s").select(
         "__rid", "doc_id", F.col("__size").alias("size"), "source_size", "target", F.coalesce("__taken", F.lit(0)).cast("long").alias("taken"),
@@ -148,21 +152,24 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_RE
     return mixed.drop("__rid")
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mixture itself: each row once for every full turn, and its first words for a part of one.
+def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The mixture itself, in the order of the schedule: each row once for every turn, at the turn's first slot.
 
-    Per source at most one row is cut, where the source's words are used up.
+    The last turn of a source may take a part of one row, its first words.
+    Partitions hold runs of slots, and rows are ordered by slot within them.
     """
     columns = docs.columns
-    carried = tuple(c for c in columns if c not in ("doc_id", "source"))
-    mixed = mix(docs, keep=carried, **options).where("taken > 0")
-    turns = F.floor(F.col("taken") / F.col("size"))
-    rest = F.col("taken") % F.col("size")
-    sizes = F.concat(F.array_repeat(F.col("size"), turns.cast("int")), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<bigint>")))
-    rows = mixed.withColumn("__words", F.explode(sizes))
-    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0)), 1, F.col("__words").cast("int")), "")
-    whole = F.col("__words") == F.col("size")
-    rows = rows.withColumn("text", F.when(whole, F.col("text")).otherwise(cut))
-    if "n_chars" in columns:
-        rows = rows.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(F.char_length("text").cast("long")))
-    return rows.select(*columns)
+    whole_rows = docs.select("doc_id", "text", "source", F.struct(*[F.col(f"`{c}`") for c in columns]).alias("__row"))
+    stored, rows, _, takes = laid_plan(whole_rows, weights, most, block_words, ("__row",))
+    turns = takes.groupBy("__s", F.col("__start").alias("__at"), "turn").agg(F.sum(F.col("word_to") - F.col("word_from")).alias("__words"), F.min("slot").alias("__slot"))
+    # short rows, stored: where they are few, the documents need not be shuffled to meet them
+    placed = settled(rows.select("__rid", "__s", "__at", "__size").join(turns, ["__s", "__at"]).select("__rid", "__size", "__words", "__slot", "__s", "__at"))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    last = (placed.agg(F.max("__slot")).first()[0] or 0) + 1
+    part = F.floor(F.col("__slot") * parts / F.lit(last)).cast("int")
+    laid = placed.join(stored.select("__rid", "__row"), "__rid").repartitionById(parts, part).sortWithinPartitions("__slot", "__s", "__at")
+    text = F.col("__row.text")
+    cut = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0)), 1, F.col("__words").cast("int")), "")
+    laid = laid.withColumn("__whole", F.col("__words") == F.col("__size")).withColumn("__text", F.when(F.col("__whole"), text).otherwise(cut))
+    new = {"text": F.col("__text"), "n_chars": F.when(F.col("__whole"), F.col("__row.n_chars") if "n_chars" in columns else F.lit(None)).otherwise(F.char_length("__text").cast("long"))}
+    return laid.select(*[new.get(c, F.col(f"__row.`{c}`")).alias(c) for c in columns])

@@ -7,14 +7,18 @@ bounded sample of documents.  Positives are what the strict base patterns
 accept, as it stands and rewritten into looser forms in its own context;
 negatives are spans known to be something else: another kind, a piece of a
 longer token, and order numbers, dates, times and versions, found or set in
-the same contexts.  Everything else is unlabelled.  Per kind, half of the
-sample sets the lowest threshold whose precision is good enough; a kind
-without enough labelled spans of both sorts adds nothing.  Base spans always
-stay; selected candidates that touch none are added.
+the same contexts, in at most MOST_REWRITTEN places of a text, which bounds the
+labelled rows.  Everything else is unlabelled.  Trees learn from one half of
+the documents, by a hash of their text; per kind, the other half sets the lowest
+threshold whose precision is good enough, by rows whose features the trees have
+never seen; a kind without enough of both sorts adds nothing.  Base spans
+always stay; selected candidates that touch none are added.
 
 Defined cases: a null or empty text has no spans; whole texts of any length
 are scanned, in time linear in their length; repeated rows and null ids keep
-their rows; an empty table gives no rows; extra columns are not read.
+their rows, and equal labelled rows teach once; of candidates with equal scores
+the first in order of kind and place is chosen; an empty table gives no rows;
+extra columns are not read.
 """
 
 from __future__ import annotations
@@ -22,6 +26,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import zlib
 from bisect import bisect_left, insort
 from dataclasses import dataclass
 
@@ -45,9 +50,10 @@ DIGIT = re.compile(r"[0-9]")
 HINT = r"@|[(\[]at[)\]]|[0-9]{3}"
 
 # generators beside the base patterns
-LOOSE_EMAIL = re.compile(r"[A-Za-z0-9._%+-]{1,64}\x20?(?:@|[(\[]at[)\]])\x20?[A-Za-z0-9-]{1,64}(?:(?:\.|\x20\.\x20|\x20?[(\[]dot[)\]]\x20?)[A-Za-z0-9-]{1,64}){0,4}")
-NUMBER = re.compile(r"(?<![0-9])\+?\(?[0-9](?:[\x20().-]{0,2}[0-9]){6,30}")
-DOTTED = re.compile(r"(?<![0-9.])[0-9]{1,4}(?:(?:[.:]|\x20\.\x20|\[\.\]|\x20?[(\[]dot[)\]]\x20?)[0-9]{1,4}){3,5}(?![0-9])")
+# each takes a whole run, however long, so that no span is a part of one; possessive runs keep them linear
+LOOSE_EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\x20?(?:@|[(\[]at[)\]])\x20?[A-Za-z0-9-]++(?:(?:\.|\x20\.\x20|\x20?[(\[]dot[)\]]\x20?)[A-Za-z0-9-]++)*+")
+NUMBER = re.compile(r"(?<![0-9])\+?\(?[0-9](?:[\x20().-]{0,2}[0-9]){6,}+")
+DOTTED = re.compile(r"(?<![0-9.])[0-9]++(?:(?:[.:]|\x20\.\x20|\[\.\]|\x20?[(\[]dot[)\]]\x20?)[0-9]++){3,}+")
 CUES = (("mail", "contact", "write"), ("ip", "host", "server", "address"), ("card", "visa", "credit", "pay"), ("phone", "tel", "call", "mobile", "fax"), ("order", "invoice", "version", "build", "release", "isbn", "serial", "ticket", "date", "time"))
 AROUND, MOST_REWRITTEN = 48, 64  # characters of context, and hits of a text that are rewritten
 
@@ -140,6 +146,7 @@ def loose_forms(kind: str, span: str) -> list[str]:
 def other_things(kind: str, before: str, rng: random.Random) -> list[str]:
     """What a candidate of this kind is mistaken for, some with a word ahead that says so."""
     number = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    token = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(rng.randrange(2, 20))) + rng.choice("abcdef")
     year, month, day, hour, minute, second = rng.randrange(1950, 2040), *(f"{rng.randrange(1, n):02}" for n in (13, 29, 24, 60, 60))
     named = rng.choice(("order", "order no", "invoice", "serial", "ticket"))
     if kind == "email":
@@ -159,6 +166,8 @@ def other_things(kind: str, before: str, rng: random.Random) -> list[str]:
     return [
         f"{year}-{month}-{day}", f"{day}.{month}.{year}", f"{year}-{month}-{day} {hour}", f"{named} {number(rng.randrange(7, 13))}", f"{named} {number(3)}-{number(3)}-{number(4)}",
         f"version {number(2)}.{number(3)}.{number(4)}", f"isbn 978-{number(1)}-{number(2)}-{number(6)}-{number(1)}", f"{rng.choice('abcdef')}{number(rng.randrange(7, 13))}{rng.choice('abcdef')}",
+        # a run of digits inside a longer token, at its start, end or middle
+        *(f"{a}{number(rng.randrange(7, 16))}{b}" for a, b in ((token(), ""), ("", token()), (token(), token()))),
     ]
 
 
@@ -214,13 +223,14 @@ def threshold(p: np.ndarray, y: np.ndarray, precision: float, least: int) -> flo
     return float(p[order][good[-1]]) if len(good) else 2.0
 
 
-def learn(x: np.ndarray, y: np.ndarray, precision: float = 0.98, least: int = 20) -> Selector | None:
-    """Trees from even rows, thresholds from odd ones."""
-    if len(x) < 4 or y.min() == y.max():
+def learn(x: np.ndarray, y: np.ndarray, half: np.ndarray, precision: float = 0.98, least: int = 20) -> Selector | None:
+    """Trees from half 0, thresholds from half 1."""
+    one, two = half == 0, half == 1
+    if not one.any() or not two.any() or y[one].min() == y[one].max():
         return None
-    model = boost(x[::2], y[::2])
-    p, kind = model.probabilities(x[1::2]), x[1::2, 0]
-    return Selector(model, {k: threshold(p[kind == i], y[1::2][kind == i], precision, least) for i, k in enumerate(KINDS)})
+    model = boost(x[one], y[one])
+    p, kind = model.probabilities(x[two]), x[two, 0]
+    return Selector(model, {k: threshold(p[kind == i], y[two][kind == i], precision, least) for i, k in enumerate(KINDS)})
 
 
 def examples(text: str) -> list[tuple[list[float], int]]:
@@ -254,19 +264,34 @@ def examples(text: str) -> list[tuple[list[float], int]]:
     return out
 
 
-def fit(docs: DataFrame, sample: int = 6000, taught: int = 20000, seed: int = 1) -> Selector | None:
-    """Learn from at most ``taught`` labelled spans of at most ``sample`` documents."""
+def labelled_rows(docs: DataFrame, sample: int = 6000, seed: int = 1) -> DataFrame:
+    """Stored (x, y, half) of different labelled spans of at most ``sample`` documents; no ``x`` is in both halves."""
     known = docs.select("doc_id", "text").where("doc_id is not null")
     ids = known.where(F.col("text").rlike(HINT)).select("doc_id").orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(sample).distinct()
     some = known.join(F.broadcast(ids), "doc_id")  # at most ``sample`` ids
 
     def labelled(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [x for text in batch.column("text").to_pylist() for x in examples(text or "")]
-        rows, marks = [x for x, _ in found], [y for _, y in found]
-        return pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), pa.array(marks, pa.int32())], ["x", "y"])
+        rows, marks, halves = [], [], []
+        for text in batch.column("text").to_pylist():
+            half = zlib.crc32((text or "").encode()) & 1
+            for x, y in examples(text or ""):
+                rows.append(x)
+                marks.append(y)
+                halves.append(half)
+        return pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), pa.array(marks, pa.int32()), pa.array(halves, pa.int32())], ["x", "y", "half"])
+
+    found = map_rows(some, labelled, "x array<double>, y int, half int")
+    return settled(found.groupBy("x").agg(F.min("half").alias("half"), F.collect_set("y").alias("ys")).select("x", F.explode("ys").alias("y"), "half"))
 
-    rows = settled(map_rows(some, labelled, "x array<double>, y int")).orderBy(F.xxhash64("x", "y"), "x", "y").limit(taught).collect()
-    return learn(np.array([r["x"] for r in rows]), np.array([r["y"] for r in rows])) if rows else None
+
+def fit(docs: DataFrame, sample: int = 6000, taught: int = 20000, seed: int = 1) -> Selector | None:
+    """Learn from about ``taught`` different labelled spans, at most, of at most ``sample`` documents."""
+    rows = labelled_rows(docs, sample, seed)
+    # a share by hash first, so that tasks send no more than what is learnt from
+    share = min(1.0, 1.1 * taught / max(1, rows.count()))
+    place = F.xxhash64("x", "y")
+    drawn = rows.where(F.pmod(place, F.lit(1 << 30)) < int(share * (1 << 30))).orderBy(place, "x", "y").limit(taught).collect()
+    return learn(*(np.array([r[c] for r in drawn]) for c in ("x", "y", "half"))) if drawn else None
 
 
 def rendered(spans: list) -> str:

@@ -8,8 +8,9 @@ classifier behind the estimate has not seen, from the best bin of its scores.
 
 Defined cases: a null or empty text is scored as an empty one; without any
 trusted positive every score is 0.5; rows with null ids are scored and never
-learnt from; repeated rows and labels count once per row; an empty table gives
-no rows; extra columns are not read.
+learnt from; repeated rows and labels teach once; equal scores stay equal;
+whole texts of any length are read; an empty table gives no rows; extra columns
+are not read by ``quality_scores`` and kept by ``accepted``.
 """
 
 from __future__ import annotations
@@ -163,17 +164,20 @@ def learn(positive: np.ndarray, unlabelled: np.ndarray, bins: int = 8, steps: in
     return Model(edges, w[:-1].reshape(edges.shape[0], bins), float(w[-1])), prior
 
 
-def smallest_hashes(ids: DataFrame, n: int, seed: int) -> DataFrame:
-    """A bounded sample of ids that does not depend on the partitions."""
-    return ids.select("doc_id").distinct().orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(n)
-
-
 def fit(docs: DataFrame, labels: DataFrame, usable: Column, sample: int = 6000, seed: int = 4) -> tuple[Model, float] | None:
-    """Learn from at most ``sample`` trusted positives and as many unlabelled rows whose ids are ``usable``."""
-    trusted = smallest_hashes(labels.where("quality = 1").where(usable), sample, seed).withColumn("trusted", F.lit(True))
-    web = smallest_hashes(docs.where("doc_id is not null").where(usable), sample, seed + 1).withColumn("trusted", F.lit(False))
-    chosen = trusted.unionByName(web)  # at most 2 * sample short rows, so a broadcast is bounded
-    rows = shapes(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "doc_id", "trusted").orderBy("doc_id", "trusted").collect()
+    """Learn from at most ``sample`` trusted positives and as many unlabelled rows whose ids are ``usable``.
+
+    Both are the smallest hashes of (id, text), each taken once however often
+    its row is repeated, so that at most ``2 * sample`` rows are collected.
+    """
+    known = docs.select("doc_id", "text").where("doc_id is not null").where(usable).withColumn("place", F.xxhash64("doc_id", "text", F.lit(seed)))
+    places = known.select("doc_id", "place")
+    trusted = places.join(labels.where("quality = 1").select("doc_id"), "doc_id", "left_semi")
+    first = lambda df: df.distinct().orderBy("place", "doc_id").limit(sample)
+    chosen = first(trusted).withColumn("trusted", F.lit(True)).unionByName(first(places).withColumn("trusted", F.lit(False)))
+    drawn = known.join(F.broadcast(chosen), ["doc_id", "place"])  # at most 2 * sample short rows
+    once = drawn.groupBy("place", "doc_id", "trusted").agg(F.min("text").alias("text"))
+    rows = shapes(once, "place", "doc_id", "trusted").orderBy("place", "doc_id", "trusted").collect()
     x = np.array([r.shape for r in rows], dtype=np.float64).reshape(len(rows), WIDTH)
     mark = np.array([r.trusted for r in rows], dtype=bool)
     order = np.random.RandomState(seed).permutation(len(rows))

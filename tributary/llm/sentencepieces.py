@@ -3,9 +3,10 @@
 Normalisation is done here: the longest prefix of the rest of the text that is
 a user symbol or a key of the model's compiled character map (a double-array
 trie) is replaced, and every byte of the result remembers the source byte it
-came from.  The installed library segments; the byte lengths of its pieces
-laid end to end cover the normalised text and are projected through the
-alignment to byte spans of the original.
+came from.  The installed library merges pieces in that text, by a copy of the
+model whose own normaliser changes nothing; the byte lengths of its pieces laid
+end to end cover the normalised text and are projected through the alignment to
+byte spans of the original.
 
 Defined cases: a null text is empty; an empty text has no pieces; texts of
 any length are encoded whole; repeated rows and null ids keep their rows; an
@@ -14,6 +15,7 @@ empty table gives no rows; extra columns are not read.
 
 from __future__ import annotations
 
+import hashlib
 import struct
 from dataclasses import dataclass
 from functools import lru_cache
@@ -165,9 +167,29 @@ def normalised(rules: Rules, text: bytes) -> tuple[bytes, np.ndarray]:
     return bytes(out), np.array([*origin, at])
 
 
+def message(parts: list[tuple[int, bytes]]) -> bytes:
+    """A serialised message of fields with lengths."""
+
+    def varint(n: int) -> bytes:
+        out = bytearray()
+        while n > 127:
+            out.append(n & 127 | 128)
+            n >>= 7
+        return bytes([*out, n])
+
+    return b"".join(varint(number << 3 | 2) + varint(len(value)) + value for number, value in parts)
+
+
+def without_normaliser(model: bytes) -> bytes:
+    """The model with a normaliser that leaves every text as it is: no map, prefix, stripping or escaping."""
+    nothing = bytes([3 << 3, 0, 4 << 3, 0, 5 << 3, 0])
+    return message([(n, v) for n, v in fields(model) if n != 3]) + message([(3, message([(1, b"identity")]) + nothing)])
+
+
 @dataclass(frozen=True)
 class Model:
-    processor: sentencepiece.SentencePieceProcessor
+    processor: sentencepiece.SentencePieceProcessor  # decodes
+    merger: sentencepiece.SentencePieceProcessor  # segments normalised text
     rules: Rules
     lengths: np.ndarray  # bytes of each piece; byte pieces have one, unknown ones -1
 
@@ -182,22 +204,21 @@ def load(path: str) -> Model:
             piece = dict(fields(value))
             kind = piece.get(3, 1)
             lengths.append({BYTE: 1, UNKNOWN: -1, CONTROL: 0}.get(kind, len(piece[1])))
-    return Model(sentencepiece.SentencePieceProcessor(model_proto=raw), rules_of(raw), np.array(lengths, dtype=np.int64))
+    return Model(sentencepiece.SentencePieceProcessor(model_proto=raw), sentencepiece.SentencePieceProcessor(model_proto=without_normaliser(raw)), rules_of(raw), np.array(lengths, dtype=np.int64))
 
 
-def piece_lengths(model: Model, text: str, ids: np.ndarray) -> np.ndarray:
+def piece_lengths(model: Model, plain: str, ids: np.ndarray) -> np.ndarray:
     """Bytes of the normalised text that each piece covers."""
     lengths = model.lengths[ids]
     if (lengths < 0).any():  # unknown pieces have the text they stand for
-        pieces = model.processor.encode(text, out_type=str)
+        pieces = model.merger.encode(plain, out_type=str)
         lengths = np.where(lengths < 0, [len(p.encode()) for p in pieces], lengths)
     return lengths
 
 
-def spans(model: Model, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First and end byte in ``text`` of every piece."""
-    plain, origin = normalised(model.rules, text.encode())
-    ends = np.cumsum(piece_lengths(model, text, ids))
+def spans(model: Model, plain: bytes, origin: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and end byte in the source of every piece of a normalised text."""
+    ends = np.cumsum(piece_lengths(model, plain.decode(), ids))
     if (int(ends[-1]) if len(ends) else 0) != len(plain):
         raise ValueError("pieces do not cover the normalised text")
     places = origin[np.concatenate([[0], ends])]
@@ -205,24 +226,30 @@ def spans(model: Model, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def encoded(docs: DataFrame, model_path: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, kept columns, ids, begins, ends, decoded): the pieces of ``text``, their byte spans, and the text decoded from the ids."""
+    """(doc_id, kept columns, ids, begins, ends, decoded, spans_sha256): the pieces of ``text``, their byte spans, and the text decoded from the ids.
+
+    The digest is of all begins and then all ends, as little-endian 32-bit numbers.
+    """
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         model = load(model_path)
         texts = batch.column("text").to_pylist()
-        ids = pa.array(model.processor.encode(texts, num_threads=1), pa.list_(pa.int32()))
+        plain = [normalised(model.rules, text.encode()) for text in texts]
+        ids = pa.array(model.merger.encode([text.decode() for text, _ in plain], num_threads=1), pa.list_(pa.int32()))
         flat, cuts = ids.values.to_numpy(), ids.offsets.to_numpy()
-        begins, ends = np.empty(len(flat), dtype=np.int32), np.empty(len(flat), dtype=np.int32)
-        for text, a, b in zip(texts, cuts, cuts[1:]):
-            begins[a:b], ends[a:b] = spans(model, text, flat[a:b])
+        begins, ends = np.empty(len(flat), dtype="<i4"), np.empty(len(flat), dtype="<i4")
+        sums = []
+        for (text, origin), a, b in zip(plain, cuts, cuts[1:]):
+            begins[a:b], ends[a:b] = spans(model, text, origin, flat[a:b])
+            sums.append(hashlib.sha256(begins[a:b].tobytes() + ends[a:b].tobytes()).hexdigest())
         listed = lambda v: pa.ListArray.from_arrays(ids.offsets, pa.array(v))
         decoded = model.processor.decode(ids.to_pylist(), num_threads=1)
         kept = [batch.column(c) for c in ("doc_id", *keep)]
-        return pa.RecordBatch.from_arrays([*kept, ids, listed(begins), listed(ends), pa.array(decoded, pa.string())], ["doc_id", *keep, "ids", "begins", "ends", "decoded"])
+        return pa.RecordBatch.from_arrays([*kept, ids, listed(begins), listed(ends), pa.array(decoded, pa.string()), pa.array(sums, pa.string())], ["doc_id", *keep, "ids", "begins", "ends", "decoded", "spans_sha256"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *keep)
     kinds = dict(docs.dtypes)
-    return map_rows(rows, work, "doc_id long, " + "".join(f"{c} {kinds[c]}, " for c in keep) + "ids array<int>, begins array<int>, ends array<int>, decoded string")
+    return map_rows(rows, work, "doc_id long, " + "".join(f"{c} {kinds[c]}, " for c in keep) + "ids array<int>, begins array<int>, ends array<int>, decoded string, spans_sha256 string")
 
 
 def digests(encoding: DataFrame, *keep: str) -> DataFrame:
@@ -230,4 +257,4 @@ def digests(encoding: DataFrame, *keep: str) -> DataFrame:
     first, last = F.coalesce(F.try_element_at("begins", F.lit(1)), F.lit(0)), F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(0))
     return encoding.select(
         "doc_id", *keep, F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"), (last - first).cast("long").alias("span_bytes"))
+        F.sha2("decoded", 256).alias("decoded_sha256"), (last - first).cast("long").alias("span_bytes"), "spans_sha256")

@@ -5,8 +5,12 @@ length in the ``sl`` extra field, so that a reader inflates the headers of a
 record first, tests the pushed predicates on them and seeks past the rest of
 a record it does not want.  Archives without that field, with any number of
 records in a member, and plain ``.warc`` files are read too; a record without
-headers is an error.  A write is visible once its manifest is there: files of
-failed or repeated tasks are not listed in it and never read.
+headers is an error.  Every write ends with a manifest of its own, moved into
+place whole: it lists the write's files and places in them where a reader may
+start, so long files are read by many tasks.  Readers take the union of all
+manifests since the last overwrite; files of failed or repeated tasks are in
+none and never read.  The first write into a folder lists the foreign archives
+that it finds there, so they stay visible.
 
 Defined cases: a null payload is empty; a null address leaves its header out;
 line breaks in header values are percent-encoded; records of any length are
@@ -17,10 +21,11 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -32,7 +37,7 @@ from pyspark.sql.datasource import (
     DataSource, DataSourceArrowWriter, DataSourceReader, EqualNullSafe, EqualTo, In, InputPartition, IsNotNull, IsNull, StringStartsWith, WriterCommitMessage,
 )
 
-from tributary.session import settled, work_dir
+from tributary.session import settled, ship_package, work_dir
 
 SCHEMA = (
     "record_type string, record_id string, target_uri string, record_date string, payload_digest string, refers_to string,"
@@ -43,7 +48,10 @@ HEADER_OF = {
     "record_type": "warc-type", "record_id": "warc-record-id", "target_uri": "warc-target-uri", "record_date": "warc-date",
     "payload_digest": "warc-payload-digest", "refers_to": "warc-refers-to",
 }
-MANIFEST = "_manifest.json"
+MANIFEST = "_manifest-"
+OWN = re.compile(r"pages-[0-9a-f]{32}-[0-9]+-[0-9]+\.warc\.gz")  # what a write of this module names its files
+ARCHIVES = (".warc", ".warc.gz")
+START_BYTES = 8 << 20  # a reader may start about this often in a file
 WINDOW = 1 << 20
 ROWS_PER_BATCH, BYTES_PER_BATCH = 2000, 16 << 20
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -75,7 +83,8 @@ def record_bytes(row: dict) -> bytes:
     payload = row["payload"] or b""
     revisit = row["record_type"] == "revisit"
     length = row["http_length"] if row["http_length"] is not None else len(payload)
-    block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {length}\r\n\r\n".encode()
+    http = row["record_type"] in ("response", "revisit")
+    block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {length}\r\n\r\n".encode() if http else b""
     if not revisit:
         block += payload
     head = ["WARC/1.1"]
@@ -87,28 +96,51 @@ def record_bytes(row: dict) -> bytes:
             head.append(f"{name}: {clean(row[column])}")
     if revisit:
         head.append(f"WARC-Profile: {REVISIT_PROFILE}")
-    head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
+    head += [f"Content-Type: {'application/http; msgtype=response' if http else 'application/octet-stream'}", f"Content-Length: {len(block)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
 @dataclass
 class Written(WriterCommitMessage):
-    files: list
+    files: list  # of {"name", "starts": places of some members}
+
+
+def listing(fs: pafs.FileSystem, base: str) -> dict[str, int]:
+    """Names and sizes of the files of a folder, which need not be there."""
+    found = fs.get_file_info(pafs.FileSelector(base, recursive=False, allow_not_found=True))
+    return {f.base_name: f.size for f in found if f.type == pafs.FileType.File}
+
+
+def visible(fs: pafs.FileSystem, base: str, names: Iterable[str]) -> list[dict]:
+    """Files of the manifests among ``names``, from the last overwrite on, or all archives if there is none."""
+    manifests = sorted(n for n in names if n.startswith(MANIFEST) and n.endswith(".json"))
+    if not manifests:
+        return [{"name": n, "starts": [0]} for n in sorted(names) if n.endswith(ARCHIVES) and not OWN.fullmatch(n)]
+    files: list[dict] = []
+    for name in manifests:
+        with fs.open_input_stream(f"{base}/{name}", compression=None) as handle:
+            manifest = json.loads(handle.read())
+        files = manifest["files"] if manifest["overwrite"] else files + manifest["files"]
+    return files
 
 
 class WarcWriter(DataSourceArrowWriter):
-    def __init__(self, path: str, file_bytes: int):
-        self.path, self.file_bytes = path, file_bytes
+    def __init__(self, path: str, file_bytes: int, overwrite: bool = False):
+        self.path, self.file_bytes, self.overwrite = path, file_bytes, overwrite
+        self.job = uuid.uuid4().hex
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         fs, base = folder(self.path)
         fs.create_dir(base, recursive=True)
-        part, files, out, size = TaskContext.get().partitionId(), [], None, 0
+        context, files, out, size = TaskContext.get(), [], None, 0
         for batch in iterator:
             for row in batch.to_pylist():
                 if out is None:
-                    files.append(f"part-{part:05d}-{uuid.uuid4().hex}.warc.gz")
-                    out, size = fs.open_output_stream(f"{base}/{files[-1]}", compression=None), 0
+                    # a repeated attempt of a task has names of its own
+                    files.append({"name": f"pages-{self.job}-{context.taskAttemptId()}-{len(files)}.warc.gz", "starts": [0]})
+                    out, size = fs.open_output_stream(f"{base}/{files[-1]['name']}", compression=None), 0
+                if size - files[-1]["starts"][-1] >= START_BYTES:
+                    files[-1]["starts"].append(size)
                 packed = member(record_bytes(row))
                 out.write(packed)
                 size += len(packed)
@@ -122,8 +154,20 @@ class WarcWriter(DataSourceArrowWriter):
     def commit(self, messages: list) -> None:
         fs, base = folder(self.path)
         fs.create_dir(base, recursive=True)
-        with fs.open_output_stream(f"{base}/{MANIFEST}", compression=None) as out:
-            out.write(json.dumps(sorted(f for m in messages if m for f in m.files)).encode())
+        before = listing(fs, base)
+        manifests = [n for n in before if n.startswith(MANIFEST) and n.endswith(".json")]
+        generation = 1 + max((int(n[len(MANIFEST) :].split("-")[0]) for n in manifests), default=0)
+        files = sorted((f for m in messages if m for f in m.files), key=lambda f: f["name"])
+        if not manifests and not self.overwrite:
+            files = visible(fs, base, before) + files  # foreign archives
+        old = {f["name"] for f in visible(fs, base, before)} if self.overwrite else set()
+        name = f"{MANIFEST}{generation:010d}-{self.job}.json"
+        with fs.open_output_stream(f"{base}/.{name}.part", compression=None) as out:
+            out.write(json.dumps({"overwrite": self.overwrite, "files": files}).encode())
+        fs.move(f"{base}/.{name}.part", f"{base}/{name}")
+        if self.overwrite:  # nothing lists these any more
+            for gone in [*sorted(old), *manifests]:
+                fs.delete_file(f"{base}/{gone}")
 
     def abort(self, messages: list) -> None:
         """Nothing to undo: what no manifest lists is never read."""
@@ -131,7 +175,7 @@ class WarcWriter(DataSourceArrowWriter):
 
 @dataclass
 class Files(InputPartition):
-    paths: tuple
+    pieces: tuple  # of (path, first byte, end byte or -1 for the file's end)
 
 
 class Source:
@@ -213,9 +257,11 @@ class Record:
                 return self.next if self.next is not None else self.source.size
 
 
-def records(source: Source) -> Iterator[Record]:
-    at: Record | int = 0
-    while isinstance(at, Record) or at < source.size:
+def records(source: Source, start: int = 0, end: int = -1) -> Iterator[Record]:
+    """Records of a file, or those that begin in a piece of it that starts at a member."""
+    at: Record | int = start
+    end = source.size if end < 0 else end
+    while isinstance(at, Record) or at < end:
         record = at if isinstance(at, Record) else Record(source, at)
         if not record.headers:
             raise ValueError(f"a record without headers in the archive, at byte {record.offset}")
@@ -239,22 +285,22 @@ class WarcReader(DataSourceReader):
                 yield f
 
     def partitions(self) -> list[Files]:
-        """Whole files, small ones together up to ``maxPartitionBytes``."""
+        """Pieces of long files and small files together, up to ``maxPartitionBytes``."""
         fs, base = folder(self.path)
-        found = fs.get_file_info(pafs.FileSelector(base, recursive=False, allow_not_found=True))
-        sizes = {f.base_name: f.size for f in found if f.type == pafs.FileType.File}
-        if MANIFEST in sizes:
-            with fs.open_input_stream(f"{base}/{MANIFEST}", compression=None) as handle:
-                listed = json.loads(handle.read())
-        else:
-            listed = sorted(n for n in sizes if n.endswith((".warc", ".warc.gz")))
+        sizes = listing(fs, base)
         parts, held, total = [], [], 0
-        for name in listed:
-            if held and total + sizes[name] > self.part_bytes:
-                parts.append(Files(tuple(held)))
-                held, total = [], 0
-            held.append(f"{base}/{name}")
-            total += sizes[name]
+        for file in visible(fs, base, sizes):
+            begin, size = 0, sizes[file["name"]]
+            for start in [*file["starts"][1:], size]:
+                if held and total + start - begin > self.part_bytes:
+                    parts.append(Files(tuple(held)))
+                    held, total = [], 0
+                path = f"{base}/{file['name']}"
+                if held and held[-1][0] == path:
+                    held[-1] = (path, held[-1][1], start if start < size else -1)
+                else:
+                    held.append((path, begin, start if start < size else -1))
+                total, begin = total + start - begin, start
         return [*parts, *([Files(tuple(held))] if held else [])] or [Files(())]
 
     def wanted(self, headers: dict[str, str]) -> bool:
@@ -280,9 +326,9 @@ class WarcReader(DataSourceReader):
         kinds = pa.schema([(c, pa.string()) for c in HEADER_OF] + [("content_length", pa.int64()), ("http_length", pa.int64()), ("payload", pa.binary())])
         fs, _ = folder(self.path)
         rows, size = [], 0
-        for path in partition.paths:
+        for path, start, end in partition.pieces:
             with fs.open_input_file(path) as handle:
-                for record in records(Source(handle)):
+                for record in records(Source(handle), start, end):
                     if not self.wanted(record.headers):
                         continue
                     row = {c: record.headers.get(h) for c, h in HEADER_OF.items()} | {"content_length": record.length}
@@ -320,10 +366,11 @@ class Warc(DataSource):
         return WarcReader({k.lower(): v for k, v in self.options.items()})
 
     def writer(self, schema, overwrite: bool) -> WarcWriter:
-        return WarcWriter(self.options["path"], int(self.options.get("filebytes", 1 << 30)))
+        return WarcWriter(self.options["path"], int(self.options.get("filebytes", 1 << 30)), overwrite)
 
 
 def register(spark: SparkSession) -> None:
+    ship_package(spark)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(Warc)
 
@@ -353,9 +400,10 @@ def page_records(pages: DataFrame, least: int = LEAST_REVISIT_BYTES, date: dt.da
         F.when(~revisit, F.col("payload")).alias("payload"))
 
 
-def write_warc(rows: DataFrame, path: str) -> None:
+def write_warc(rows: DataFrame, path: str, mode: str = "append") -> None:
+    """Add records to a folder, or ``overwrite`` all that are visible there."""
     register(rows.sparkSession)
-    rows.write.format("warc").mode("append").save(path)
+    rows.write.format("warc").mode(mode).save(path)
 
 
 def archived(pages: DataFrame, path: str | None = None) -> DataFrame:

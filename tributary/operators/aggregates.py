@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.functions.intervals import seconds
 from tributary.operators.ordered import ROWS_PER_TASK, bucket_cuts, with_running
+from tributary.session import settled
 
 
 def count_all(df: DataFrame, name: str = "count") -> DataFrame:
@@ -60,38 +61,58 @@ def ratio_of_sums(df: DataFrame, key: str, top: str, bottom: str, name: str = "r
     return df.groupBy(key).agg((F.sum(top) / F.sum(bottom)).alias(name))
 
 
-def with_percentiles(df: DataFrame, value: str, keys: Sequence[str | Column], shares: dict[str, float], aggs: dict[str, Column], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+# name -> kind, of one value column; kinds: rows (nulls too), count, avg, min, max
+ValueAggs = dict[str, str]
+
+
+def with_percentiles(df: DataFrame, value: str, keys: Sequence[str | Column], shares: dict[str, float], aggs: ValueAggs, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Aggregates and percentiles per key: the smallest value that ``share`` of the values do not exceed.
 
-    A table's percentiles are exact: values are counted, the counts summed up
-    in order (large groups cut at quantiles) and compared with the group's
-    size.  A stream's come from a mergeable sketch, exact up to 10,000 values.
+    A table's percentiles are exact: equal values are counted, and all results
+    follow from the counts, which are summed up in order of the values.  Groups
+    that fit a task are shuffled once, to their key; larger ones are counted
+    first and cut at quantiles of the value.  A stream's percentiles come from
+    a mergeable sketch, exact up to 10,000 values.
     """
     if df.isStreaming:
+        how = {"rows": F.count(F.lit(1)), "count": F.count(value), "avg": F.avg(value), "min": F.min(value), "max": F.max(value)}
         ranks = F.percentile_approx(value, list(shares.values()), 10_000)
-        out = df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()], ranks.alias("__p"))
+        out = df.groupBy(*keys).agg(*[how[k].alias(n) for n, k in aggs.items()], ranks.alias("__p"))
         return out.withColumns({n: F.col("__p")[i] for i, n in enumerate(shares)}).drop("__p")
     names = df.select(*keys).columns
-    plain = df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()])
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
-    cuts = bucket_cuts(counts, names, "__v", rows_per_task)
-    run = with_running(counts, names, "__v", ["__v"], {"__upto": ("sum", F.col("__n"))}, cuts)
-    group = F.struct(*names) if names else F.struct(F.lit(0).alias("one"))
-    totals = counts.groupBy(group.alias("__g")).agg(F.sum("__n").alias("__all"))
-    reached = run.withColumn("__g", group).join(totals, "__g").groupBy("__g").agg(
-        *[F.min(F.when(F.col("__upto") >= F.ceil(F.col("__all") * share), F.col("__v"))).alias(n) for n, share in shares.items()])
-    return plain.withColumn("__g", group).join(reached, "__g", "left").drop("__g")
+    rows = df.select(*keys, F.col(value).alias("__v"))
+    cuts = bucket_cuts(rows.where(F.col("__v").isNotNull()), names, "__v", rows_per_task)
+    known = F.when(F.col("__v").isNotNull(), F.col("__n"))
+    if cuts is None:
+        # placed by key first: counting by (key, value), ranking and the results need no other shuffle
+        placed = rows.repartition(*names) if names else rows
+        counts = placed.groupBy(*names, "__v").agg(F.count(F.lit(1)).alias("__n"))
+        whole = Window.partitionBy(*names)
+        upto = F.sum(known).over(whole.orderBy(F.col("__v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0))
+        run = counts.withColumns({"__upto": upto, "__all": F.sum(known).over(whole)})
+    else:
+        counts = settled(rows.groupBy(*names, "__v").agg(F.count(F.lit(1)).alias("__n")))
+        run = with_running(counts, names, "__v", ["__v"], {"__upto": ("sum", known)}, cuts)
+        group = F.struct(*names) if names else F.struct(F.lit(0).alias("one"))
+        totals = counts.groupBy(group.alias("__g")).agg(F.sum(known).alias("__all"))
+        run = run.withColumn("__g", group).join(totals, "__g").drop("__g")
+    how = {
+        "rows": F.sum("__n"), "count": F.coalesce(F.sum(known), F.lit(0)), "avg": F.try_divide(F.sum(F.col("__v") * F.col("__n")), F.sum(known)),
+        "min": F.min("__v"), "max": F.max("__v"),
+    }
+    reached = [F.min(F.when(F.col("__v").isNotNull() & (F.col("__upto") >= F.ceil(F.col("__all") * share)), F.col("__v"))).alias(n) for n, share in shares.items()]
+    return run.groupBy(*names).agg(*[how[k].alias(n) for n, k in aggs.items()], *reached)
 
 
 def value_stats(df: DataFrame, value: str, keys: Sequence[str | Column] = (), p: float = 0.95, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Count, average, maximum and an upper percentile."""
-    aggs = {"count": F.count(F.lit(1)), "average": F.avg(value), "maximum": F.max(value)}
+    aggs = {"count": "rows", "average": "avg", "maximum": "max"}
     return with_percentiles(df, value, keys, {"percentile": p}, aggs, rows_per_task)
 
 
 def percentile_table(df: DataFrame, value: str, keys: Sequence[str | Column], at_least: int = 5, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Percentiles 50/90/95/99 with count, average and range; small groups are left out."""
-    aggs = {"count": F.count(value), "average": F.avg(value), "minimum": F.min(value), "maximum": F.max(value)}
+    aggs = {"count": "count", "average": "avg", "minimum": "min", "maximum": "max"}
     shares = {"median": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99}
     return with_percentiles(df, value, keys, shares, aggs, rows_per_task).where(F.col("count") >= at_least)
 

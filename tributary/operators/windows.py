@@ -77,7 +77,7 @@ def throughput(df: DataFrame, time: str, text: str, size: str = "10 seconds") ->
 def lag_monitor(df: DataFrame, arrival: str, lag: str, size: str = "30 seconds") -> DataFrame:
     from tributary.operators.aggregates import with_percentiles
 
-    aggs = {"count": F.count(F.lit(1)), "avg_lag": F.avg(lag), "min_lag": F.min(lag), "max_lag": F.max(lag)}
+    aggs = {"count": "rows", "avg_lag": "avg", "min_lag": "min", "max_lag": "max"}
     out = with_percentiles(df, lag, [F.window(arrival, size).alias("window")], {"p95_lag": 0.95}, aggs)
     return out.select("window.start", "window.end", "count", "avg_lag", "min_lag", "max_lag", "p95_lag")
 

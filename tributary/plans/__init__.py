@@ -6,6 +6,7 @@ from tributary.plans import (  # noqa: F401
     histories,
     joined,
     scalars,
+    sketched,
     streams,
     texts,
     windowed,

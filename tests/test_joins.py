@@ -28,6 +28,26 @@ def test_interval_join(sides, lo, hi, how):
     assert sorted(map(tuple, got), key=repr) == sorted(expected, key=repr)
 
 
+@pytest.mark.parametrize("lo,hi", [(0, 3), (-2, 2), (5, 60)])
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_a_burst_of_one_key_is_cut(spark, lo, hi, how):
+    """One key holds half of all rows in one minute; null keys and times match nothing."""
+    rng = random.Random(8)
+    make = lambda: [(i, *((1, 1000 + rng.randrange(60_000) / 1000) if i % 2 else (rng.randrange(2, 6), rng.randrange(5000) / 1.0))) for i in range(240)] + [(900, None, 3.0), (901, 1, None)]
+    left, right = make(), make()
+    frame = lambda rows, p: spark.createDataFrame(rows, f"{p}_id int, {p}_key int, sec double").select(f"{p}_id", f"{p}_key", F.timestamp_micros((F.col("sec") * 1_000_000).cast("long")).alias(f"{p}_ts"))
+    us = lambda x: int(x * 1_000_000)
+    want = [(a[0], b[0]) for a in left for b in right if a[1] is not None and a[1] == b[1] and None not in (a[2], b[2]) and lo * 10**6 <= us(b[2]) - us(a[2]) <= hi * 10**6]
+    if how == "left":
+        want += [(a[0], None) for a in left if a[0] not in {x for x, _ in want}]
+    l, r = frame(left, "l"), frame(right, "r")
+    placed = l.withColumn("__lb", F.floor(F.unix_micros("l_ts") / ((hi - lo) * 10**6)))
+    assert J._bursts(placed, "l_key", F.unix_micros("l_ts"), 4).where("size(__cuts) > 1").count() > 0
+    got = J.interval_join(l, r, "l_key", "r_key", "l_ts", "r_ts", lo, hi, how, rows_per_task=4)
+    assert "Cartesian" not in (plan := got._jdf.queryExecution().executedPlan().toString()) and "NestedLoop" not in plan
+    assert sorted(map(tuple, got.select("l_id", "r_id").collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_no_cross_join(sides):
     _, _, l, r = sides
     plan = J.interval_join(l, r, "l_key", "r_key", "l_ts", "r_ts", 0, 600)._jdf.queryExecution().executedPlan().toString()

@@ -30,14 +30,16 @@ def lookup_with_default(df: DataFrame, names: DataFrame, key: str, names_key: st
 
 def interval_join(
     left: DataFrame, right: DataFrame, left_key: str, right_key: str, left_time: str, right_time: str,
-    lo: int, hi: int, how: str = "inner",
+    lo: int, hi: int, how: str = "inner", rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Pairs with equal keys and right time in [left time + lo, left time + hi] seconds.
 
     ``how`` is ``inner`` or ``left``.  On streams (give both a watermark) this
     is Spark's range-bounded join.  On tables time is cut into buckets as long
     as the interval and the join runs on (key, bucket): a hot key is spread
-    over its buckets and only neighbours in time are compared.
+    over its buckets and only neighbours in time are compared.  A bucket with
+    more than ``rows_per_task`` left rows of one key, a burst, is cut further,
+    at quantiles of their times, and right rows go to the parts they reach.
     """
     lt, rt = F.unix_micros(left_time), F.unix_micros(right_time)
     keys = F.col(left_key) == F.col(right_key)
@@ -47,13 +49,44 @@ def interval_join(
         )
         return left.join(right, keys & within, {"inner": "inner", "left": "leftOuter"}[how])
     width = max(1, hi - lo) * 1_000_000
-    bucket = floor_div(lt, width)
     # every left time whose interval covers this right time lies in [rt - hi, rt - lo]
-    reach = F.sequence(floor_div(rt - hi * 1_000_000, width), floor_div(rt - lo * 1_000_000, width))
-    spread = right.withColumn("__rb", F.explode(reach))
+    low, high = rt - hi * 1_000_000, rt - lo * 1_000_000
+    placed = left.withColumn("__lb", floor_div(lt, width))
+    spread = right.withColumn("__rb", F.explode(F.sequence(floor_div(low, width), floor_div(high, width))))
     within = (rt - lt).between(lo * 1_000_000, hi * 1_000_000)
-    joined = left.withColumn("__lb", bucket).join(spread, keys & (F.col("__lb") == F.col("__rb")) & within, how)
-    return joined.drop("__lb", "__rb")
+    on = keys & (F.col("__lb") == F.col("__rb"))
+    bursts = _bursts(placed, left_key, lt, rows_per_task)
+    if bursts is not None:
+        part = lambda at: F.size(F.filter("__cuts", lambda c: c <= at))
+        cuts = bursts.select(F.col(left_key).alias("__k"), F.col("__lb").alias("__b"), "__cuts")
+        whole = F.coalesce("__cuts", F.array().cast("array<bigint>"))
+        placed = placed.join(cuts, (F.col(left_key) == F.col("__k")) & (F.col("__lb") == F.col("__b")), "left").withColumn("__cuts", whole)
+        placed = placed.withColumn("__lp", part(lt)).drop("__k", "__b", "__cuts")
+        spread = spread.join(cuts, (F.col(right_key) == F.col("__k")) & (F.col("__rb") == F.col("__b")), "left").withColumn("__cuts", whole)
+        spread = spread.withColumn("__rp", F.explode(F.sequence(part(low), part(high)))).drop("__k", "__b", "__cuts")
+        on &= F.col("__lp") == F.col("__rp")
+    joined = placed.join(spread, on & within, how)
+    return joined.drop("__lb", "__rb", "__lp", "__rp")
+
+
+def _bursts(placed: DataFrame, key: str, at: Column, rows_per_task: int) -> DataFrame | None:
+    """(key, __lb, __cuts): quantiles of the times of every (key, bucket) with too many rows, or None if there is none.
+
+    One aggregation, combined before the shuffle, finds them; a second reads
+    their rows alone.  There is at most one cut per ``rows_per_task`` rows.
+    """
+    if rows_per_task >= ROWS_PER_TASK and plainly_small(placed, SMALL_INPUT_BYTES):
+        return None
+    cells = placed.where(F.col(key).isNotNull()).groupBy(key, "__lb").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > rows_per_task)
+    cells = settled(cells)
+    most = cells.agg(F.max("__n")).first()[0]
+    if most is None:
+        return None
+    parts = -(-most // rows_per_task)
+    shares = [i / parts for i in range(1, parts)]
+    rows = placed.select(key, "__lb", at.alias("__at")).join(cells.select(key, "__lb"), [key, "__lb"], "left_semi")
+    cuts = rows.groupBy(key, "__lb").agg(F.array_sort(F.array_distinct(F.percentile_approx("__at", shares, max(10_000, 20 * parts)))).alias("__cuts"))
+    return settled(cuts)
 
 
 def enrich_left_outer(actions: DataFrame, profiles: DataFrame, key: str, profile_key: str, action_time: str, profile_time: str, within: int = 3600) -> DataFrame:

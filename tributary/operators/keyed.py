@@ -275,7 +275,7 @@ def trending_decay(df: DataFrame, tag: str, time: str, asof: Column, decay: floa
 def influence_score(df: DataFrame, user: str, time: str, followers: str, is_repost: Column, mentions: Column, at_least: float = 1.0) -> DataFrame:
     """0.3 ln(followers + 1) + 0.5 reposts + 0.2 mentions, highest first."""
     per_user = df.groupBy(user).agg(
-        F.max_by(followers, time).alias("followers"), F.sum(is_repost.cast("bigint")).alias("reposts"),
+        F.max_by(followers, F.struct(time, followers)).alias("followers"), F.sum(is_repost.cast("bigint")).alias("reposts"),
         F.sum(mentions.cast("bigint")).alias("mentions"),
     )
     score = F.log(F.col("followers") + 1) * 0.3 + F.col("reposts") * 0.5 + F.col("mentions") * 0.2

@@ -73,14 +73,15 @@ def _seconds_between(start: str, end: str) -> Column:
 
 
 def session_actions(df: DataFrame, user: str, time: str, action: str, limit_seconds: float = 10, chunk_size: int = 10_000,
-                    rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+                    rows_per_task: int = ROWS_PER_TASK, order: Sequence[str] = ()) -> DataFrame:
     """Expired sessions with their actions in order and their length in seconds.
 
-    Very long action lists continue in further ``chunk`` rows.
+    Actions of equal times follow ``order`` and then their own names.  Very
+    long action lists continue in further ``chunk`` rows.
     """
     cuts = bucket_cuts(df, [user], time, rows_per_task)
     labelled = label_sessions(df, [user], time, limit_seconds, rows_per_task, cuts=cuts)
-    lists = collect_in_chunks(labelled, [user, "session_start"], time, action, [time], "actions", chunk_size, rows_per_task, cuts)
+    lists = collect_in_chunks(labelled, [user, "session_start"], time, action, [time, *order, action], "actions", chunk_size, rows_per_task, cuts)
     spans = labelled.groupBy(user, "session_start").agg(F.max(time).alias("session_end"))
     joined = lists.join(spans, [user, "session_start"])
     return joined.select(user, "session_start", "chunk", "actions", _seconds_between("session_start", "session_end").alias("seconds"))

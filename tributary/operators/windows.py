@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.functions.intervals import floor_div, seconds
-from tributary.operators.ordered import SMALL_INPUT_BYTES
+from tributary.operators.ordered import ROWS_PER_TASK, SMALL_INPUT_BYTES, bucket_cuts, with_running
 from tributary.session import plainly_small, settled
 
 # name -> (function, column); functions: count, sum, min, max, avg
@@ -179,18 +179,29 @@ def sensor_outliers(df: DataFrame, sensor: str, time: str, value: str, size: str
     return slotted.join(stats, [sensor, "__slot"]).where(far).drop("__slot")
 
 
-def sustained_load(df: DataFrame, server: str, time: str, load: str, size: str = "2 minutes", slide: str = "30 seconds", limit: float = 0.8, streak: int = 3) -> DataFrame:
+def sustained_load(
+    df: DataFrame, server: str, time: str, load: str, size: str = "2 minutes", slide: str = "30 seconds", limit: float = 0.8, streak: int = 3,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
     """Servers whose window mean stays above the limit for ``streak`` windows in a row.
 
-    A window at or below the limit, or without data, ends the run.
+    A window at or below the limit, or without data, ends the run.  A run is
+    known by its first window, one whose predecessor is not high: an equi-join
+    finds those, and the latest one so far is a running maximum, carried from
+    bucket to bucket, so the windows of one server need not be in one task.
     """
     step = seconds(slide)
     means = sliding(df, time, size, slide, {"avg_load": ("avg", load)}, [server])
     high = means.where(F.col("avg_load") > limit).withColumn("__no", floor_div(F.unix_seconds("start"), step))
-    order = Window.partitionBy(server).orderBy("__no")
-    island = high.withColumn("__island", F.col("__no") - F.row_number().over(order))
-    runs = island.withColumn("streak", F.row_number().over(Window.partitionBy(server, "__island").orderBy("__no")).cast("bigint"))
-    return runs.where(F.col("streak") >= streak).select("start", "end", server, "avg_load", "streak")
+    if not plainly_small(df, SMALL_INPUT_BYTES) or rows_per_task < ROWS_PER_TASK:
+        high = settled(high)
+    before = high.select(F.col(server).alias("__s"), (F.col("__no") + 1).alias("__next"))
+    linked = high.join(before, F.col(server).eqNullSafe(F.col("__s")) & (F.col("__no") == F.col("__next")), "left")
+    opened = linked.withColumn("__first", F.when(F.col("__next").isNull(), F.col("__no"))).drop("__s", "__next")
+    cuts = bucket_cuts(opened, [server], "start", rows_per_task)
+    runs = with_running(opened, [server], "start", ["start"], {"__begin": ("max", F.col("__first"))}, cuts)
+    counted = runs.withColumn("streak", F.col("__no") - F.col("__begin") + 1)
+    return counted.where(F.col("streak") >= streak).select("start", "end", server, "avg_load", "streak")
 
 
 def adaptive_windows_by_batch(

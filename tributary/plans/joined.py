@@ -72,6 +72,13 @@ def _(t):
     return out.select("view_id", "click_id", F.col("view_user").alias("user_id"))
 
 
+@query("clicks_after_views_split", "C7", _pairs(0, 12 * 3600))
+def _(t):  # buckets with more than one view of a user are cut
+    v, c = views_and_clicks(t("events", "event_id", "ts", "user_id", "event_type"))
+    out = J.interval_join(v, c, "view_user", "click_user", "view_time", "click_time", 0, 12 * 3600, rows_per_task=1)
+    return out.select("view_id", "click_id", F.col("view_user").alias("user_id"))
+
+
 @query("ends_after_starts", "C8", _pairs(600 * 60, 1800 * 60))
 def _(t):
     v, c = views_and_clicks(t("events", "event_id", "ts", "user_id", "event_type"))

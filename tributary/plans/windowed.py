@@ -187,17 +187,23 @@ def _(t):
     return out.select("event_id", "event_type", "value", F.round("mean", 8).alias("mean"), F.round("std", 4).alias("std"))
 
 
-@query("sustained_load", "H24", f"""
+SUSTAINED_SQL = f"""
     WITH m AS (SELECT ws, event_type, avg(value) AS a FROM {slid('events', 2 * HOUR, HOUR // 2)} GROUP BY ALL),
     h AS (SELECT *, epoch_us(ws) // 1800000000 AS no FROM m WHERE a > 60),
     i AS (SELECT *, no - row_number() OVER (PARTITION BY event_type ORDER BY no) AS island FROM h),
     r AS (SELECT *, row_number() OVER (PARTITION BY event_type, island ORDER BY no) AS streak FROM i)
-    SELECT ws AS start, event_type, round(a, 8) AS avg_load, streak FROM r WHERE streak >= 3""")
-def _(t):
-    out = W.sustained_load(t("events", "event_type", "ts", "value"), "event_type", "ts", "value", "2 hours", "30 minutes", 60.0)
+    SELECT ws AS start, event_type, round(a, 8) AS avg_load, streak FROM r WHERE streak >= 3"""
+
+
+def _sustained(t, **options):
+    out = W.sustained_load(t("events", "event_type", "ts", "value"), "event_type", "ts", "value", "2 hours", "30 minutes", 60.0, **options)
     return out.drop("end").withColumn("avg_load", F.round("avg_load", 8))
 
 
+query("sustained_load", "H24", SUSTAINED_SQL)(_sustained)
+query("sustained_load_split", "H24", SUSTAINED_SQL)(lambda t: _sustained(t, rows_per_task=20))
+
+
 @query("average_text_length", "H25", f"""
     SELECT {start(5)} AS start, round(avg(length(text)), 8) AS avg_length FROM {SENT} GROUP BY 1""")
 def _(t):

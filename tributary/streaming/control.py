@@ -35,7 +35,9 @@ def threshold_file(spark: SparkSession, path: str) -> DataFrame:
 
     try:
         return spark.read.text(path).select(F.trim("value").alias("threshold"))
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], "threshold string")
 
 

@@ -101,7 +101,9 @@ class KeyedTable:
         self.rest = [f.name for f in schema.fields if f.name not in self.keys]
 
     def _latest(self, df: DataFrame, version: Column) -> DataFrame:
-        newest = df.groupBy(*self.keys).agg(F.max_by(F.struct(*self.rest), version).alias("__v"))
+        rest = F.struct(*self.rest)
+        # equal versions: the largest row, so that a repeated batch gives the same table
+        newest = df.groupBy(*self.keys).agg(F.max_by(rest, F.struct(version, rest)).alias("__v"))
         return newest.select(*self.keys, "__v.*")
 
     def upsert(self, order: str) -> BatchFn:
@@ -150,7 +152,7 @@ def merge_upsert(target: DataFrame, batch: DataFrame, key: str, columns: Sequenc
     Several rows of one key in the batch count as the one with the highest
     ``order``.
     """
-    fresh = batch.groupBy(key).agg(F.max_by(F.struct(*columns), order).alias("__new")).withColumnRenamed(key, "__key")
+    fresh = batch.groupBy(key).agg(F.max_by(F.struct(*columns), F.struct(order, F.struct(*columns))).alias("__new")).withColumnRenamed(key, "__key")
     joined = target.join(fresh, F.col(key) == F.col("__key"), "full")
     hit = F.col("__new").isNotNull()
     return joined.select(
@@ -192,7 +194,7 @@ def jdbc_merge(url: str, table: str, staging: str, key: str, columns: Sequence[s
     statement = f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging} ON CONFLICT ({key}) DO UPDATE SET {updates}"
 
     def write(batch: DataFrame, n: int) -> None:
-        newest = batch.groupBy(key).agg(F.max_by(F.struct(*columns), order).alias("__v")).select(key, "__v.*")
+        newest = batch.groupBy(key).agg(F.max_by(F.struct(*columns), F.struct(order, F.struct(*columns))).alias("__v")).select(key, "__v.*")
         newest.write.jdbc(url, staging, "overwrite", properties)
         execute(statement)
 
@@ -276,7 +278,7 @@ def rate_limited_upsert(write_row: Callable[[Row], None], key: str, order: str,
 
     def write(batch: DataFrame, n: int) -> None:
         rest = [c for c in batch.columns if c != key]
-        newest = batch.groupBy(key).agg(F.max_by(F.struct(*rest), order).alias("__v")).select(key, "__v.*")
+        newest = batch.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(order, F.struct(*rest))).alias("__v")).select(key, "__v.*")
         newest.foreachPartition(paced(write_row, permits_per_second))
 
     return write

@@ -23,7 +23,8 @@ Arrays = dict[str, np.ndarray]
 def _sorted(pdfs: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame:
     parts = list(pdfs)
     rows = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-    return rows.iloc[np.lexsort([rows[c].to_numpy() for c in reversed(order)])]
+    columns = [rows[c].astype(str) if rows[c].dtype == object else rows[c] for c in reversed(order)]
+    return rows.iloc[np.lexsort([c.to_numpy() for c in columns])]
 
 
 def _history(
@@ -251,7 +252,7 @@ def session_expiry(df: DataFrame, user: str, time: str, action: str, limit_secon
             state.remove()
             yield pd.DataFrame({"started": [start], "ended": [last], "actions": [list(actions)], user: [k[0]]})
             return
-        rows = _sorted(pdfs, ["__us"])
+        rows = _sorted(pdfs, ["__us", action])  # equal times by name, however they arrived
         start, last, actions = state.get if state.exists else (None, None, [])
         actions, closed = list(actions), []
         for at, what in zip(rows["__us"].tolist(), rows[action].tolist()):

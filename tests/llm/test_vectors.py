@@ -2,7 +2,6 @@ import numpy as np
 import pytest
 
 from tests.oracle import compare, connect
-from tributary.llm import linking
 from tributary.llm import vectors as V
 from tributary.llm.queries import QUERIES, SQL
 
@@ -38,7 +37,8 @@ def found(df):
 
 @pytest.mark.parametrize("chunk", [512, 7])
 def test_groups_chains_and_odd_rows(spark, monkeypatch, chunk):
-    monkeypatch.setattr(linking.in_blocks, "__defaults__", (chunk,))
+    monkeypatch.setattr(V, "SKETCH_CHUNK", chunk)
+    monkeypatch.setattr(V, "STRIP", chunk)
     rng = np.random.RandomState(0)
     unit = lambda v: v / np.linalg.norm(v)
     rows, centre = [], unit(rng.standard_normal(16))
@@ -89,3 +89,31 @@ def test_production_recall_misses_no_pair_near_the_threshold(spark):
     for n in (100, 10_000, 10**9):
         k, tables = V.plan(n, 0.9, V.RECALL)
         assert (1 - V.collision(np.sqrt(0.2)) ** k) ** tables <= 1e-5
+
+
+def test_signs_allow_what_is_near():
+    assert V.sign_limit(1.0) == 0 and V.sign_limit(0.0) > 128
+    rng = np.random.RandomState(3)
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    u = unit(rng.standard_normal((4000, 48)))
+    side = rng.standard_normal(u.shape)
+    side = unit(side - (side * u).sum(axis=1, keepdims=True) * u)
+    w = 0.9 * u + np.sqrt(1 - 0.81) * side
+    differ = np.bitwise_count(V.sketch(u) ^ V.sketch(w)).sum(axis=1)
+    limit = V.sign_limit(0.9)
+    assert differ.max() <= limit and limit < 80
+    far = np.bitwise_count(V.sketch(u[:500])[:, None] ^ V.sketch(u[500:1000])[None]).sum(axis=2)
+    assert (far <= limit).mean() < 1e-4
+
+
+def test_partners_equal_a_double_loop():
+    rng = np.random.RandomState(4)
+    s = rng.randint(0, 1 << 62, (30, 4)).astype(np.uint64)
+    s[10:20] = s[:10] ^ np.uint64(5)
+    part, keys = np.arange(30) % 2, rng.randint(0, 2, (30, 3)).astype(np.int32)
+    for one, two, table in ((0, 0, 0), (0, 1, 0), (0, 0, 2), (0, 1, 3)):
+        want = [
+            any(i != j and np.bitwise_count(s[i] ^ s[j]).sum() <= 66 and (one == two or part[i] != part[j]) and not (keys[i, :table] == keys[j, :table]).any() for j in range(30))
+            for i in range(30)
+        ]
+        assert V.partners(s, part, one, two, 66, keys, table).tolist() == want

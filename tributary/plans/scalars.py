@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from tributary.functions import parsing as P
 from tributary.functions import scalar as S
-from tributary.plans.registry import as_text, query
+from tributary.operators import columnar
+from tributary.plans.registry import REGISTRY, as_text, query
 
 
 @query("projected_weights", "B1", """
@@ -325,3 +327,19 @@ def _(t):
         t.spark, "select o_orderpriority, count(*) as n, round(sum(o_totalprice), 2) as total from {orders} group by 1",
         orders=t("orders"),
     )
+
+
+@query("word_rows_columnar", "B21 K1", REGISTRY["word_rows"].sql)
+def _(t):
+    return columnar.word_rows(t("conversations", "conv_id", "turn", "text"), ["conv_id", "turn"], "text")
+
+
+@query("hashtag_rows_columnar", "B26 K1", REGISTRY["hashtag_rows"].sql)
+def _(t):
+    return columnar.word_rows(t("events").select("event_id", post_text().alias("text")), ["event_id"], "text", "hashtag", "#")
+
+
+@query("gross_values_columnar", "K1", "SELECT event_id, round(value * 1.19::DOUBLE, 6) AS gross FROM events")
+def _(t):
+    gross = columnar.column_function(lambda v: pc.multiply(v, 1.19), "double")
+    return t("events", "event_id", "value").select("event_id", F.round(gross("value"), 6).alias("gross"))

@@ -1,9 +1,10 @@
-"""Text queries.  The lexicon is made from the benchmark texts' words."""
+"""Text queries.  The lexicon is induced from the benchmark texts."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tributary.operators import lexicon as induced
 from tributary.operators import text as X
 from tributary.plans.registry import query
 from tributary.plans.windowed import sent
@@ -12,14 +13,34 @@ from tributary.sources.tables import Tables
 from tributary.streaming import sinks
 from tributary.streaming.replay import for_each_batch, stage
 
-LEXICON = r"""lexicon AS (SELECT word, length(word) % 5 AS class FROM
-    (SELECT DISTINCT unnest(string_split_regex(lower(text), '[^\p{L}]+')) AS word FROM benchmark) WHERE word <> '')"""
+ROUNDS = 3
+
+
+def _round(n: int) -> str:
+    """Label round ``n`` from the one before, in SQL."""
+    return f"""v{n} AS (SELECT e.word, l.class, sum(weight) AS n FROM edges e JOIN l{n - 1} l ON e.other = l.word GROUP BY ALL),
+    l{n} AS (SELECT * FROM l0 UNION ALL SELECT word, arg_max(class, n * 10 - class) AS class FROM v{n} WHERE word NOT IN (SELECT word FROM l0) GROUP BY word)"""
+
+
+LEXICON = rf"""corpus AS (SELECT list_filter(string_split_regex(lower(text), '[^\p{{L}}]+'), lambda x: x <> '') AS ws FROM benchmark),
+    l0 AS (SELECT word, CAST((row_number() OVER (ORDER BY n DESC, word) - 1) % 5 AS INTEGER) AS class
+           FROM (SELECT word, count(*) AS n FROM (SELECT unnest(ws) AS word FROM corpus) GROUP BY 1) QUALIFY row_number() OVER (ORDER BY n DESC, word) <= 25),
+    beside AS (SELECT ws[i] AS a, ws[i + 1] AS b FROM (SELECT ws, unnest(range(1, len(ws))) AS i FROM corpus)),
+    once AS (SELECT least(a, b) AS a, greatest(a, b) AS b, count(*) AS weight FROM beside WHERE a <> b GROUP BY ALL),
+    edges AS (SELECT a AS word, b AS other, weight FROM once UNION ALL SELECT b, a, weight FROM once),
+    {", ".join(map(_round, range(1, ROUNDS + 1)))},
+    lexicon AS (SELECT word, class FROM l{ROUNDS})"""
 
 
 def lexicon(t):
-    """All words of the benchmark, classed by length: a stand-in with the right shape."""
-    spoken = t("benchmark", "text").select(F.explode(F.split(F.lower("text"), X.NOT_A_LETTER)).alias("word"))
-    return spoken.where("word <> ''").distinct().withColumn("class", F.length("word") % 5)
+    """Classes of the benchmark's most frequent words, spread to the words around them."""
+    spoken = t("benchmark", "text")
+    return induced.induced_lexicon(spoken, "text", induced.frequent_seeds(spoken, "text"), ROUNDS)
+
+
+@query("induced_lexicon", "J1 J4", f"WITH {LEXICON} SELECT * FROM lexicon")
+def _(t):
+    return lexicon(t)
 
 
 def scored(table: str, key: str) -> str:

@@ -15,6 +15,7 @@ rows; extra columns of any name are kept by ``mixed_documents`` and never read.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -122,17 +123,26 @@ def pieces(rows: DataFrame, slots: DataFrame, block_words: int = BLOCK_WORDS) ->
     return joined.where(end > begin).select(F.col("s").alias("__s"), "__start", "turn", "slot", (begin - F.col("__start")).alias("word_from"), (end - F.col("__start")).alias("word_to"))
 
 
-def laid_plan(docs: DataFrame, weights: tuple[int, ...], most: int, block_words: int, keep: tuple[str, ...]) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """(stored rows, rows on their source's axis, targets, what each slot takes)."""
+def laid_plan(docs: DataFrame, weights: tuple[int, ...], most: int, block_words: int, ident: tuple[str, ...], keep: tuple[str, ...]) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(stored rows, rows on their source's axis, targets, what each slot takes); ``ident`` names the columns that know a row."""
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.col("text"), F.lit("")))
-    stored = settled(docs.select(F.monotonically_increasing_id().alias("__rid"), "doc_id", "source", word_count(F.col("text")).alias("__size"), key.alias("__key"), *keep))
+    stored = settled(docs.select(*ident, "doc_id", "source", word_count(F.col("text")).alias("__size"), key.alias("__key"), *keep))
     targets = settled(source_targets(stored.select("source", "__size"), weights, most))
-    rows = laid_out(stored.select("__rid", "doc_id", "source", "__size", "__key"), targets)
+    rows = laid_out(stored.select(*ident, "doc_id", "source", "__size", "__key"), targets)
     # a row without words shares its start with the next row and takes nothing
     rows = rows.withColumn("__at", F.when(F.col("__size") > 0, F.col("__start")))
     return stored, rows, targets, pieces(rows.select("__s", "__start", "__size"), schedule(targets, block_words), block_words)
 
 
+def with_places(docs: DataFrame) -> DataFrame:
+    """The rows with the file and the row number in it that they come from; what is no plain scan is stored first."""
+    place = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row_no")]
+    try:
+        return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), *place)
+    except AnalysisException:
+        return with_places(settled(docs))
+
+
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS, block_words: int = BLOCK_WORDS, keep: tuple[str, ...] = ()) -> DataFrame:
     """Rows of ``docs`` with size, source_size, target, taken and first_slot.
 
@@ -140,7 +150,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_RE
     words are its target rounded, so a row is taken at most ``most`` times.
     ``keep`` names further columns to carry along.
     """
-    stored, rows, targets, takes = laid_plan(docs, weights, most, block_words, keep)
+    numbered = docs.withColumn("__rid", F.monotonically_increasing_id())
+    stored, rows, targets, takes = laid_plan(numbered, weights, most, block_words, ("__rid",), keep)
     taken = takes.groupBy("__s", F.col("__start").alias("__at")).agg(F.sum(F.col("word_to") - F.col("word_from")).alias("__taken"), F.min("slot").alias("__first"))
     rows = rows.join(taken, ["__s", "__at"], "left")
     sizes = targets.select(F.col("s").alias("__s"), "source_size", "target")
@@ -159,15 +170,17 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
     Partitions hold runs of slots, and rows are ordered by slot within them.
     """
     columns = docs.columns
-    whole_rows = docs.select("doc_id", "text", "source", F.struct(*[F.col(f"`{c}`") for c in columns]).alias("__row"))
-    stored, rows, _, takes = laid_plan(whole_rows, weights, most, block_words, ("__row",))
+    whole_rows = with_places(docs)
+    ident = ("__file", "__row_no")
+    short = whole_rows.select(*ident, *[F.col(f"__row.{c}").alias(c) for c in ("doc_id", "text", "source")])
+    _, rows, _, takes = laid_plan(short, weights, most, block_words, ident, ())
     turns = takes.groupBy("__s", F.col("__start").alias("__at"), "turn").agg(F.sum(F.col("word_to") - F.col("word_from")).alias("__words"), F.min("slot").alias("__slot"))
     # short rows, stored: where they are few, the documents need not be shuffled to meet them
-    placed = settled(rows.select("__rid", "__s", "__at", "__size").join(turns, ["__s", "__at"]).select("__rid", "__size", "__words", "__slot", "__s", "__at"))
+    placed = settled(rows.select(*ident, "__s", "__at", "__size").join(turns, ["__s", "__at"]).select(*ident, "__size", "__words", "__slot", "__s", "__at"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     last = (placed.agg(F.max("__slot")).first()[0] or 0) + 1
     part = F.floor(F.col("__slot") * parts / F.lit(last)).cast("int")
-    laid = placed.join(stored.select("__rid", "__row"), "__rid").repartitionById(parts, part).sortWithinPartitions("__slot", "__s", "__at")
+    laid = placed.join(whole_rows, list(ident)).repartitionById(parts, part).sortWithinPartitions("__slot", "__s", "__at")
     text = F.col("__row.text")
     cut = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0)), 1, F.col("__words").cast("int")), "")
     laid = laid.withColumn("__whole", F.col("__words") == F.col("__size")).withColumn("__text", F.when(F.col("__whole"), text).otherwise(cut))

@@ -56,3 +56,24 @@ def test_late_row_never_turns_a_session_around(spark, tmp_path):
     got = replay(spark, run).collect()
     assert all(r.started <= r.ended for r in got)
     assert (40_000_000, 40_000_000, ["old"]) in [(r.started, r.ended, r.actions) for r in got]
+
+
+def test_a_rewritten_table_is_staged_anew(spark, tmp_path):
+    from tributary.streaming.replay import stage
+
+    path = str(tmp_path / "t")
+    save = lambda rows: spark.createDataFrame(rows, SCHEMA).withColumn("ts", F.timestamp_seconds("sec")).coalesce(1).write.mode("overwrite").parquet(path)
+    read = lambda: spark.read.parquet(path)
+    save([(1, 1, 10, 1.0, "a")])
+    first = stage(read(), "ts", 100, "rewritten")
+    assert stage(read(), "ts", 100, "rewritten") is first
+    save([(1, 1, 10, 1.0, "a"), (2, 1, 250, 1.0, "a")])
+    again = stage(read(), "ts", 100, "rewritten")
+    assert again is not first and again.slices == 2 and spark.read.parquet(again.path).count() == 2
+
+
+def test_equal_times_have_one_order(spark, tmp_path):
+    parts = [[(1, 1, 100, 1.0, "b"), (2, 1, 100, 1.0, "a"), (3, 1, 100, 1.0, None)], [(4, 2, 90_000, 1.0, "z")], [(5, 2, 190_000, 1.0, "z")]]
+    run = lambda s: state.session_expiry(batches(spark, tmp_path, *parts)(s), "user", "ts", "what", 10, "2 hours")
+    got = {tuple(r.actions) for r in replay(spark, run).collect() if r.started == 100_000_000}
+    assert got == {(None, "a", "b")} or got == {("a", "b", None)}

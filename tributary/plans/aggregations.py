@@ -123,6 +123,14 @@ def _(t):
     return as_text(collect_in_chunks(e, ["start"], "ts", "event_type", ["ts", "event_id"]), "items")
 
 
+@query("collected_values_in_chunks", "D12", f"""
+    WITH p AS (SELECT {start(6 * 3600)} AS start, event_type, ts, event_id, row_number() OVER (PARTITION BY {start(6 * 3600)} ORDER BY ts, event_id) - 1 AS pos FROM events)
+    SELECT start, CAST(pos // 7 AS BIGINT) AS chunk, array_to_string(list(event_type ORDER BY ts, event_id), ',') AS items FROM p GROUP BY start, pos // 7""")
+def _(t):
+    e = t("events", "event_id", "ts", "event_type").withColumn("start", F.window("ts", "6 hours").start)
+    return as_text(collect_in_chunks(e, ["start"], "ts", "event_type", ["ts", "event_id"], chunk_size=7), "items")
+
+
 @query("storage_ratio", "D13 I4", """
     SELECT event_type, round(sum(value) / sum(user_id), 8) AS ratio FROM events GROUP BY 1""")
 def _(t):

@@ -116,11 +116,15 @@ def settled(df: DataFrame) -> DataFrame:
 def state_partitions(spark: SparkSession) -> int:
     """Shuffle (and so state) partitions for a streaming query.
 
-    On a cluster an explicit setting wins; otherwise there is one per core.
-    Every state partition syncs files in every micro-batch, so a local session,
-    with one disk for all of them, takes a quarter of its cores.
+    ``spark.tributary.statePartitions`` wins, then an explicit number of shuffle
+    partitions; otherwise there is one per core.  Every state partition syncs
+    files in every micro-batch, so without the setting a local session, with
+    one disk for all of them, takes a quarter of its cores.
     """
     context = spark.sparkContext
+    chosen = spark.conf.get("spark.tributary.statePartitions", None)
+    if chosen:
+        return int(chosen)
     if context.master.startswith("local"):
         return max(1, context.defaultParallelism // 4)
     explicit = context.getConf().get("spark.sql.shuffle.partitions", None)
@@ -131,10 +135,11 @@ def state_partitions(spark: SparkSession) -> int:
 def python_state(spark: SparkSession) -> dict[str, str]:
     """Setting for queries whose state functions run in Python.
 
-    Their cost is the Python workers, so a local session takes half its cores.
+    Their cost is the Python workers, so without ``spark.tributary.statePartitions``
+    a local session takes half its cores.
     """
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if spark.conf.get("spark.tributary.statePartitions", None) or not context.master.startswith("local"):
         return {}
     return {"spark.sql.shuffle.partitions": str(max(1, context.defaultParallelism // 2))}
 

@@ -28,16 +28,27 @@ class Staged:
         return reader.parquet(self.path)
 
 
+def file_states(df: DataFrame) -> int:
+    """A number that changes when a file that ``df`` reads is written anew."""
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    states = []
+    for name in sorted(df.inputFiles()):
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        status = path.getFileSystem(conf).getFileStatus(path)
+        states.append((name, status.getModificationTime(), status.getLen()))
+    return hash(tuple(states))
+
+
 def stage(df: DataFrame, time: str, slice_seconds: int, name: str) -> Staged:
     """Write ``df`` cut by time, oldest slice first.
 
     Slices are written one after the other, since a file stream picks files in
     the order they were modified.  A large slice has several files, so it is
-    written and read in parallel.  Rows without a time come first.  Staging happens once per application and
-    ``name``.
+    written and read in parallel.  Rows without a time come first.  Staging happens once per application,
+    ``name`` and state of the table's files.
     """
     spark = df.sparkSession
-    key = (spark.sparkContext.applicationId, name, time, slice_seconds)
+    key = (spark.sparkContext.applicationId, name, time, slice_seconds, tuple(df.columns), file_states(df))
     if key in _STAGED:
         return _STAGED[key]
     number = F.floor(F.unix_seconds(time) / slice_seconds)

@@ -139,3 +139,26 @@ def test_null_keys_keep_their_own_history(skewed):
     holes = holes.withColumn("user", F.when(F.col("user") == 1, None).otherwise(F.col("user")))
     run = lambda n: rows(keyed.rolling_avg(holes, "user", "ts", ["ts", "id"], "x", 3, n).select("id", "position", "rolling_avg"))
     assert run(40) == run(DIRECT) and len(run(DIRECT)) > 600
+
+
+@pytest.mark.parametrize("rows_per_task", [1, 7, 60, 10**6])
+def test_sequential_rules_do_not_depend_on_the_cut(spark, rows_per_task):
+    """A key without any pause, ties, a burst: windows and cool-downs as in a walk by hand."""
+    import random
+
+    rng = random.Random(6)
+    times = {1: [i * 3 + rng.randrange(3) for i in range(300)], 2: [rng.randrange(4000) for _ in range(80)], 3: [50] * 40 + [51, 60, 61, 500]}
+    rows = [(k * 10_000 + i, k, t) for k, ts in times.items() for i, t in enumerate(ts)]
+    df = spark.createDataFrame(rows, "id long, user long, sec long").withColumn("ts", F.timestamp_seconds("sec")).repartition(3)
+    want = {}
+    for k in times:
+        opened, n = None, 0
+        for t, i in sorted((t, i) for i, u, t in rows if u == k):
+            if opened is None or t - opened > 10:
+                opened, n = t, 0
+            n += 1
+            want[i] = (n <= 3, 3 - n)
+    got = keyed.rate_limit(df, "user", "ts", 3, 10, rows_per_task, ["id"]).collect()
+    assert {r.id: (r.accepted, r.remaining) for r in got} == want and len(got) == len(rows)
+    kept = keyed._sequential(df, "user", "ts", 10_000_000, True, rows_per_task, ["id"]).where("__keep").collect()
+    assert {r.id for r in kept} == {i for i, (_, left) in want.items() if left == 2}

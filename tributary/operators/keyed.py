@@ -9,12 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
-from tributary.operators.ordered import ROWS_PER_TASK, bucket_cuts, over_last_interval, over_last_rows, with_running
+from tributary.operators.ordered import ROWS_PER_TASK, bucket_cuts, bucket_of, over_last_interval, over_last_rows, with_running
+from tributary.session import settled
 
 
 def user_activity(df: DataFrame, user: str, time: str) -> DataFrame:
@@ -129,26 +131,90 @@ def baseline_scores(
     ).drop("__recent", "__s", "__q")
 
 
+def _windows(us: np.ndarray, apart_us: int, anchor: int | None, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first of its window, place in it) of sorted times, one turn a window; ``anchor`` opened the window that is open before them."""
+    first, counts, at = np.zeros(len(us), dtype=bool), np.empty(len(us), dtype=np.int64), 0
+    while at < len(us):
+        if anchor is None or us[at] - anchor > apart_us:
+            anchor, count, first[at] = int(us[at]), 0, True
+        end = int(np.searchsorted(us, anchor + apart_us, side="right"))
+        counts[at:end] = np.arange(count + 1, count + 1 + end - at)
+        count, at = count + end - at, end
+    return first, counts
+
+
 def _greedy(key: str, time_us: str, apart_us: int, keep_first_after: bool):
-    """Sequential pass over rows sorted by (key, time) with constant memory."""
+    """Sequential pass over rows sorted by (key, time), one key of a batch at a time."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, anchor, count = None, None, 0
         for pdf in batches:
-            keep, counts = [], []
-            for k, us in zip(pdf[key].tolist(), pdf[time_us].tolist()):
-                if k != current or us - anchor > apart_us:
-                    current, anchor, count = k, us, 1
-                    keep.append(True)
-                else:
-                    count += 1
-                    keep.append(not keep_first_after)
-                counts.append(count)
+            keys, us = pdf[key].to_numpy(), pdf[time_us].to_numpy()
+            cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+            keep, counts = np.zeros(len(us), dtype=bool), np.zeros(len(us), dtype=np.int64)
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
+                    continue
+                if keys[a] != current:
+                    current, anchor, count = keys[a], None, 0
+                first, counts[a:b] = _windows(us[a:b], apart_us, anchor, count)
+                keep[a:b] = first | (not keep_first_after)
+                opened = np.flatnonzero(first)
+                anchor, count = int(us[a + opened[-1]]) if len(opened) else anchor, int(counts[b - 1])
             yield pdf.assign(__keep=keep, __count=counts)
 
     return run
 
 
+def _bucket_function(us: np.ndarray, apart_us: int) -> pd.DataFrame:
+    """What a bucket does to the window that is open before it.
+
+    Whichever of its times opens the bucket's first own window, it leads to one
+    last window: (``us``, ``exit_us`` that opens the last one, ``exit_n`` rows of
+    it).  Only times that a window from before can leave to are listed.
+    """
+    u, rows = np.unique(us, return_counts=True)
+    after = np.searchsorted(u, u + apart_us, side="right")  # the time that opens the next window
+    last = np.arange(len(u))
+    step = np.where(after < len(u), after, last)
+    while (step[step] != step).any():  # pointer doubling: each turn looks twice as far ahead
+        step = step[step]
+    reach = int(np.searchsorted(u, u[0] + apart_us, side="right")) + 1
+    left = np.concatenate([np.cumsum(rows[::-1])[::-1], [0]])
+    out = step[:reach]
+    return pd.DataFrame({"us": u[:reach], "exit_us": u[out], "exit_n": left[out], "total": len(us)})
+
+
+def _in_buckets(rows: DataFrame, apart_us: int, keep_first_after: bool, schema: StructType, order: Sequence[str]) -> DataFrame:
+    """The rule over rows (``__id``, ``__b``, ``__us``): buckets are summarised in parallel, composed in order, and walked in parallel."""
+
+    def summarise(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        return _bucket_function(pdf["__us"].to_numpy(), apart_us).assign(__id=key[0], __b=key[1])
+
+    def compose(pdf: pd.DataFrame) -> pd.DataFrame:
+        anchor, count, out = None, 0, []
+        for b, part in pdf.sort_values(["__b", "us"]).groupby("__b", sort=True):
+            out.append((part["__id"].iloc[0], b, -1 if anchor is None else anchor, anchor is not None, count))
+            us = part["us"].to_numpy()
+            i = 0 if anchor is None else int(np.searchsorted(us, anchor + apart_us, side="right"))
+            if i < len(us):
+                anchor, count = int(part["exit_us"].iloc[i]), int(part["exit_n"].iloc[i])
+            else:
+                count += int(part["total"].iloc[0])
+        return pd.DataFrame(out, columns=["__id", "__b", "__anchor", "__open", "__before"])
+
+    def walk(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["__us", *order], kind="stable")
+        opened = pdf["__open"].iloc[0]
+        first, counts = _windows(pdf["__us"].to_numpy(), apart_us, int(pdf["__anchor"].iloc[0]) if opened else None, int(pdf["__before"].iloc[0]))
+        return pdf.assign(__keep=first | (not keep_first_after), __count=counts)[[f.name for f in schema.fields]]
+
+    stored = settled(rows)
+    functions = stored.select("__id", "__b", "__us").groupBy("__id", "__b").applyInPandas(summarise, "us long, exit_us long, exit_n long, total long, __id string, __b long")
+    entries = functions.groupBy("__id").applyInPandas(compose, "__id string, __b long, __anchor long, __open boolean, __before long")
+    return stored.join(settled(entries), ["__id", "__b"]).groupBy("__id", "__b").applyInPandas(walk, schema)
+
+
 def _in_islands(df: DataFrame, key: str, time: str, gap_us: int, rows_per_task: int) -> DataFrame:
     """Split a key where nothing can carry over: a pause longer than ``gap_us``."""
     from tributary.operators.sessions import label_sessions
@@ -161,8 +227,13 @@ def _sequential(df: DataFrame, key: str, time: str, gap_us: int, keep_first_afte
         {"__us": F.unix_micros(time), "__id": F.concat_ws("|", F.col(key).cast("string"), F.unix_micros("__island"))}
     )
     schema = StructType([*split.schema.fields, StructField("__keep", BooleanType()), StructField("__count", LongType())])
-    placed = split.repartition(key, "__island").sortWithinPartitions("__id", "__us", *order)
-    return placed.mapInPandas(_greedy("__id", "__us", gap_us, keep_first_after), schema).drop("__us", "__id", "__island")
+    cuts = bucket_cuts(split, ["__id"], "__us", rows_per_task)
+    if cuts is None:
+        placed = split.repartition(key, "__island").sortWithinPartitions("__id", "__us", *order)
+        out = placed.mapInPandas(_greedy("__id", "__us", gap_us, keep_first_after), schema)
+    else:
+        out = _in_buckets(split.withColumn("__b", bucket_of(F.col("__us"), cuts)), gap_us, keep_first_after, schema, order)
+    return out.drop("__us", "__id", "__island")
 
 
 def baseline_anomalies(
@@ -187,8 +258,10 @@ def rate_limit(df: DataFrame, key: str, time: str, limit: int = 100, window_seco
 
     A window opens with a request and the first one more than
     ``window_seconds`` later opens the next.  Where requests pause that long
-    the rows are split, so only unbroken activity is walked in order; ``order``
-    decides among equal times.
+    the rows are split.  Unbroken activity of more than ``rows_per_task`` rows
+    is cut into buckets: what a bucket does to an open window is a small
+    function of where that window ends, and functions compose, so buckets are
+    walked in parallel.  ``order`` decides among equal times.
     """
     out = _sequential(df, key, time, window_seconds * 1_000_000, False, rows_per_task, order)
     return out.withColumns(

@@ -62,7 +62,7 @@ def bucket_cuts(df: DataFrame, keys: Sequence[str], at: str, rows_per_task: int
     return sorted(set(found or []))
 
 
-def _bucket(at: Column, cuts: Cuts) -> Column:
+def bucket_of(at: Column, cuts: Cuts) -> Column:
     """Number of the bucket of a value; a null, first in every order, is in the first."""
     if cuts is None:
         return F.lit(0).cast("bigint")
@@ -101,7 +101,7 @@ def with_running(
     # equi-join also matches null keys and needs no shuffle beyond the window's
     group = [F.struct(*keys).alias("__g")] if keys else []
     by = ["__g", "__b"] if keys else ["__b"]
-    df = df.select("*", *group, _bucket(_stamp(df, time), cuts).alias("__b"))
+    df = df.select("*", *group, bucket_of(_stamp(df, time), cuts).alias("__b"))
     frame = Window.partitionBy(*by).orderBy(*order).rowsBetween(FIRST, last)
     local = df.withColumns({name: _AGG[kind](expr).over(frame) for name, (kind, expr) in totals.items()})
 
@@ -169,8 +169,8 @@ def over_last_interval(
         spec = Window.partitionBy(*keys).orderBy("__us").rangeBetween(-reach, 0)
         return stamped.withColumns({name: make(spec) for name, make in columns.items()}).drop("__us")
     # a row goes to its own bucket and to those that begin within its reach
-    home = _bucket(F.col("__us"), cuts)
-    runs = F.sequence(F.col("__home"), _bucket(F.col("__us") + reach, cuts))
+    home = bucket_of(F.col("__us"), cuts)
+    runs = F.sequence(F.col("__home"), bucket_of(F.col("__us") + reach, cuts))
     spread = stamped.withColumn("__home", home).withColumn("__run", F.explode(runs))
     spec = Window.partitionBy(*keys, "__run").orderBy("__us").rangeBetween(-reach, 0)
     filled = spread.withColumns({name: make(spec) for name, make in columns.items()})

@@ -162,3 +162,12 @@ def test_sequential_rules_do_not_depend_on_the_cut(spark, rows_per_task):
     assert {r.id: (r.accepted, r.remaining) for r in got} == want and len(got) == len(rows)
     kept = keyed._sequential(df, "user", "ts", 10_000_000, True, rows_per_task, ["id"]).where("__keep").collect()
     assert {r.id for r in kept} == {i for i, (_, left) in want.items() if left == 2}
+
+
+def test_the_number_of_cuts_is_bounded(spark):
+    """The driver's list of cuts and the plan's search tree do not grow with the table."""
+    df = spark.range(40_000).select("id", (F.col("id") % 2).alias("user"), F.timestamp_micros(F.col("id") * 1_000).alias("ts"))
+    cuts = ordered.bucket_cuts(df, ["user"], "ts", 3)
+    assert 900 <= len(cuts) < ordered.MOST_BUCKETS
+    got = keyed.rolling_avg(df.withColumn("x", F.col("id").cast("double")), "user", "ts", ["ts", "id"], "x", 3, 3)
+    assert got.agg(F.count("*"), F.sum("rolling_avg")).first() == (39_996, sum(i - 2.0 for i in range(4, 40_000)))

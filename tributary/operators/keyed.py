@@ -223,8 +223,9 @@ def _in_islands(df: DataFrame, key: str, time: str, gap_us: int, rows_per_task:
 
 
 def _sequential(df: DataFrame, key: str, time: str, gap_us: int, keep_first_after: bool, rows_per_task: int, order: Sequence[str] = ()) -> DataFrame:
+    # rows without a time have no island, so as equal times they are one window of their own
     split = _in_islands(df, key, time, gap_us, rows_per_task).withColumns(
-        {"__us": F.unix_micros(time), "__id": F.concat_ws("|", F.col(key).cast("string"), F.unix_micros("__island"))}
+        {"__us": F.coalesce(F.unix_micros(time), F.lit(0)), "__id": F.concat_ws("|", F.col(key).cast("string"), F.unix_micros("__island"))}
     )
     schema = StructType([*split.schema.fields, StructField("__keep", BooleanType()), StructField("__count", LongType())])
     cuts = bucket_cuts(split, ["__id"], "__us", rows_per_task)

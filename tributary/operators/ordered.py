@@ -22,6 +22,7 @@ from tributary.session import plainly_small
 
 ROWS_PER_TASK = 1_000_000
 SMALL_INPUT_BYTES = 64 * 1024 * 1024
+MOST_BUCKETS = 1_000  # bounds the driver's list of cuts and the plan's search tree, whatever the table's size
 FIRST = Window.unboundedPreceding
 MEASURE = "measure"  # ask bucket_cuts; pass its answer on to measure only once
 
@@ -46,7 +47,8 @@ def bucket_cuts(df: DataFrame, keys: Sequence[str], at: str, rows_per_task: int
     One aggregation (map-side combined) measures the keys.  A second, over the
     rows of the keys that are too large, takes quantiles of ``at``, so that a
     burst or a stray value shifts the cuts and no bucket is much larger than
-    ``rows_per_task``; only rows with equal values stay together.
+    ``rows_per_task``; only rows with equal values stay together.  There are at
+    most MOST_BUCKETS buckets; beyond that many they hold more rows each.
     """
     if rows_per_task >= ROWS_PER_TASK and plainly_small(df, SMALL_INPUT_BYTES):
         return None
@@ -55,7 +57,7 @@ def bucket_cuts(df: DataFrame, keys: Sequence[str], at: str, rows_per_task: int
     total = large.agg(F.sum("__n")).first()[0]
     if total is None:
         return None
-    buckets = -(-total // rows_per_task)
+    buckets = min(MOST_BUCKETS, -(-total // rows_per_task))
     shares = [i / buckets for i in range(1, buckets)]
     rows = df.select(group.alias("__g"), _stamp(df, at).alias("__at")).join(large.select("__g"), "__g", "left_semi")
     found = rows.agg(F.percentile_approx("__at", shares, max(10_000, 20 * buckets))).first()[0]
@@ -78,6 +80,9 @@ def bucket_of(at: Column, cuts: Cuts) -> Column:
     return F.when(at.isNull(), F.lit(0)).otherwise(search(cuts, 0)).cast("bigint")
 
 
+_bucket = bucket_of  # the former name
+
+
 def with_running(
     df: DataFrame,
     keys: Sequence[str],

@@ -9,11 +9,11 @@ from tributary.operators import text as X
 from tributary.plans.registry import query
 from tributary.plans.windowed import sent
 from tributary.session import work_dir
-from tributary.sources.tables import Tables
 from tributary.streaming import sinks
 from tributary.streaming.replay import for_each_batch, stage
 
 ROUNDS = 3
+MOST_BATCHES = 24  # micro-batches of posts, which are labelled one by one, get longer as the table does
 
 
 def _round(n: int) -> str:
@@ -102,12 +102,12 @@ def _(t):
     FROM conversations JOIN totals ON key = conv_id * 1000 + turn""")
 def _(t):
     posts = sent(t).join(t("conversations", "conv_id", "turn", "role"), ["conv_id", "turn"]).withColumn("id", F.col("conv_id") * 1000 + F.col("turn"))
-    staged = stage(posts, "ts", 7200, f"{t.sf_dir}/posts")
+    staged = stage(posts, "ts", 7200, f"{t.sf_dir}/posts", most=MOST_BATCHES)
     out = work_dir(t.spark, "annotated")
     write = sinks.exactly_once(out)
+    words = lexicon(t)  # stored; every micro-batch reads it
 
     def annotate(batch, n):
-        words = lexicon(Tables(batch.sparkSession, t.sf_dir))
         write(X.annotate_posts(batch, "id", "role", "turn", "text", words), n)
 
     for_each_batch(t.spark, staged.stream, annotate)

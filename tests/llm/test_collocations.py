@@ -95,3 +95,8 @@ def test_scores_beyond_64_bits(spark):
 
 def test_query_equals_its_twin(spark, sf_dir):
     assert not compare(QUERIES["op13_collocations"](spark, sf_dir), connect(sf_dir), SQL["op13_collocations"])
+
+
+def test_a_task_holds_a_bounded_number_of_grams():
+    """Waiting n-grams, their sorted copy and the merged ones with counts, in bytes; six tasks share an executor of 3000 MB."""
+    assert 6 * C.HELD_GRAMS * (8 + 8 + 16 + 16) <= 640 << 20

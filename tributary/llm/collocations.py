@@ -36,7 +36,7 @@ LEAST = 10
 TOP = 2000
 MOST_WORDS = 1 << 19
 LONGEST_WORD = 64
-HELD_GRAMS = 1 << 22  # n-grams a task holds before it emits its filters
+HELD_GRAMS = 1 << 21  # n-grams a task holds before it emits its filters
 SHARD_GRAMS = 1 << 21  # n-grams of a shard, about
 HELD_WORDS = 1 << 18
 ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)

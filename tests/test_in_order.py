@@ -1,7 +1,9 @@
 """Per-key histories on streams: shuffled arrival, restarts, and state that ends."""
 
 import random
+import time as clock
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,3 +124,21 @@ def test_restart_goes_on_and_state_ends(spark, tmp_path, case):
     left = spark.read.format("statestore").option("stateVarName", "kept").load(checkpoint)
     assert left.count() <= 1  # the last row's own
     assert all("98" in str(r) or '"user":98' in str(r) for r in left.collect())
+
+
+def test_threshold_work_grows_with_the_rows(monkeypatch):
+    """Four times the keys take about four times as long, not sixteen times."""
+    steps = []
+    monkeypatch.setattr(O, "released", lambda df, keys, time, delay, columns, held, step, *more: steps.append(step) or spark_free())
+    spark_free = lambda: type("Out", (), {"withColumnsRenamed": lambda self, names: self})()
+    O.adaptive_threshold(None, ["user"], "ts", "id", "x", keep=5, needed=50)
+
+    def spent(keys, each=40):
+        n = keys * each
+        rows = {"k": np.repeat(np.array([f"{i:06}" for i in range(keys)], dtype=object), each), "us": np.tile(np.arange(each), keys), "id": np.arange(n), "x": np.ones(n)}
+        begun = clock.process_time()
+        steps[0](rows, {"k": [], "us": [], "x": []}, 10**9)
+        return clock.process_time() - begun
+
+    spent(100)
+    assert spent(8_000) < 9 * spent(2_000)

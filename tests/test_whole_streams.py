@@ -46,3 +46,20 @@ def test_a_joined_table_is_not_staged_in_files_by_the_product_of_its_sides(spark
     joined = df.join(df.withColumnRenamed("x", "y"), "id").withColumn("ts", F.timestamp_seconds("id"))
     staged = stage(joined, "ts", 100_000, "joined")
     assert staged.files_per_slice == 1 and spark.read.parquet(staged.path).count() == 200_000
+
+
+def test_a_large_slice_has_several_files(spark, tmp_path):
+    """Files of about 16 MB are written and read in parallel; every slice has the same number of them."""
+    rows = spark.range(2_500_000).select("id", F.rand(1).alias("x"), F.rand(2).alias("y"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t")).withColumn("ts", F.timestamp_seconds("id"))
+    staged = stage(df, "ts", 1_250_000, "large")
+    assert staged.files_per_slice >= 2 and len(spark.read.parquet(staged.path).inputFiles()) == staged.files_per_slice * staged.slices
+
+
+def test_a_slice_of_few_rows_has_as_many_files_as_the_others(spark, tmp_path):
+    rows = spark.range(2_500_000).select("id", F.rand(1).alias("x"), F.rand(2).alias("y"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "t"))
+    at = F.when(F.col("id") == 0, F.lit(-5_000_000)).otherwise(F.col("id"))
+    staged = stage(spark.read.parquet(str(tmp_path / "t")).withColumn("ts", F.timestamp_seconds(at)), "ts", 1_250_000, "stray")
+    assert len(spark.read.parquet(staged.path).inputFiles()) == staged.files_per_slice * staged.slices

@@ -76,3 +76,29 @@ def test_scores_equal_a_plain_walk_over_the_same_sample(spark):
     for i, t in rows:
         assert abs(got[i] - model.scores(Q.shape(t)[None, :])[0]) < 1e-9
     assert min(got[i] for i in range(40)) > max(got[i] for i in range(40, 80))
+
+
+def test_every_row_teaches(spark, monkeypatch):
+    """More rows than are learnt from in the driver: all are counted once, and the scores are those of the plain walk."""
+    rng = np.random.RandomState(8)
+    good = [" ".join(rng.choice("a lovely small house stands near the old river bank".split(), 20 + k % 30)) + "." for k in range(900)]
+    bad = [" ".join("".join(rng.choice(list("#$%&|<>!1234ab"), 6)) for _ in range(10 + k % 30)) for k in range(600)]
+    rows = [(i, t) for i, t in enumerate(good + bad)]
+    docs = spark.createDataFrame(rows + rows[:200] + [(None, "text")], "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, int(i < 900)) for i in range(0, 1500, 2)] * 2, "doc_id long, quality int")
+    few = {r.doc_id: r.score for r in Q.quality_scores(docs, labels).collect()}
+
+    seen, real = [], Q.counted_meetings
+    monkeypatch.setattr(Q, "MOST_HERE", 100)
+    monkeypatch.setattr(Q, "counted_meetings", lambda once, edges: seen.append(real(once, edges)) or seen[0])
+    many = {r.doc_id: r.score for r in Q.quality_scores(docs, labels).collect()}
+    teaches = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 5]
+    trusted = [i for i in teaches if i < 900 and i % 2 == 0]
+    assert tuple(seen[0].sum(axis=0)[:, -1, -1]) == (len(teaches), len(trusted))
+    edges = Q.counted_edges(spark.createDataFrame([(i in trusted, [float(v) for v in Q.shape(rows[i][1])]) for i in teaches], "trusted boolean, shape array<float>"), 8)
+    x = np.stack([Q.shape(rows[i][1]) for i in teaches for _ in range(1 + (i in trusted))])
+    want = np.quantile(x, np.linspace(0, 1, 9)[1:-1], axis=0, method="inverted_cdf").T
+    assert (edges >= want).all() and (edges <= want * (1 + 2**-12) + 1e-30).all()
+    hot = Q.one_hot(np.stack([Q.shape(rows[i][1]) for i in teaches]), edges)
+    assert np.array_equal(seen[0].sum(axis=0)[0, :-1, :-1], hot.T @ hot)
+    assert max(abs(few[i] - many[i]) for i in few) < 0.1 and all((few[i] >= 0.3) == (many[i] >= 0.3) for i in few)

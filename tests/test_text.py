@@ -27,6 +27,23 @@ def test_similar_texts_against_brute_force(spark):
     assert {(r["a"], r["b"]) for r in pairs.collect()} == expected and expected
 
 
+def test_similar_texts_meet_in_blocks_and_not_by_word(spark, monkeypatch):
+    monkeypatch.setattr(X, "BLOCK", 7, raising=False)
+    monkeypatch.setattr(X, "WORDS_AT_ONCE", 5, raising=False)
+    rng = random.Random(12)
+    rows = [(i, " ".join(f"w{k}" for k in rng.sample(range(30), rng.randint(0, 12)))) for i in range(90)]
+    df = X.word_sets(spark.createDataFrame([*rows, (None, "w1 w2"), (500, "")], "id long, text string"), "text")
+    copies, pairs = X.similar_texts(df.select("id", "words"), "id", "words")
+    firsts = {}
+    for i, t in rows:
+        firsts.setdefault(frozenset(t.split()), i)
+    expected = {(a, b): len(s & t) / len(s | t) for s, a in firsts.items() for t, b in firsts.items() if a < b and s and t}
+    expected = {k: v for k, v in expected.items() if v > 0.3}
+    assert {(r.a, r.b): r.similarity for r in pairs.collect()} == expected and expected
+    assert pairs.count() == len(expected)
+    assert "explode(__words" not in pairs._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_connected_groups(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 101), (205, 200), (203, 205)]
     got = {r["node"]: r["cluster"] for r in X.connected_groups(spark.createDataFrame(chain, "a long, b long")).collect()}

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +17,7 @@ from tributary.session import settled, shared_base
 SENTENCE_END = r"[.!?\n]+"
 NOT_A_LETTER = r"[^\p{L}]+"
 NEUTRAL = 2
+BLOCK, WORDS_AT_ONCE = 1024, 4096
 
 
 def expensive_words(df: DataFrame, time: str, word: str, at_least: int = 10, price: int = 2, size: str = "30 seconds", slide: str = "10 seconds") -> DataFrame:
@@ -111,47 +115,57 @@ def similar_texts(df: DataFrame, key: str, words: str, group: Sequence[str] = ()
     same words.  ``pairs`` lists similar texts among those first texts only, so
     a crowd of copies never multiplies.
 
-    Pairs are found exactly: two sets that similar share one of the rarest
-    words of each, because a set's other words are too few to reach the
-    threshold.  Only texts sharing such a word, of fitting size, are compared.
+    Pairs are found exactly.  Each group is cut into blocks of about ``BLOCK``
+    texts and every two blocks meet in a task, which counts the words that their
+    texts share as products of 0/1 matrices, ``WORDS_AT_ONCE`` words at a time.
     """
     group = list(group)
     marked = df.withColumn("__sha", F.sha2(F.concat_ws(" ", words), 256))
-    # used four times below; computed and stored once
+    # used twice below; computed and stored once
     firsts = settled(marked.groupBy(*group, "__sha").agg(F.min(key).alias("first"), F.any_value(words).alias("__words")))
     copies = marked.select(*group, key, "__sha").join(firsts.drop("__words"), [*group, "__sha"]).select(*group, key, "first")
 
-    tokens = firsts.select(*group, "first", F.size("__words").alias("__size"), F.explode("__words").alias("__token"))
-    frequency = tokens.groupBy(*group, "__token").agg(F.count(F.lit(1)).alias("__df"))
-    # a word found in one text only cannot connect two, but it keeps its place in the order
-    ranked = tokens.join(frequency, [*group, "__token"]).groupBy(*group, "first", "__size").agg(
-        F.sort_array(F.collect_list(F.struct("__df", "__token"))).alias("__rare")
-    )
-    prefix = F.col("__size") - F.ceil(F.col("__size") * threshold).cast("int") + 1
-    probes = ranked.select(*group, "first", "__size", F.posexplode(F.slice("__rare", 1, prefix)).alias("__place", "__t")).where("__t.__df > 1").select(
-        *group, "first", "__size", "__place", F.col("__t.__token").alias("__token")
-    )
-    left = probes.select(*group, "__token", F.col("first").alias("a"), F.col("__size").alias("__na"), F.col("__place").alias("__pa"))
-    right = probes.select(*group, "__token", F.col("first").alias("b"), F.col("__size").alias("__nb"), F.col("__place").alias("__pb"))
-    fits = F.least("__na", "__nb") > F.greatest("__na", "__nb") * threshold
-    # words are in one order for all texts: those before this one and after it bound what two texts share
-    reach = F.least("__pa", "__pb") + F.least(F.col("__na") - F.col("__pa"), F.col("__nb") - F.col("__pb"))
-    fits &= reach >= (F.col("__na") + F.col("__nb")) * (threshold / (1 + threshold)) - 1e-6
-    met = left.join(right, [*group, "__token"]).where((F.col("a") < F.col("b")) & fits)
-    # words shared outside the rare parts are fewer than the larger unprobed rest
-    rest = F.ceil(F.greatest("__na", "__nb") * threshold) - 1
-    needed = (F.col("__na") + F.col("__nb")) * (threshold / (1 + threshold))
-    counted = met.groupBy(*group, "a", "b", "__na", "__nb").agg(F.count(F.lit(1)).alias("__c"))
-    candidates = counted.where(F.col("__c") + rest >= needed - 1e-6).select(*group, "a", "b")
-
-    sets = firsts.select(*group, "first", "__words")
-    both = candidates.join(sets.withColumnsRenamed({"first": "a", "__words": "__wa"}), [*group, "a"]).join(
-        sets.withColumnsRenamed({"first": "b", "__words": "__wb"}), [*group, "b"]
-    )
-    shared = F.size(F.array_intersect("__wa", "__wb"))
-    similarity = shared / (F.size("__wa") + F.size("__wb") - shared)
-    pairs = both.withColumn("similarity", similarity).where(F.col("similarity") > threshold).select(*group, "a", "b", "similarity")
-    return copies, pairs
+    named = firsts.where(F.col("first").isNotNull() & (F.size("__words") > 0))
+    sizes = named.groupBy(*group).agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("__blocks"))
+    dealt = named.join(sizes, group) if group else named.crossJoin(F.broadcast(sizes))
+    own = F.pmod(F.xxhash64("__sha"), F.col("__blocks"))
+    meets = F.explode(F.sequence(F.lit(0).cast("long"), F.col("__blocks") - 1)).alias("__other")
+    placed = dealt.withColumn("__own", own).select(*group, "first", "__words", "__own", meets)
+    low, high = F.least("__own", "__other").alias("__low"), F.greatest("__own", "__other").alias("__high")
+    met = placed.select(*group, low, high, "__own", "first", "__words")
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        lists = pc.list_flatten(table["__words"]).dictionary_encode().combine_chunks()
+        sizes = pc.list_value_length(table["__words"]).to_numpy()
+        codes = lists.indices.to_numpy(zero_copy_only=False)
+        owners = np.repeat(np.arange(table.num_rows), sizes)
+        order = np.argsort(codes, kind="stable")
+        codes, owners = codes[order], owners[order]
+        is_low = table["__own"].to_numpy() == table["__low"].to_numpy()
+        one = np.flatnonzero(is_low)
+        two = one if is_low.all() and table["__low"][0] == table["__high"][0] else np.flatnonzero(~is_low)
+        shared = np.zeros((len(one), len(two)), dtype=np.float32)
+        bounds = np.searchsorted(codes, np.arange(0, len(lists.dictionary) + WORDS_AT_ONCE, WORDS_AT_ONCE))
+        for k, (a, b) in enumerate(zip(bounds, bounds[1:])):
+            has = np.zeros((table.num_rows, WORDS_AT_ONCE), dtype=np.float32)
+            has[owners[a:b], codes[a:b] - k * WORDS_AT_ONCE] = 1
+            shared += has[one] @ has[two].T
+        shared = shared.astype(np.int64)
+        similarity = shared / (sizes[one][:, None] + sizes[two][None, :] - shared)
+        found = similarity > threshold
+        if two is one:
+            found = np.triu(found, 1)
+        x, y = np.nonzero(found)
+        first, values = table["first"].to_numpy(), similarity[x, y]
+        a, b = first[one[x]], first[two[y]]
+        kept = {g: table[g].take(pa.array(one[x])) for g in group}
+        return pa.table({**kept, "a": pa.array(np.minimum(a, b), table.schema.field("first").type), "b": pa.array(np.maximum(a, b), table.schema.field("first").type), "similarity": pa.array(values)})
+
+    kinds = dict(firsts.dtypes)
+    schema = ", ".join([*(f"`{g}` {kinds[g]}" for g in group), f"a {kinds['first']}", f"b {kinds['first']}", "similarity double"])
+    pairs = met.groupBy(*group, "__low", "__high").applyInArrow(compare, schema)
+    return copies, pairs.where("a < b")  # texts of equal first keys are no pair
 
 
 def connected_groups(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

@@ -101,3 +101,15 @@ def test_pause_gate(spark):
     said = [(10, "pause"), (10, "resume"), (20, "resume"), (20, "pause"), (30, "pause"), (None, "pause")]
     told = spark.createDataFrame(said, "sec int, c string").select(F.timestamp_seconds("sec").alias("at"), "c")
     assert {r["id"] for r in pause_gate(odd, told, "ts", "at", "c").collect()} == {1, 2, 3}
+
+
+def test_distinct_texts_are_scored_in_tasks_of_bounded_size(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "texts")
+    spark.createDataFrame([(i, f"good day {i % 150}. bad night. so so {'x' * (i % 150)}") for i in range(300)], "id long, text string").coalesce(1).write.parquet(path)
+    df, lexicon = spark.read.parquet(path), spark.createDataFrame([("good", 4), ("bad", 0)], "word string, class int")
+    monkeypatch.setattr(X, "SCORED_BYTES", 100)
+    scored, score = [], X.text_sentiment
+    monkeypatch.setattr(X, "text_sentiment", lambda once, *rest: scored.append(once.rdd.getNumPartitions()) or score(once, *rest))
+    got = X.text_sentiment_distinct(df, "id", "text", lexicon).select("id", "score", "sentiment").collect()
+    assert scored[0] >= 20
+    assert sorted(got) == sorted(score(df, "id", "text", lexicon).select("id", "score", "sentiment").collect())

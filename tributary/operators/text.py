@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 
 from tributary.functions.scalar import describe_post, normalize_text, sentiment_label
 from tributary.operators.windows import sliding
-from tributary.session import settled, shared_base
+from tributary.session import estimated_bytes, settled, shared_base
 
 SENTENCE_END = r"[.!?\n]+"
 NOT_A_LETTER = r"[^\p{L}]+"
 NEUTRAL = 2
 BLOCK, WORDS_AT_ONCE = 1024, 4096
+SCORED_BYTES = 4 * 1024 * 1024
 
 
 def expensive_words(df: DataFrame, time: str, word: str, at_least: int = 10, price: int = 2, size: str = "30 seconds", slide: str = "10 seconds") -> DataFrame:
@@ -64,9 +65,14 @@ def text_sentiment(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> Da
 
 
 def text_sentiment_distinct(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
-    """The same, but every distinct text is scored once and its copies share the result."""
+    """The same, but every distinct text is scored once and its copies share the result.
+
+    A text becomes many times its size while its words are counted, so the
+    distinct texts are dealt to tasks by ``SCORED_BYTES`` of input.
+    """
     marked = df.select(key, text, F.sha2(text, 256).alias("__sha"))
-    once = marked.groupBy("__sha").agg(F.any_value(text).alias(text))
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-estimated_bytes(df) // SCORED_BYTES))
+    once = marked.groupBy("__sha").agg(F.any_value(text).alias(text)).repartition(tasks, "__sha")
     scores = text_sentiment(once, "__sha", text, lexicon)
     return marked.drop(text).join(scores, "__sha").drop("__sha")
 

@@ -77,3 +77,14 @@ def test_equal_times_have_one_order(spark, tmp_path):
     run = lambda s: state.session_expiry(batches(spark, tmp_path, *parts)(s), "user", "ts", "what", 10, "2 hours")
     got = {tuple(r.actions) for r in replay(spark, run).collect() if r.started == 100_000_000}
     assert got == {(None, "a", "b")} or got == {("a", "b", None)}
+
+
+def test_sessions_of_many_users_share_few_groups(spark, tmp_path):
+    """A call per bucket and not per user; the open sessions of one bucket time out each at its own time."""
+    first = [(u, u, 100 + u, 1.0, "a") for u in range(60)]
+    parts = [first, [(100, 7, 108, 1.0, "b"), (101, 999, 9000, 1.0, "z")], [(102, 999, 20_000, 1.0, "z")], [(103, 999, 40_000, 1.0, "z")]]
+    build = lambda s: state.session_expiry(batches(spark, tmp_path, *parts)(s), "user", "ts", "what", 10, "2 hours", buckets=3)
+    got = {(r.user, r.started, r.ended, tuple(r.actions)) for r in replay(spark, build).collect()}
+    us = 1_000_000
+    want = {(u, (100 + u) * us, (100 + u) * us, ("a",)) for u in range(60) if u != 7} | {(7, 107 * us, 108 * us, ("a", "b")), (999, 9000 * us, 9000 * us, ("z",)), (999, 20_000 * us, 20_000 * us, ("z",))}
+    assert got == want

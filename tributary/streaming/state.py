@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import StructType
 
 from tributary.operators.keyed import ADVICE
 
@@ -236,52 +237,62 @@ def rate_limit(df: DataFrame, key: str, micros: str, ident: str, limit: int = 10
     )
 
 
-def session_expiry(df: DataFrame, user: str, time: str, action: str, limit_seconds: float, delay: str) -> DataFrame:
+def session_expiry(df: DataFrame, user: str, time: str, action: str, limit_seconds: float, delay: str, buckets: int = 256) -> DataFrame:
     """Sessions, emitted when they are over.
 
     Gaps inside a micro-batch close sessions at once; a session that is still
     open closes by event-time timeout when the watermark passes its limit.
+    Users are dealt into ``buckets``, each one group of the state operator with
+    the open sessions of its users, since a call costs far more than a row.
     Output: user, start and last (microseconds), actions in order.
     """
-    kind = df.schema[user].dataType.simpleString()
     limit = round(limit_seconds * 1_000_000)
 
     def step(k, pdfs, state: GroupState):
-        if state.hasTimedOut:
-            start, last, actions = state.get
-            state.remove()
-            yield pd.DataFrame({"started": [start], "ended": [last], "actions": [list(actions)], user: [k[0]]})
-            return
-        rows = _sorted(pdfs, ["__us", action])  # equal times by name, however they arrived
-        start, last, actions = state.get if state.exists else (None, None, [])
-        actions, closed = list(actions), []
-        for at, what in zip(rows["__us"].tolist(), rows[action].tolist()):
-            if last is not None and start - at >= limit:  # late, and of a session before the open one
-                closed.append((at, at, [what]))
-                continue
-            if last is not None and at - last >= limit:
-                closed.append((start, last, actions))
-                start, last, actions = None, None, []
-            start = at if start is None else min(start, at)
-            last = at if last is None else max(last, at)
-            actions.append(what)
-        state.update((start, last, actions))
-        due = (last + limit) // 1000
-        if due > state.getCurrentWatermarkMs():
-            state.setTimeoutTimestamp(due)
-        else:
-            closed.append((start, last, actions))
+        watermark = state.getCurrentWatermarkMs()
+        past = list(zip(*state.get)) if state.exists else []
+        held, dues = {u: (start, last, list(actions)) for u, start, last, _, actions in past}, {u: due for u, _, _, due, _ in past}
+        closed, fresh, timeless = [], set(), set()
+        if not state.hasTimedOut:
+            rows = _sorted(pdfs, ["k", "__us", action])  # equal times by name, however they arrived
+            for u, at, what in zip(rows["k"].tolist(), rows["__us"].tolist(), rows[action].tolist()):
+                start, last, actions = held.get(u, (None, None, []))
+                fresh.add(u)
+                if at != at:  # without a time: the last of the micro-batch; what is still open after it takes its start from later rows
+                    timeless.add(u)
+                    held[u] = (start, last, [*actions, what])
+                    continue
+                at = int(at)
+                if last is not None and start - at >= limit:  # late, and of a session before the open one
+                    closed.append((u, at, at, [what]))
+                    continue
+                if last is not None and at - last >= limit:
+                    closed.append((u, start, last, actions))
+                    start, last, actions = None, None, []
+                actions.append(what)
+                held[u] = (at if start is None else min(start, at), at if last is None else max(last, at), actions)
+        # a session without new rows times out when the watermark is past its limit, one with new rows when it is there
+        for u in fresh:
+            last = held[u][1]
+            dues[u] = watermark if last is None else (last + limit) // 1000
+        over = [u for u in held if dues[u] < watermark or (dues[u] == watermark and u in fresh)]
+        closed.extend((u, *held.pop(u)) for u in over)
+        if held:
+            kept = [(u, *((None, None) if u in timeless else (start, last)), dues[u], actions) for u, (start, last, actions) in held.items()]
+            state.update(tuple(map(list, zip(*kept))))
+            state.setTimeoutTimestamp(max(min(dues[u] for u in held), watermark + 1))
+        elif state.exists:
             state.remove()
         if closed:
-            out = pd.DataFrame(closed, columns=["started", "ended", "actions"])
-            out[user] = k[0]
-            yield out
-
-    stamped = df.withWatermark(time, delay).withColumn("__us", F.unix_micros(time))
-    return stamped.groupBy(user).applyInPandasWithState(
-        step, f"started bigint, ended bigint, actions array<string>, {user} {kind}", "start bigint, last bigint, actions array<string>",
-        "append", GroupStateTimeout.EventTimeTimeout,
+            yield pd.DataFrame(closed, columns=["k", "started", "ended", "actions"])
+
+    stamped = df.withWatermark(time, delay).select(
+        F.pmod(F.xxhash64(user), F.lit(buckets)).cast("int").alias("bucket"), F.to_json(F.struct(user)).alias("k"), time, action, F.unix_micros(time).alias("__us"))
+    out = stamped.groupBy("bucket").applyInPandasWithState(
+        step, "k string, started bigint, ended bigint, actions array<string>",
+        "users array<string>, starts array<bigint>, lasts array<bigint>, dues array<bigint>, actions array<array<string>>", "append", GroupStateTimeout.EventTimeTimeout,
     )
+    return out.select("started", "ended", "actions", F.from_json("k", StructType([df.schema[user]]))[user].alias(user))
 
 
 def trending_decay(df: DataFrame, tag: str, micros: str, decay: float = 0.95, unit_seconds: float = 1.0) -> DataFrame:

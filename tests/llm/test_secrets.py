@@ -3,6 +3,8 @@ import random
 import re
 from collections import Counter
 
+import pytest
+
 from tributary.llm import secrets as S
 from tributary.llm.queries import QUERIES
 
@@ -145,3 +147,37 @@ def test_small_tables_learn_what_a_plain_walk_learns(spark):
     assert got.least == want.least and got.thresholds.keys() == want.thresholds.keys()
     assert all(abs(got.thresholds[b] - want.thresholds[b]) < 1e-9 for b in S.BANDS)
     assert all(abs(got.score(w) - want.score(w)) < 1e-9 for w in [*ordinary][:500])
+
+
+@pytest.mark.parametrize("odd", ["0123456789", "ghjkmnpq"])
+def test_short_credentials_of_the_scanned_texts_are_found(spark, odd):
+    """Formats learnt from the very documents that are scanned find their bare short credentials, and no words."""
+    rng = random.Random(8)
+    draw = lambda: "".join(rng.choice(odd) if k % 2 else rng.choice("GHJKLMNP") for k in range(8))
+    word = lambda: "".join(rng.choice("etaoinshrdlucmfwypvbgk") for _ in range(rng.randrange(6, 12)))
+    rows = [(k, f"{word()} password: {draw()} {word()} {word()}{rng.randrange(100)}") for k in range(150)]
+    bare = {k: draw() for k in range(150, 190)}
+    rows += [(k, f"{word()} {v} {word()} {word()}") for k, v in bare.items()] + [(k, " ".join(word() for _ in range(5))) for k in range(190, 400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    formats = S.fit(docs)
+    assert formats.least == 8
+    found = {}
+    for r in S.secret_spans(docs).collect():
+        found[r.doc_id] = [rows[r.doc_id][1][a:b] for a, b in (map(int, s.split(":")[1:]) for s in r.spans.split(",") if s.startswith(S.ADDED))]
+    assert {k: v for k, v in found.items() if v} == {k: [v] for k, v in bare.items()}
+    assert all(("[SECRET]" in r.text) == (r.doc_id < 190) for r in S.redacted(docs).collect())
+
+
+def test_levels_leave_out_as_many_tokens_as_may_pass(spark):
+    scores = spark.createDataFrame([(3.0, 2), (2.0, 3), (1.0, 4)], "score double, n long")
+    assert [S.level(scores, n) for n in (0, 1, 2, 4, 5, 8, 9, 20)] == [3.0, 3.0, 2.0, 2.0, 1.0, 1.0, 1.0, 1.0]
+    assert S.passing(S.LONG, 4000, 50, 0.0005) == 2.0 and S.passing(8, 4000, 50, 0.0005) == 50 and S.passing(8, 4000, 0, 0.0005) == 2.0
+
+
+def test_symbol_strings_score_as_their_tokens():
+    rng = random.Random(9)
+    draw = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    labelled = {"assign": Counter(S.symbols(draw("0123456789abcdefGH", 9)) for _ in range(200))}
+    formats = S.learn(labelled, Counter(S.symbols(draw("etaoinshr", rng.randrange(6, 20))) for _ in range(900)))
+    for token in [draw("0123456789abcdefGHxyzABC+/_.=-", rng.randrange(6, 30)) for _ in range(300)]:
+        assert S.symbols(S.symbols(token)) == S.symbols(token) and formats.score(S.symbols(token)) == formats.score(token)

@@ -2,13 +2,14 @@
 
 import random
 import time as clock
+import tracemalloc
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tributary.operators import keyed
-from tributary.session import streaming_session, work_dir
+from tributary.session import bounded_state, streaming_session, work_dir
 from tributary.streaming import in_order as O
 from tributary.streaming.replay import replay, run
 
@@ -142,3 +143,50 @@ def test_threshold_work_grows_with_the_rows(monkeypatch):
 
     spent(100)
     assert spent(8_000) < 9 * spent(2_000)
+
+
+def steps_of(monkeypatch, **options):
+    steps = []
+    monkeypatch.setattr(O, "released", lambda df, keys, time, delay, columns, held, step, *more: steps.append(step) or type("Out", (), {"withColumnsRenamed": lambda self, names: self})())
+    O.adaptive_threshold(None, ["user"], "ts", "id", "x", **options)
+    return steps[0]
+
+
+def test_threshold_of_a_long_key_takes_blocks_of_its_rows(monkeypatch):
+    """The spans of all rows of a key would be 100 values a row; the results are those of a plain walk."""
+    step, n = steps_of(monkeypatch), 60_000
+    x = np.random.default_rng(2).normal(100, 30, n)
+    x[::17] = np.nan
+    rows = {"k": np.full(n, "a", dtype=object), "us": np.arange(n), "id": np.arange(n), "x": x}
+    tracemalloc.start()
+    out, keep, _ = step(rows, {"k": [], "us": [], "x": []}, 10**9)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 30_000_000 and keep["x"].tolist()[1:] == pytest.approx(x[-98:].tolist(), nan_ok=True)
+    found = dict(zip(out["id"].tolist(), out["threshold"].tolist()))
+    for i in range(0, n, 97):
+        span = x[max(0, i - 99) : i + 1]
+        limit = np.nanmean(span) + 2 * np.nanstd(span) if (~np.isnan(span)).sum() >= 10 else 80.0
+        assert (i in found) == bool(x[i] > limit) and found.get(i, limit) == pytest.approx(limit)
+
+
+def test_state_of_many_rows_is_small_and_comes_back_whole():
+    """What waits and what is kept is a few bytes a row, whatever the names of the keys; a bucket's share does not grow with the table."""
+    columns = {"k": "string", "us": "bigint", "x": "double"}
+    rows = {"k": np.repeat(np.array([f'{{"user_id":{i},"event_type":"purchase"}}' for i in range(500)], dtype=object), 40), "us": np.arange(20_000) + 10**15, "x": np.where(np.arange(20_000) % 9 == 0, np.nan, 1.5)}
+    pieces = [O.packed({c: v[a : a + 7_000] for c, v in rows.items()}, columns) for a in range(0, 20_000, 7_000)]
+    back = O.unpacked(pieces, columns)
+    assert all(back[c].tolist() == pytest.approx(rows[c].tolist(), nan_ok=True) if c == "x" else (back[c] == rows[c]).all() for c in columns)
+    assert sum(len(data) for (data,) in pieces) < 25 * 20_000 and len({id(k) for k in back["k"]}) == 500
+    some = {"k": ["a", "b"], "seen": [[1.0, None], []], "last": [None, 2**60 + 1]}
+    assert O.unpacked([O.packed(some, kinds := {"k": "string", "seen": "array<double>", "last": "bigint"})], kinds)["last"] == [None, 2**60 + 1]
+    assert O.unpacked([O.packed(some, kinds)], kinds)["seen"] == some["seen"] and O.unpacked([], columns)["us"].dtype == "int64"
+    for n in (1, 100_000, 6_000_000, 36_000_000):
+        assert O.buckets_for(n, 16) >= 16 and n / O.buckets_for(n, 16) <= O.BUCKET_ROWS
+
+
+def test_many_buckets_give_the_rows_of_few(spark, tmp_path):
+    build = lambda n: lambda s: O.adaptive_threshold(s, ["user", "kind"], "ts", "id", "x", keep=30, delay="40 seconds", buckets=n)
+    source = stream_of(spark, tmp_path, arrivals(events(400, 8), 4))
+    few, many = (key(replay(spark, lambda s: build(n)(source(s)), conf=bounded_state(spark))) for n in (1, 200))
+    assert few == many and few
